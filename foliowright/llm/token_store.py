@@ -126,7 +126,7 @@ class Shard:
 
 
 def encoder(path: str, end_id: int, width: int):
-    """bytes of the ids of each text, end id included.
+    """A function that gives the bytes of the ids of each text, end id included.
 
     White space behind other than white space always starts a new pre-token in
     byte-level BPE, and so does one of .,;:!?| behind a letter. Texts are cut at such
@@ -134,25 +134,36 @@ def encoder(path: str, end_id: int, width: int):
     worker's life.
     """
     import re
+    from array import array
 
     from tokenizers import Tokenizer
 
     state = worker_state(f"encoder {path} {width}")
     if "tokenizer" not in state:
         state |= {"tokenizer": Tokenizer.from_file(path), "kept": {}}
-    tokenizer, kept, kind = state["tokenizer"], state["kept"], "<u2" if width == 2 else "<u4"
-    end = np.array([end_id], kind).tobytes()
+    tokenizer, kept, kind = state["tokenizer"], state["kept"], "H" if width == 2 else "I"
+    end = array(kind, [end_id]).tobytes()
+    # one pre-token, which the model takes as it is, spelled in byte-level letters
+    letters = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-ɏ]+").fullmatch
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    spelled = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in set(plain))}
+    model = tokenizer.model.tokenize
     pieces = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-ɏ]+(?=[\s.,;:!?|]|$)|\s*[^\s]+(?:[^\S \n]+[^\s]+)*|\s+").findall
 
     def encode(texts: list[str]) -> list[bytes]:
         cut = [pieces(t) for t in texts]
         if len(kept) > 600_000:
             kept.clear()
-        new = list({p for c in cut for p in c if p not in kept})
-        for i in range(0, len(new), 20_000):
-            some = new[i : i + 20_000]
+        rest = []
+        for p in {p for c in cut for p in c if p not in kept}:
+            if letters(p):
+                kept[p] = array(kind, [x.id for x in model(p.encode().decode("latin-1").translate(spelled))]).tobytes()
+            else:
+                rest.append(p)
+        for i in range(0, len(rest), 20_000):
+            some = rest[i : i + 20_000]
             for p, e in zip(some, tokenizer.encode_batch_fast(some, add_special_tokens=False)):
-                kept[p] = np.array(e.ids, kind).tobytes()
+                kept[p] = array(kind, e.ids).tobytes()
         return [b"".join(map(kept.__getitem__, c)) + end for c in cut]
 
     return encode
