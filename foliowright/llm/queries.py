@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliowright.llm import chat_format, decontaminate, simhash, substring_dedup, token_store
+from foliowright.llm import chat_format, decontaminate, langid, simhash, substring_dedup, token_store, toxicity
 from foliowright.llm.common import table
 
 END_ID = 2
@@ -26,6 +26,14 @@ def op3_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.store_tokens(table(spark, sf_dir, "documents"), tokenizer_path(), END_ID)
 
 
+def op5_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = "</s>[INST] ok [/INST]"
     own = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(said).alias("text"))
@@ -44,6 +52,8 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op3_token_store": op3_token_store,
+    "op5_langid": op5_langid,
+    "op6_toxicity": op6_toxicity,
     "op8_chat_format": op8_chat_format,
     "op9_decontaminate": op9_decontaminate,
     "op10_simhash": op10_simhash,
