@@ -22,8 +22,10 @@ just the end id. Extra columns are ignored.
 
 from __future__ import annotations
 
+import re
 import struct
 import zlib
+from array import array
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -125,6 +127,32 @@ class Shard:
         return self.ids[first : first + int(self.slots["n"][at])]
 
 
+class Pieces(dict):
+    """The bytes of the ids of pieces of text, encoded when they are first asked for."""
+
+    def __init__(self, path: str, width: int):
+        from tokenizers import Tokenizer
+
+        self.tokenizer, self.kind = Tokenizer.from_file(path), "H" if width == 2 else "I"
+        self.model = self.tokenizer.model.tokenize
+        # one pre-token, which the model takes as it is, spelled in byte-level letters
+        self.letters = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-ɏ]+").fullmatch
+        plain = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+        self.spelled = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in plain)}
+
+    def __missing__(self, piece: str) -> bytes:
+        if self.letters(piece):
+            if piece.isascii():
+                spelled = "\u0120" + piece[1:] if piece[0] == " " else piece
+            else:
+                spelled = piece.encode().decode("latin-1").translate(self.spelled)
+            ids = [x.id for x in self.model(spelled)]
+        else:
+            ids = self.tokenizer.encode(piece, add_special_tokens=False).ids
+        self[piece] = out = array(self.kind, ids).tobytes()
+        return out
+
+
 def encoder(path: str, end_id: int, width: int):
     """A function that gives the bytes of the ids of each text, end id included.
 
@@ -133,38 +161,16 @@ def encoder(path: str, end_id: int, width: int):
     places and equal pieces encoded once. Pieces are kept up to a bound for the
     worker's life.
     """
-    import re
-    from array import array
-
-    from tokenizers import Tokenizer
-
     state = worker_state(f"encoder {path} {width}")
-    if "tokenizer" not in state:
-        state |= {"tokenizer": Tokenizer.from_file(path), "kept": {}}
-    tokenizer, kept, kind = state["tokenizer"], state["kept"], "H" if width == 2 else "I"
-    end = array(kind, [end_id]).tobytes()
-    # one pre-token, which the model takes as it is, spelled in byte-level letters
-    letters = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-ɏ]+").fullmatch
-    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    spelled = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in set(plain))}
-    model = tokenizer.model.tokenize
+    if "kept" not in state:
+        state["kept"] = Pieces(path, width)
+    kept, end = state["kept"], array("H" if width == 2 else "I", [end_id]).tobytes()
     pieces = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-ɏ]+(?=[\s.,;:!?|]|$)|\s*[^\s]+(?:[^\S \n]+[^\s]+)*|\s+").findall
 
     def encode(texts: list[str]) -> list[bytes]:
-        cut = [pieces(t) for t in texts]
         if len(kept) > 600_000:
             kept.clear()
-        rest = []
-        for p in {p for c in cut for p in c if p not in kept}:
-            if letters(p):
-                kept[p] = array(kind, [x.id for x in model(p.encode().decode("latin-1").translate(spelled))]).tobytes()
-            else:
-                rest.append(p)
-        for i in range(0, len(rest), 20_000):
-            some = rest[i : i + 20_000]
-            for p, e in zip(some, tokenizer.encode_batch_fast(some, add_special_tokens=False)):
-                kept[p] = array(kind, e.ids).tobytes()
-        return [b"".join(map(kept.__getitem__, c)) + end for c in cut]
+        return [b"".join(map(kept.__getitem__, pieces(t))) + end for t in texts]
 
     return encode
 
