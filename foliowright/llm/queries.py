@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliowright.llm import chat_format, decontaminate, langid, simhash, substring_dedup, token_store, toxicity
+from foliowright.llm import chat_format, decontaminate, langid, mixing, pii, simhash, substring_dedup, token_store, topk, toxicity
 from foliowright.llm.common import table
 
 END_ID = 2
@@ -22,10 +22,23 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return pii.digest(pii.find(docs, pii.fit(docs)))
+
+
 def op3_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.store_tokens(table(spark, sf_dir, "documents"), tokenizer_path(), END_ID)
 
 
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = mixing.weighed(table(spark, sf_dir, "documents"))
+    return rows.select(
+        "doc_id", F.col("_source").alias("source"), F.col("_lang").alias("lang"), F.col("_topic").alias("topic"), F.col("_tokens").alias("n_tokens"),
+        F.round("_probability", 6).alias("probability"), F.col("_kept").alias("kept"),
+    )
+
+
 def op5_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
@@ -34,6 +47,10 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op7_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = "</s>[INST] ok [/INST]"
     own = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(said).alias("text"))
@@ -49,18 +66,30 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op2_pii": op2_pii,
     "op3_token_store": op3_token_store,
+    "op4_mixing": op4_mixing,
     "op5_langid": op5_langid,
     "op6_toxicity": op6_toxicity,
+    "op7_topk": op7_topk,
     "op8_chat_format": op8_chat_format,
     "op9_decontaminate": op9_decontaminate,
     "op10_simhash": op10_simhash,
+    "pipeline": pipeline,
 }
 
 ORACLE = {
     "op1_substring_dedup": substring_dedup.SQL,
+    "op4_mixing": mixing.sql(),
+    "op7_topk": topk.SQL,
     "op8_chat_format": chat_format.SQL,
     "op9_decontaminate": decontaminate.SQL,
 }
