@@ -25,7 +25,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from foliowright.llm.common import checkpointed, in_chunks, text_bytes
+from foliowright.llm.common import checkpointed, text_bytes
 from foliowright.llm.components import components
 
 RADIUS = 4
@@ -160,7 +160,7 @@ def links(fps: DataFrame, radius: int = RADIUS, cell_limit: int = CELL) -> DataF
     if crowded.limit(1).count():
         dense = dealt.join(crowded, ["table", "cell"], "left_semi").select("fp").distinct()
         edges = edges.unionByName(_by_midpoint(dense, radius))
-    return edges.distinct()
+    return checkpointed(edges.distinct())
 
 
 def _by_midpoint(fps: DataFrame, radius: int) -> DataFrame:
@@ -203,4 +203,4 @@ def keep_one(docs: DataFrame, key: str = "doc_id", **how) -> DataFrame:
     return rest.withColumn("_nth", F.when(F.col(key).isNull(), 1).otherwise(nth)).where("_nth = 1").drop("_nth")
 
 
-__all__ = ["cells", "fingerprint", "fingerprints", "in_chunks", "keep_one", "links", "near_duplicates"]
+__all__ = ["cells", "fingerprint", "fingerprints", "keep_one", "links", "near_duplicates"]
