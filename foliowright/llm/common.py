@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import sys
 import tempfile
 import types
@@ -36,6 +37,23 @@ def new_path(spark: SparkSession, what: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{what}-{uuid.uuid4().hex}"
 
 
+def materialised(df: DataFrame, what: str) -> tuple[DataFrame, str]:
+    """df written as Parquet to the shared folder and read again, and its path.
+
+    Smaller than a checkpoint where columns repeat. Shuffle files behind df are given up.
+    """
+    spark, path = df.sparkSession, new_path(df.sparkSession, what)
+    df.write.parquet(path)
+    del df
+    return spark.read.parquet(path), path
+
+
+def release(spark: SparkSession) -> None:
+    """Has the driver give up what nothing refers to any more, so that its shuffle files go."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def remove_path(spark: SparkSession, path: str) -> None:
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     p = jvm.org.apache.hadoop.fs.Path(path)

@@ -25,10 +25,10 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from foliowright.llm.common import checkpointed, in_chunks, text_bytes
+from foliowright.llm.common import in_chunks, materialised, release, remove_path, text_bytes
 from foliowright.llm.wordscan import anchors, covered, mix, scan
 
 WINDOW, GRAM, KIND = 35, 10, "space"
@@ -58,7 +58,7 @@ def _anchor_rows(docs: DataFrame, window: int, gram: int) -> DataFrame:
 
 
 def _windows(texts: DataFrame, window: int) -> DataFrame:
-    """(seed, reach, n, h1, h2, first, hash): the windows of the anchors listed beside each text."""
+    """(seed, reach, hash, h1, h2, first, alone): the windows of the anchors listed beside each text."""
 
     def run(batches):
         import pyarrow as pa
@@ -66,46 +66,77 @@ def _windows(texts: DataFrame, window: int) -> DataFrame:
         last = None
         for batch in batches:
             keys = list(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()))
-            data = batch.column(2)
-            listed = batch.column(3)
+            data, listed = batch.column(2), batch.column(3)
             for i, k in enumerate(keys):
-                if k == last:  # equal texts follow each other; one of them is enough
+                if k == last:  # equal texts mostly follow each other; one of them is enough
                     continue
                 last = k
                 words = scan(text_bytes(data.slice(i, 1)), KIND)
                 rows = listed[i].as_py()
-                place = np.array([r["place"] for r in rows], np.int64)
-                at, back, ahead = place >> 2 * _REACH, place >> _REACH & 63, place & 63
+                at, back, ahead = _unpacked(np.array([r["place"] for r in rows], np.int64))
                 n = back - ahead + 1
                 s = np.repeat(at - back, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-                col = lambda name: pa.array(np.repeat(np.array([r[name] for r in rows], np.int64), n))  # noqa: E731, B023
-                same = lambda x: pa.array(np.full(len(s), x, np.int64))  # noqa: E731, B023
-                yield pa.RecordBatch.from_arrays([col("seed"), col("reach"), col("n"), same(k[0]), same(k[1]), pa.array(s), pa.array(words.window(s, np.int64(window)).view(np.int64))], ["seed", "reach", "n", "h1", "h2", "first", "hash"])
+                of = np.repeat(np.arange(len(rows)), n)
+                seed, reach = (np.array([r[c] for r in rows], np.int64)[of] for c in ("seed", "reach"))
+                alone = np.array([r["alone"] for r in rows], bool)[of]
+                same = [np.full(len(s), x, np.int64) for x in k]
+                cols = (seed, reach, words.window(s, np.int64(window)).view(np.int64), *same, s, alone)
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], ["seed", "reach", "hash", "h1", "h2", "first", "alone"])
 
-    return texts.mapInArrow(run, "seed long, reach long, n long, h1 long, h2 long, first long, hash long")
+    return texts.mapInArrow(run, "seed long, reach long, hash long, h1 long, h2 long, first long, alone boolean")
 
 
-def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
-    """(h1, h2, spans): for each text with repeats, the word ranges [a, b) of its repeated windows."""
+def _unpacked(place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The anchor's word, and how far before it its first and its last window start."""
+    return place >> 2 * _REACH, place >> _REACH & 63, place & 63
+
+
+def repeated_spans(base: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
+    """(h1, h2, spans): for each text with repeats, the word ranges [a, b) of its repeated windows.
+
+    Each step's rows go to the shared folder, so that the shuffle files of those before
+    it can go; what the result doesn't read is removed.
+    """
     if not 0 < gram <= window or window - gram >= 1 << _REACH:
         raise ValueError("window - gram must be less than 64")
-    rows = _anchor_rows(docs, window, gram)
+    spark = base.sparkSession
+    rows = _anchor_rows(base, window, gram)
     again = rows.groupBy("seed").agg(F.count("*").alias("c")).where("c > 1").select("seed")
-    kept = rows.join(again, "seed", "left_semi").groupBy("seed", "reach", "h1", "h2", "place").agg(F.count("*").alias("n"))
-    kept = checkpointed(kept)
-    reaches = kept.groupBy("seed", "reach").agg(F.sum("n").alias("n"), F.count("*").alias("places"), F.first("h1").alias("h1"), F.first("h2").alias("h2"), F.first("place").alias("place"))
-    whole = kept.join(reaches.where("n > 1").select("seed", "reach"), ["seed", "reach"], "left_semi")
-    back = F.shiftright("place", _REACH).bitwiseAND(F.lit(63))
-    at = F.shiftright("place", 2 * _REACH)
-    whole = whole.select("h1", "h2", (at - back).alias("a"), (at - F.col("place").bitwiseAND(F.lit(63)) + window).alias("b"))
-
-    several = reaches.groupBy("seed").agg(F.count("*").alias("c"), F.min("n").alias("least")).where("c > 1 AND least = 1").select("seed")
-    ends = reaches.join(several, "seed", "left_semi").groupBy("h1", "h2").agg(F.collect_list(F.struct("place", "seed", "reach", "n")).alias("ends"))
-    texts = docs.select("h1", "h2", "text").join(ends, ["h1", "h2"])
-    tried = checkpointed(_windows(texts, window).distinct())
-    twice = tried.groupBy("seed", "hash").agg(F.count("*").alias("c")).where("c > 1").select("seed", "hash")
-    partly = tried.where("n = 1").join(twice, ["seed", "hash"], "left_semi").select("h1", "h2", F.col("first").alias("a"), (F.col("first") + window).alias("b"))
-    return whole.unionByName(partly).groupBy("h1", "h2").agg(F.collect_list(F.struct("a", "b")).alias("spans"))
+    kept, first_path = materialised(rows.join(again, "seed", "left_semi"), "anchors")
+    del rows, again
+    release(spark)
+
+    reaches = kept.groupBy("seed", "reach").agg(F.count("*").alias("n"), F.min("h1").alias("one"))
+    several = reaches.groupBy("seed").agg(F.count("*").alias("c"), F.min("n").alias("least")).where("c > 1 AND least = 1").select("seed", F.lit(True).alias("differ"))
+    reaches = reaches.join(several, "seed", "left")
+    # an anchor that isn't alone with its reach repeats in full; one anchor of each reach is tried where reaches differ
+    seen = kept.join(reaches.where("n > 1 OR differ"), ["seed", "reach"])
+    tried = F.when(F.col("differ") & (F.col("h1") == F.col("one")), F.struct("seed", "reach"))
+    seen = seen.select("h1", "h2", F.struct("place", (F.col("n") > 1).alias("full"), tried.alias("tried")).alias("x"))
+    listed, _ = materialised(seen.groupBy("h1", "h2").agg(F.collect_set("x").alias("xs")), "anchors-of-texts")
+    del kept, reaches, several, seen
+    remove_path(spark, first_path)
+    release(spark)
+
+    trial = F.transform(F.filter("xs", lambda x: x["tried"].isNotNull()), lambda x: F.struct(x["place"].alias("place"), x["tried"]["seed"].alias("seed"), x["tried"]["reach"].alias("reach"), (~x["full"]).alias("alone")))
+    ends = listed.select("h1", "h2", trial.alias("ends")).where(F.size("ends") > 0)
+    tried, _ = materialised(_windows(base.select("h1", "h2", "text").join(ends, ["h1", "h2"]), window), "windows")
+    del ends
+    release(spark)
+
+    # a window occurs again if it lies in two reaches; texts tried more than once have the same reaches
+    twice = tried.groupBy("seed", "hash").agg(F.min("reach").alias("a"), F.max("reach").alias("z")).where("a < z").select("seed", "hash")
+    partly = tried.where("alone").join(twice, ["seed", "hash"], "left_semi").select("h1", "h2", F.struct(F.col("first").alias("a"), (F.col("first") + window).alias("b")).alias("s"))
+    partly = partly.groupBy("h1", "h2").agg(F.collect_set("s").alias("partly"))
+
+    def span(x: Column) -> Column:
+        at = F.shiftright(x["place"], 2 * _REACH)
+        back = F.shiftright(x["place"], _REACH).bitwiseAND(F.lit(63))
+        return F.struct((at - back).alias("a"), (at - x["place"].bitwiseAND(F.lit(63)) + window).alias("b"))
+
+    whole = listed.select("h1", "h2", F.transform(F.filter("xs", lambda x: x["full"]), span).alias("whole"))
+    none = F.array().cast("array<struct<a:bigint,b:bigint>>")
+    return whole.join(partly, ["h1", "h2"], "left").select("h1", "h2", F.concat("whole", F.coalesce("partly", none)).alias("spans"))
 
 
 def remove_repeats(docs: DataFrame, key: str = "doc_id", window: int = WINDOW, gram: int = GRAM) -> DataFrame:
