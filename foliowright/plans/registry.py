@@ -1,4 +1,359 @@
-"""Registered queries and their SQL."""
+"""Registered queries over the driver's tables."""
 
-QUERIES: dict = {}
-ORACLE: dict = {}
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from foliowright.functions import fixed, text
+from foliowright.operators import correct, discovery, headers, rewrite, simjoin, speeches, vocab
+from foliowright.plans.oracle import ORACLE
+from foliowright.sources import pages as src
+
+
+class Corpus:
+    """The derived tables that queries share; each is a plan, computed where it is used."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        read = lambda name: spark.read.parquet(f"{sf_dir}/{name}.parquet")
+        self.docs, self.benchmark = read("documents"), read("benchmark")
+        self.pages, self.derived = src.from_documents(self.docs), src.derived(self.docs)
+
+    @property
+    def counts(self) -> DataFrame:
+        return vocab.word_counts(self.pages)
+
+    @property
+    def hyphen_counts(self) -> DataFrame:
+        return vocab.word_counts(self.pages, hyphens=True)
+
+    @property
+    def dictionary(self) -> DataFrame:
+        listed = self.benchmark.select(F.explode(text.words(F.col("text"))).alias("w")).select(F.lower("w").alias("word"))
+        return listed.unionByName(vocab.high_frequency(self.counts)).distinct()
+
+    @property
+    def candidates(self) -> DataFrame:
+        return discovery.candidates(self.counts)
+
+    @property
+    def lookup(self) -> DataFrame:
+        return correct.frequency_lookup(self.candidates)
+
+    @property
+    def unknown(self) -> DataFrame:
+        return vocab.invalid(self.counts, self.dictionary)
+
+    @property
+    def vocabulary(self) -> DataFrame:
+        return vocab.vocabulary(self.pages, self.dictionary)
+
+    @property
+    def suggestions(self) -> DataFrame:
+        return correct.suggestions(self.unknown, self.dictionary, self.vocabulary)
+
+    @property
+    def hybrid(self) -> DataFrame:
+        return correct.hybrid_confidence(self.hyphen_counts, self.dictionary)
+
+    @property
+    def paragraphs(self) -> DataFrame:
+        return speeches.ordered_paragraphs(self.derived)
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+
+
+def query(build: Callable[[Corpus], DataFrame]):
+    QUERIES[build.__name__] = lambda spark, sf_dir: build(Corpus(spark, sf_dir))
+    return build
+
+
+def _confidence():
+    return F.round("confidence", 2).alias("confidence")
+
+
+@query
+def word_frequency(c):
+    return c.counts
+
+
+@query
+def word_frequency_topk(c):
+    return c.counts.orderBy(F.desc("n"), "word").limit(100)
+
+
+@query
+def hyphen_word_frequency(c):
+    return c.hyphen_counts
+
+
+@query
+def corpus_totals(c):
+    return vocab.totals(c.counts)
+
+
+@query
+def high_frequency_dictionary(c):
+    return vocab.high_frequency(c.counts)
+
+
+@query
+def rare_words(c):
+    return vocab.rare(c.counts)
+
+
+@query
+def rare_word_gates(c):
+    return vocab.rare_gates(c.counts)
+
+
+@query
+def token_offsets(c):
+    return vocab.token_positions(c.pages)
+
+
+@query
+def token_context(c):
+    rows = vocab.token_positions(c.pages).join(c.docs.select(F.col("doc_id").alias("index"), "text"), "index")
+    return rows.select("index", "position", "word", text.context(F.col("text"), F.col("position")).alias("context"))
+
+
+@query
+def similar_words_top5(c):
+    return simjoin.best(discovery.similar(c.counts), 5)
+
+
+@query
+def error_candidates(c):
+    return c.candidates
+
+
+@query
+def substitution_char_patterns(c):
+    return discovery.character_patterns(c.candidates)
+
+
+@query
+def substitution_bigram_patterns(c):
+    return discovery.bigram_patterns(c.candidates)
+
+
+@query
+def substitution_top100(c):
+    return discovery.patterns(c.candidates)
+
+
+@query
+def discovery_summary(c):
+    return discovery.summary(c.counts)
+
+
+@query
+def frequency_lookup(c):
+    return c.lookup.select("rare_word", "correct_word", _confidence())
+
+
+@query
+def frequency_lookup_top20(c):
+    return c.lookup.select("rare_word", "correct_word", _confidence()).orderBy(F.desc("confidence"), "rare_word").limit(20)
+
+
+def _pages(rows: DataFrame) -> DataFrame:
+    return rows.select("index", "markdown", "n_corrections")
+
+
+@query
+def frequency_corrected_pages(c):
+    return _pages(rewrite.rewrite(c.pages, correct.frequency_replacements(c.counts, c.lookup)))
+
+
+@query
+def frequency_report(c):
+    made = correct.frequency_replacements(c.counts, c.lookup)
+    return rewrite.report(c.counts, made).join(made.select(F.col("word").alias("original"), _confidence()), "original")
+
+
+@query
+def confusion_exact_corrected_pages(c):
+    return _pages(rewrite.rewrite(c.pages, correct.confusion_replacements(c.counts)))
+
+
+@query
+def confusion_substring_candidates(c):
+    return correct.confusion_substrings(c.counts)
+
+
+@query
+def confusion_report(c):
+    return rewrite.report(c.counts, correct.confusion_replacements(c.counts))
+
+
+@query
+def vocabulary_sampled(c):
+    return c.vocabulary.select("word", "n")
+
+
+@query
+def unknown_words_anti_join(c):
+    return c.unknown
+
+
+@query
+def edit_distance_suggestions_top3(c):
+    rows = correct.edit_suggestions(c.unknown, c.vocabulary)
+    return rows.select("word", "suggestion", _confidence(), (F.col("ord") - 99).cast("long").alias("rank"))
+
+
+@query
+def error_candidate_records(c):
+    said = F.array_join(F.transform("suggestions", lambda s: F.concat(s["word"], F.lit(":"), F.format_string("%.2f", s["confidence"]))), "|")
+    found = c.suggestions.select("word", F.array_join("error_types", "|").alias("error_types"), said.alias("suggestions"))
+    rows = vocab.token_positions(c.pages).join(found, "word")
+    return rows.select(F.col("index").alias("page_index"), "position", F.col("word").alias("original_word"), "error_types", "suggestions")
+
+
+@query
+def auto_applied_pages(c):
+    return _pages(rewrite.rewrite(c.pages, correct.applied(c.suggestions, 0.5)))
+
+
+@query
+def errors_by_type(c):
+    rows = c.suggestions.join(c.counts, "word").select(F.explode("error_types").alias("error_type"), "n")
+    return rows.groupBy("error_type").agg(F.sum("n").alias("n"))
+
+
+@query
+def top_errors(c):
+    rows = c.suggestions.join(c.counts, "word").select(F.col("word").alias("original"), F.get("suggestions", F.lit(0))["word"].alias("suggested"), F.col("n").alias("count"))
+    return rows.orderBy(F.desc("count"), "original").limit(50)
+
+
+@query
+def hybrid_confidence(c):
+    return c.hybrid.select("word", "n", "suggestion", "suggestion_count", "edit_distance", _confidence())
+
+
+@query
+def hybrid_corrected_pages(c):
+    return _pages(rewrite.rewrite(c.pages, correct.hybrid_replacements(c.hybrid), hyphens=True))
+
+
+@query
+def hybrid_summary(c):
+    return correct.hybrid_summary(c.hyphen_counts, c.dictionary, c.hybrid)
+
+
+@query
+def hybrid_top_corrections(c):
+    rows = correct.hybrid_replacements(c.hybrid).join(c.hyphen_counts, "word")
+    return rows.select(F.concat_ws(" → ", "word", "replacement").alias("correction"), F.col("n").alias("count")).orderBy(F.desc("count"), "correction").limit(50)
+
+
+@query
+def entity_counts(c):
+    return vocab.entities(c.derived)
+
+
+def _first_line(c: Corpus) -> DataFrame:
+    return c.derived.select("index", F.split("markdown", "\n", 2)[0].alias("line"))
+
+
+@query
+def date_header_flag(c):
+    return _first_line(c).select("index", headers.is_date_header(F.col("line")).alias("is_date"))
+
+
+@query
+def house_header_fuzzy(c):
+    return _first_line(c).select("index", headers.is_house_header(F.col("line")).alias("is_house"))
+
+
+@query
+def header_extracted_pages(c):
+    return headers.extract_headers(c.derived).select("index", "header", "markdown")
+
+
+@query
+def header_count(c):
+    return headers.extract_headers(c.derived).agg(F.count("*").alias("pages"), F.count("header").alias("headers"))
+
+
+@query
+def footer_removed_pages(c):
+    return c.derived.select("index", headers.remove_footer(F.col("markdown")).alias("markdown"))
+
+
+@query
+def hyphen_joined_pages(c):
+    return headers.process(c.derived).select("index", "header", "markdown")
+
+
+@query
+def paragraphs(c):
+    return c.paragraphs.select("page", "para", "p")
+
+
+@query
+def house_headings(c):
+    return c.paragraphs.select("page", "para", speeches.bare_house(F.col("p")).alias("house")).where("house IS NOT NULL")
+
+
+@query
+def latin_dates(c):
+    return speeches.dated_heading(c.paragraphs).where("dated_house IS NOT NULL").select("page", "para", F.col("dated_house").alias("house"), "date_iso")
+
+
+@query
+def debate_titles(c):
+    return c.paragraphs.where(speeches.is_title(F.col("p"))).select("page", "para", F.col("p").alias("title"))
+
+
+@query
+def multi_speaker_chunks(c):
+    rows = c.paragraphs.where(~speeches.is_title(F.col("p"))).select("page", "para", F.posexplode(speeches.chunks(F.col("p"))).alias("chunk", "x"))
+    return rows.select("page", "para", F.col("chunk").cast("long").alias("chunk"), "x.speaker", "x.text")
+
+
+@query
+def detected_speakers(c):
+    return c.paragraphs.select("page", "para", speeches.detect_speaker(F.col("p")).alias("speaker")).where("speaker IS NOT NULL")
+
+
+@query
+def running_context(c):
+    rows = speeches.with_context(speeches.events(c.derived))
+    return rows.select("page", "para", "chunk", F.col("cur_house").alias("house"), F.col("cur_date").alias("date_iso"), F.col("cur_title").alias("debate_title"))
+
+
+@query
+def speeches_(c):
+    return speeches.speeches(c.derived).drop("volume").withColumn("pages", F.array_join(F.transform("pages", lambda p: p.cast("string")), "|"))
+
+
+QUERIES["speeches"] = QUERIES.pop("speeches_")
+
+
+@query
+def speech_pages(c):
+    return speeches.speeches(c.derived).select("id", F.explode("pages").alias("page"))
+
+
+def _sizes(rows: DataFrame) -> DataFrame:
+    return rows.select("index", F.length("markdown").cast("long").alias("chars"))
+
+
+@query
+def page_sample_first_n(c):
+    return _sizes(src.first_pages(c.pages, 100))
+
+
+@query
+def page_sample_every_10th(c):
+    return _sizes(src.every_nth_page(c.pages))
+
+
+__all__ = ["ORACLE", "QUERIES", "fixed"]
