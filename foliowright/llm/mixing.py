@@ -5,7 +5,7 @@ topic) of tokens; the cells' weights are raked, one margin after the other, unti
 sums of each margin are its targets; a document is kept with the probability that its
 cell's weight asks for, scaled so that the largest is one. Only the cells are iterated;
 each margin update is an aggregation and a join, so cells may be many; state between
-rounds is a checkpoint.
+rounds is a table in the shared folder.
 
 Targets are given, or tempered: a margin's own shares of tokens to the power ALPHA. The
 draw is a hash of the id, so that runs repeat and repeated rows share their fate.
@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from foliowright.llm.common import checkpointed
+from foliowright.llm.common import materialised, remove_path
 
 MARGINS = ("source", "lang", "topic")
 ALPHA, ROUNDS = 0.85, 6
@@ -56,21 +56,25 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame] | None = None, rounds:
 
     targets: by margin a table (value, share); margins without one are tempered.
     """
-    cells = checkpointed(cells.where("tokens > 0").withColumn("w", F.col("tokens").cast("double")))
+    spark = cells.sparkSession
+    cells, path = materialised(cells.where("tokens > 0").withColumn("w", F.col("tokens").cast("double")), "cells")
     goal = {}
     for m in MARGINS:
         if targets and m in targets:
             raw = targets[m].select(F.col("value").alias(m), F.col("share").alias("goal"))
         else:
             raw = cells.groupBy(m).agg(F.pow(F.sum("w"), F.lit(alpha)).alias("goal"))
-        raw = checkpointed(raw)
+        raw = materialised(raw, f"goal-{m}")[0]
         goal[m] = raw.select(m, (F.col("goal") / F.lit(raw.agg(F.sum("goal")).first()[0] or 1.0)).alias("goal"))
     out = cells
     for _ in range(rounds):
         for m in MARGINS:
             factor = out.groupBy(m).agg(F.sum("w").alias("sum")).join(goal[m], m, "left").select(m, (F.coalesce("goal", F.lit(0.0)) / F.col("sum")).alias("factor"))
             out = out.join(factor, m).select(*MARGINS, "tokens", (F.col("w") * F.col("factor")).alias("w"))
-        out = checkpointed(out)
+        # a table's size is known when the next round is planned; a checkpoint would keep an estimate that each join squares
+        out, done = materialised(out, "cells")
+        remove_path(spark, path)
+        path = done
     n, most = out.agg(F.count("*"), F.max(F.col("w") / F.col("tokens"))).first()
     out = out.select(*MARGINS, (F.col("w") / F.col("tokens") / F.lit(most or 1.0)).alias("probability"))
     return F.broadcast(out) if n <= BROADCAST else out
