@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from foliowright.llm.common import checkpointed
+from foliowright.llm.common import materialised, remove_path
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -27,12 +27,15 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     Each round replaces a node's larger neighbours' links by links to its least one, and
     then its own by links to the least; the rounds needed grow with the logarithm of the
     edges. A node's neighbours are only aggregated and joined, never gathered. State
-    between rounds is a checkpoint in the shared folder.
+    between rounds is a table in the shared folder, so that the planner knows its size.
     """
     edges = edges.select("a", "b").where("a <> b")
-    last = None
+    last = path = None
     for _ in range(rounds):
-        edges = checkpointed(_small_star(_large_star(edges).distinct()).where("a <> b").distinct())
+        edges, done = materialised(_small_star(_large_star(edges).distinct()).where("a <> b").distinct(), "edges")
+        if path:
+            remove_path(edges.sparkSession, path)
+        path = done
         state = edges.agg(F.count("*"), F.coalesce(F.bit_xor(F.xxhash64("a", "b")), F.lit(0))).first()
         if state == last:
             return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
