@@ -73,12 +73,14 @@ DASH_LABEL = (
     r"|Several\s+Honourable\s+Members|Several\s+Irish\s+Members\s+together|Many\s+Honourable\s+Members|[A-Z][A-Z\s\.'-]+))\s*[–—\-]\s"
 )
 
-VERB_LABEL = (
-    r"(?i)^((?:Mr|MR|Mrs|MRS|Miss|MISS|Ms|MS|Dr|DR|Sir|SIR|Lord|LORD|Lady|LADY|Colonel|COLONEL|Major|MAJOR|Captain|CAPTAIN"
+VERB_TITLES = (
+    r"Mr|MR|Mrs|MRS|Miss|MISS|Ms|MS|Dr|DR|Sir|SIR|Lord|LORD|Lady|LADY|Colonel|COLONEL|Major|MAJOR|Captain|CAPTAIN"
     r"|Viscount|VISCOUNT|Earl|EARL|Duke|DUKE|Marquess|MARQUESS|The\s+MARQUESS\s+of\s+[A-Z][A-Za-z'-]+|The\s+EARL\s+of\s+[A-Z][A-Za-z'-]+"
-    r"|The\s+DUKE\s+of\s+[A-Z][A-Za-z'-]+|The\s+LORD\s+CHANCELLOR|The\s+CHANCELLOR\s+of\s+the\s+EXCHEQUER)(?:\s+[A-Z][A-Za-z\.'-]+)*)\s+"
-    r"(?:presented|brought\s+up|brought\s+in|gave\s+notice|then\s+gave\s+notice|moved|rose\s+to\s+move)\b"
+    r"|The\s+DUKE\s+of\s+[A-Z][A-Za-z'-]+|The\s+LORD\s+CHANCELLOR|The\s+CHANCELLOR\s+of\s+the\s+EXCHEQUER"
 )
+FURTHER_NAME = r"\s+[A-Z][A-Za-z\.'-]+"
+VERBS = r"presented|brought\s+up|brought\s+in|gave\s+notice|then\s+gave\s+notice|moved|rose\s+to\s+move"
+VERB_LABEL = rf"(?i)^((?:{VERB_TITLES})(?:{FURTHER_NAME})*)\s+(?:{VERBS})\b"
 
 NAME_LABEL = (
     r"^((?:Mr|MR|Mrs|MRS|Miss|MISS|Ms|MS|Dr|DR|Sir|SIR|Lord|LORD|Lady|LADY|Colonel|COLONEL|Major|MAJOR|Captain|CAPTAIN)\.?\s+[A-Z][A-Za-z\.'-]+)"

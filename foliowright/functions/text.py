@@ -43,7 +43,7 @@ def rstrip(text: Column) -> Column:
 def paragraphs(text: Column) -> Column:
     """Runs of lines that aren't blank, stripped."""
     lines = F.regexp_replace(text, _BREAKS, "\n")
-    return F.filter(F.transform(F.split(lines, r"\n(?:[^\S\n]*\n)+"), strip), lambda p: p != "")
+    return F.filter(F.transform(F.split(lines, r"\n(?:[^\S\n]*+\n)++"), strip), lambda p: p != "")
 
 
 def is_proper(word: Column) -> Column:

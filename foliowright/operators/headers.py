@@ -31,7 +31,8 @@ def remove_footer(markdown: Column) -> Column:
 
 def extract_headers(pages: DataFrame) -> DataFrame:
     """header and markdown set from a header line with a blank line behind it."""
-    pattern = f"(?sd){fixed.HEADER_AND_REST}"
+    # blank lines are never given back, so the matcher needn't recurse for each
+    pattern = "(?sd)" + fixed.HEADER_AND_REST.replace(r"\n)*", r"\n)*+")
     line = text.strip(F.regexp_extract("markdown", pattern, 1))
     rows = pages.withColumn("_line", line).withColumn("_is", (F.col("_line") != "") & is_header(F.col("_line")))
     rest = F.when(F.col("_is"), F.regexp_extract("markdown", pattern, 2)).otherwise(F.col("markdown"))

@@ -51,6 +51,11 @@ def dated_heading(rows: DataFrame) -> DataFrame:
     return rows.drop("_house", "_t", "_n", "_last", "_token")
 
 
+def _bounded(pattern: str) -> str:
+    """Java's matcher recurses for each round of a group; no heading has more names than this."""
+    return pattern.replace(")*", "){0,1000}")
+
+
 def is_title(p: Column) -> Column:
     letters = F.regexp_replace(p, "[^A-Za-z]+", "")
     return (letters != "") & (letters == F.upper(letters)) & ~p.contains("\n") & ~F.upper(p).startswith("HOUSE OF ")
@@ -58,7 +63,7 @@ def is_title(p: Column) -> Column:
 
 def chunks(p: Column) -> Column:
     """(speaker, text) of each speaker's heading in a paragraph; what precedes the first is lost."""
-    marked = F.regexp_replace(p, f"(?mdU)^({fixed.SPEAKER_START})\\s*—", "\u0001$1\u0002")
+    marked = F.regexp_replace(p, f"(?mdU)^({_bounded(fixed.SPEAKER_START)})\\s*—", "\u0001$1\u0002")
     parts = F.split(marked, "\u0001")
     parts = F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 1, F.lit(0)))
 
@@ -73,16 +78,20 @@ def detect_speaker(p: Column) -> Column:
     """The label at the start of a paragraph: before a dash, before a verb, or a title and a name."""
     line = text.strip(F.split(p, "\n", 2)[0])
 
-    def label(pattern: str) -> Column:
-        found = F.rtrim(text.strip(F.regexp_extract(line, pattern, 1)), F.lit(".,;:—-"))
+    def label(source: Column, pattern: str) -> Column:
+        found = F.rtrim(text.strip(F.regexp_extract(source, pattern, 1)), F.lit(".,;:—-"))
         generic = F.rtrim(text.strip(F.upper(found)), F.lit(".:;—-")).rlike(f"^(?:{'|'.join(fixed.NON_SPEAKERS)})")
-        return F.when(line.rlike(pattern) & ~generic, found)
+        return F.when(source.rlike(pattern) & ~generic, found)
 
-    return F.nullif(F.coalesce(label(fixed.DASH_LABEL), label(fixed.VERB_LABEL), label(fixed.NAME_LABEL)), F.lit(""))
+    # a title and all words behind it, and in these the last verb: Java's matcher would
+    # recurse for each word if it had to give words back one by one
+    run = F.regexp_extract(line, rf"(?is)^(?:{fixed.VERB_TITLES})(?:{fixed.FURTHER_NAME})*+.?", 0)
+    last_verb = rf"(?is)^((?:{fixed.VERB_TITLES})(?:\s.*\S)?)\s+(?:{fixed.VERBS})\b"
+    return F.nullif(F.coalesce(label(line, fixed.DASH_LABEL), label(run, last_verb), label(line, fixed.NAME_LABEL)), F.lit(""))
 
 
 def body(p: Column) -> Column:
-    return text.strip(F.regexp_replace(p, fixed.HEADING_OF_BODY, ""))
+    return text.strip(F.regexp_replace(p, _bounded(fixed.HEADING_OF_BODY), ""))
 
 
 def events(pages: DataFrame) -> DataFrame:

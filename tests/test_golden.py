@@ -195,3 +195,14 @@ def test_stream(spark, tmp_path):
     query.processAllAvailable()
     query.stop()
     assert [(r.header, r.markdown) for r in spark.table("cleaned").collect()] == [("HOUSE OF COMMONS.", "body")]
+
+
+def test_long_lines_of_names(spark):
+    names = " NAME" * 20000
+    rows = spark.createDataFrame([("Sir" + names + " moved it",), ("Sir" + names,), ("An" + " Odd" * 20000,), ("\n" * 20000 + "x",)], "p string")
+    got = [r.s and len(r.s) for r in rows.select(speeches.detect_speaker(F.col("p")).alias("s")).collect()]
+    assert got == [3 + len(names), 8, None, None]
+    assert rows.select(speeches.chunks(F.col("p")), speeches.body(F.col("p")), text.paragraphs(F.col("p"))).count() == 4
+    pages = make_pages(spark, [r.p for r in rows.collect()])
+    assert headers.process(pages).count() == 4
+    assert speeches.speeches(pages).count() >= 0
