@@ -24,7 +24,7 @@ from foliowright.llm import gru
 from foliowright.llm.common import text_bytes
 
 HIDDEN, PIECE, BATCH = 8, 128, 1024
-TRAIN_DOCS, DOC_PIECES, EPOCHS = 300, 3, 3
+TRAIN_DOCS, DOC_PIECES, EPOCHS, STEPS = 300, 3, 3, 200
 UNKNOWN = "und"
 
 
@@ -105,6 +105,7 @@ class Model:
     def train(self, pieces: list[bytes], targets: np.ndarray, epochs: int = EPOCHS, batch: int = 128, rate: float = 0.02, seed: int = 3) -> None:
         rng, p = np.random.default_rng(seed), self.p
         adam = gru.Adam(p, rate)
+        epochs = max(epochs, -(-STEPS * batch // max(len(pieces), 1)))
         for epoch in range(epochs):
             order = rng.permutation(len(pieces))
             adam.rate = rate * (1 - epoch / epochs)
