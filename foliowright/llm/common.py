@@ -15,6 +15,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def apart(docs: DataFrame, *used: str) -> tuple[DataFrame, list[str]]:
+    """docs with all columns but those used renamed, so that none clashes with an operator's own, and the names given."""
+    return docs.toDF(*[c if c in used else f"_extra_{i}" for i, c in enumerate(docs.columns)]), docs.columns
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: the session's spark.checkpoint.dir.
 

@@ -22,7 +22,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from foliowright.llm.common import in_chunks, text_bytes
+from foliowright.llm.common import apart, in_chunks, text_bytes
 from foliowright.llm.wordscan import anchors, covered, scan
 
 WINDOW, GRAM, KIND = 10, 4, "alnum_lower"
@@ -208,11 +208,12 @@ def _by_join(docs: DataFrame, windows: DataFrame, key: str, window: int, gram: i
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, window: int = WINDOW, gram: int = GRAM, broadcast: int = BROADCAST) -> DataFrame:
     """The documents in which no window of an item occurs; rows are kept as they are."""
-    keyed = docs.withColumn("_text", F.xxhash64("text")).withColumn("_text2", F.xxhash64(F.lit(1), "text"))
+    rows, names = apart(docs, "text")
+    keyed = rows.withColumn("_text", F.xxhash64("text")).withColumn("_text2", F.xxhash64(F.lit(1), "text"))
     key = F.struct("_text", "_text2").alias("_key")
     found = contamination(keyed.select(key, "text"), items, "_key", window, gram, broadcast)
     gone = found.where("contaminated").select(F.col("_key._text").alias("_text"), F.col("_key._text2").alias("_text2")).distinct()
-    return keyed.join(gone, ["_text", "_text2"], "left_anti").drop("_text", "_text2")
+    return keyed.join(gone, ["_text", "_text2"], "left_anti").select(*rows.columns).toDF(*names)
 
 
 #: op9's result in DuckDB SQL.

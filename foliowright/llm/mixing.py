@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from foliowright.llm.common import materialised, remove_path
+from foliowright.llm.common import apart, materialised, remove_path
 
 MARGINS = ("source", "lang", "topic")
 ALPHA, ROUNDS = 0.85, 6
@@ -44,8 +44,8 @@ def topic(text: Column) -> Column:
 
 
 def described(docs: DataFrame) -> DataFrame:
-    """docs with _source, _lang, _topic and _tokens."""
-    return docs.select(
+    """docs with _source, _lang, _topic and _tokens; columns that bear a name of this module's own are left out."""
+    return docs.drop("_source", "_lang", "_topic", "_tokens", "_probability", "_kept", "_found").select(
         "*", F.coalesce(F.col("source"), F.lit("?")).alias("_source"), F.coalesce(F.col("lang"), F.lit("?")).alias("_lang"),
         topic(F.col("text")).alias("_topic"), n_words(F.col("text")).alias("_tokens"),
     )
@@ -98,7 +98,8 @@ def weighed(docs: DataFrame, key: str = "doc_id", targets: dict[str, DataFrame]
 
 def mix(docs: DataFrame, key: str = "doc_id", **how) -> DataFrame:
     """The documents drawn, with the columns of docs."""
-    return weighed(docs, key, **how).where("_kept").select(*docs.columns)
+    rows, names = apart(docs, key, "text", "source", "lang")
+    return weighed(rows, key, **how).where("_kept").select(*rows.columns).toDF(*names)
 
 
 def sql(rounds: int = ROUNDS, alpha: float = ALPHA, documents: str = "documents") -> str:

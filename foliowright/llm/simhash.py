@@ -25,7 +25,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from foliowright.llm.common import checkpointed, text_bytes
+from foliowright.llm.common import apart, checkpointed, text_bytes
 from foliowright.llm.components import components
 
 RADIUS = 4
@@ -193,14 +193,24 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", size: int = 4, radius:
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", **how) -> DataFrame:
-    """Documents without all but one (the least key) of each component; those without a key stay."""
+    """Documents without all but one of each component: that of the least key, then of the least hash of the text.
+
+    Rows that share a key are told apart by their texts; rows alike in both are one
+    document. Those without a key stay, and no other goes for their sake.
+    """
     from pyspark.sql import Window as W
 
-    found = near_duplicates(docs, key, **how)
-    gone = found.where(F.col(key) != F.col("component_id")).select(key).distinct()
-    rest = docs.join(gone, key, "left_anti")
-    nth = F.row_number().over(W.partitionBy(key).orderBy("text"))
-    return rest.withColumn("_nth", F.when(F.col(key).isNull(), 1).otherwise(nth)).where("_nth = 1").drop("_nth")
+    rows, names = apart(docs, key, "text")
+    rows = rows.withColumn("_h1", F.xxhash64("text")).withColumn("_h2", F.xxhash64(F.lit(1), "text"))
+    who = F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("id"), F.col("_h1").alias("h1"), F.col("_h2").alias("h2"))
+    found = near_duplicates(rows.select(who.alias("who"), "text"), "who", **how)
+    gone = found.where(~F.col("who.none") & (F.col("who") != F.col("component_id"))).select("who.id", "who.h1", "who.h2").distinct()
+    same = (F.col(key) == F.col("id")) & (F.col("_h1") == F.col("h1")) & (F.col("_h2") == F.col("h2"))
+    rest = rows.join(gone, same, "left_anti")
+    order = [f.name for f in rows.schema if f.dataType.typeName() in ("string", "long", "integer", "double", "boolean")]
+    nth = F.row_number().over(W.partitionBy(key, "_h1", "_h2").orderBy(*order))
+    one = rest.withColumn("_nth", F.when(F.col(key).isNull(), 1).otherwise(nth)).where("_nth = 1")
+    return one.select(*[c for c in rows.columns if c not in ("_h1", "_h2")]).toDF(*names)
 
 
 __all__ = ["cells", "fingerprint", "fingerprints", "keep_one", "links", "near_duplicates"]

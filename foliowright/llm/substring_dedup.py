@@ -22,8 +22,6 @@ are ignored.
 
 from __future__ import annotations
 
-import hashlib
-
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
