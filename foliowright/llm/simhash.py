@@ -192,8 +192,8 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", size: int = 4, radius:
     return out.select(key, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def keep_one(docs: DataFrame, key: str = "doc_id", **how) -> DataFrame:
-    """Documents without all but one of each component: that of the least key, then of the least hash of the text.
+def keep_one(docs: DataFrame, key: str = "doc_id", find=near_duplicates, **how) -> DataFrame:
+    """Documents without all but one of each component that find names: that of the least key, then of the least hash of the text.
 
     Rows that share a key are told apart by their texts; rows alike in both are one
     document. Those without a key stay, and no other goes for their sake.
@@ -203,7 +203,7 @@ def keep_one(docs: DataFrame, key: str = "doc_id", **how) -> DataFrame:
     rows, names = apart(docs, key, "text")
     rows = rows.withColumn("_h1", F.xxhash64("text")).withColumn("_h2", F.xxhash64(F.lit(1), "text"))
     who = F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("id"), F.col("_h1").alias("h1"), F.col("_h2").alias("h2"))
-    found = near_duplicates(rows.select(who.alias("who"), "text"), "who", **how)
+    found = find(rows.select(who.alias("who"), "text"), "who", **how)
     gone = found.where(~F.col("who.none") & (F.col("who") != F.col("component_id"))).select("who.id", "who.h1", "who.h2").distinct()
     same = (F.col(key) == F.col("id")) & (F.col("_h1") == F.col("h1")) & (F.col("_h2") == F.col("h2"))
     rest = rows.join(gone, same, "left_anti")
