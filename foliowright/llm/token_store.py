@@ -253,8 +253,18 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     return rows.mapInArrow(documents, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
+def holds(stored: bytes, key, occurrence: int = 0) -> bool:
+    """Whether a shard's stored keys, which ascend, have this one."""
+    own = np.frombuffer(stored, [("has", "u1"), ("key", "<i8"), ("nth", "<u4")])
+    nulls = int(np.searchsorted(own["has"], 1))
+    if key is None:
+        return bool((own["nth"][:nulls] == occurrence).any())
+    a, b = nulls + np.searchsorted(own["key"][nulls:], key, "left"), nulls + np.searchsorted(own["key"][nulls:], key, "right")
+    return bool((own["nth"][a:b] == occurrence).any())
+
+
 def lookup(spark: SparkSession, path: str, keys: list[int]) -> dict[int, np.ndarray]:
-    """The ids of a few keys, by key."""
+    """The ids of the first occurrence of a few keys, by key. Every shard of the store is read and asked."""
     wanted = list(keys)
     rows = spark.read.schema(SHARD).parquet(path)
 
@@ -265,7 +275,8 @@ def lookup(spark: SparkSession, path: str, keys: list[int]) -> dict[int, np.ndar
             for x in batch.to_pylist():
                 shard = Shard(x["width"], x["payload"], x["slots"], x["levels"])
                 for k in wanted:
-                    if (ids := shard.get(k)) is not None:
+                    # a fingerprint may match in a shard that doesn't have the key
+                    if (ids := shard.get(k)) is not None and holds(x["key"], k):
                         yield pa.RecordBatch.from_arrays([pa.array([k], pa.int64()), pa.array([ids.astype("<u4").tobytes()], pa.binary())], ["k", "ids"])
 
     return {r.k: np.frombuffer(r.ids, "<u4") for r in rows.mapInArrow(find, "k long, ids binary").collect()}

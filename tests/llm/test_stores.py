@@ -36,6 +36,15 @@ def test_token_store_round_trip(spark):
     remove_path(spark, path)
 
 
+def test_stored_keys_tell_foreign_fingerprints(monkeypatch):
+    monkeypatch.setattr(token_store, "fingerprints", lambda words: np.zeros(len(words), np.uint32))
+    row = token_store.pack_shard(0, 0, 0, [None, 4, 4, 9], [0, 0, 1, 0], [b"ab"] * 4, 2)
+    shard = token_store.Shard(2, row["payload"], row["slots"], row["levels"])
+    assert any(shard.get(k) is not None for k in range(100, 200))
+    assert not any(token_store.holds(row["key"], k) for k in range(100, 200))
+    assert [token_store.holds(row["key"], *k) for k in [(None, 0), (4, 0), (4, 1), (9, 0), (9, 1), (None, 1)]] == [True] * 4 + [False] * 2
+
+
 def test_empty_store(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert token_store.store_tokens(docs, tokenizer_path(), 2).count() == 0
