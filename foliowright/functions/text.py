@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -59,10 +61,44 @@ def capitalized(word: Column) -> Column:
     return F.concat(F.upper(F.left(word, F.lit(1))), F.lower(F.substr(word, F.lit(2))))
 
 
-def context(text: Column, position: Column, width: int = 50) -> Column:
-    """The text from width before the position to width behind it."""
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), with the value computed once even where use reads it for each element of an array."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def running_sums(values: Column, block: int = 512) -> Column:
+    """Sums of an array's integers up to and with each one, in time linear in the array.
+
+    Appending to an array copies it, so sums are made block by block and then shifted.
+    """
+
+    def sums(xs: Column) -> Column:
+        none = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<bigint>").alias("out"))
+        return F.aggregate(xs, none, lambda acc, x: F.struct((acc["at"] + x).alias("at"), F.array_append(acc["out"], acc["at"] + x).alias("out")), lambda acc: acc["out"])
+
+    def shifted(blocks: Column) -> Column:
+        totals = sums(F.transform(blocks, lambda b: F.coalesce(F.get(b, F.size(b) - 1), F.lit(0).cast("long"))))
+        before = F.concat(F.array(F.lit(0).cast("long")), totals)
+        return F.flatten(F.zip_with(blocks, F.slice(before, F.lit(1), F.size(blocks)), lambda b, t: F.transform(b, lambda x: x + t)))
+
+    def blocked(xs: Column) -> Column:
+        starts = F.sequence(F.lit(0), F.greatest(F.size(xs) - 1, F.lit(0)), F.lit(block))
+        return bound(F.transform(starts, lambda i: sums(F.slice(xs, i + 1, F.lit(block)))), shifted)
+
+    return bound(values, blocked)
+
+
+def blocks_of(text: Column, size: int) -> Column:
+    """The text cut into pieces of that many code points."""
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{size}}}"), F.lit(0))
+
+
+def context(blocks: Column, size: int, position: Column, width: int = 50) -> Column:
+    """The text from width before the position to width behind it, from the text's blocks of that size, 2 * width at least."""
     start = F.greatest(position - width, F.lit(0))
-    return F.substr(text, start.cast("int") + 1, (position + width - start).cast("int"))
+    at = F.floor(start / size).cast("int")
+    near = F.concat(F.get(blocks, at), F.coalesce(F.get(blocks, at + 1), F.lit("")))
+    return F.substr(near, (start - at * size).cast("int") + 1, (position + width - start).cast("int"))
 
 
 def count_in(text: Column, part: Column) -> Column:

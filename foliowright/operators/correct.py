@@ -27,6 +27,14 @@ def frequency_lookup(candidates: DataFrame, threshold: float = 0.85) -> DataFram
     return rows.groupBy("rare_word").agg(best.alias("b")).select("rare_word", F.col("b.suggested_correction").alias("correct_word"), F.col("b.confidence").alias("confidence"))
 
 
+def skipped(candidates: DataFrame) -> DataFrame:
+    """skipped_proper_nouns and skipped_all_caps of a report's candidates, in one row."""
+    word = F.col("rare_word")
+    named = (word != "") & (F.col("suggested_correction") != "")
+    proper = named & text.is_proper(word)
+    return candidates.agg(F.count_if(proper).alias("skipped_proper_nouns"), F.count_if(named & ~text.is_proper(word) & text.is_caps(word)).alias("skipped_all_caps"))
+
+
 def frequency_replacements(counts: DataFrame, lookup: DataFrame) -> DataFrame:
     """(word, replacement, confidence) for the spellings that occur; capitals and names stay."""
     word = F.col("word")
@@ -49,9 +57,11 @@ def _exact(word: Column) -> Column:
     return out
 
 
-def confusion_replacements(counts: DataFrame) -> DataFrame:
-    """(word, replacement): words of the table, as they are or in capitals."""
-    return counts.select("word", _exact(F.col("word")).alias("replacement")).where("replacement IS NOT NULL AND word <> replacement")
+def confusion_replacements(counts: DataFrame, threshold: float = 0.90) -> DataFrame:
+    """(word, replacement, confidence) that reach the threshold: words of the table, as they are or in capitals, then patterns inside words."""
+    exact = counts.select("word", _exact(F.col("word")).alias("replacement"), F.lit(0.95).alias("confidence")).where("replacement IS NOT NULL")
+    inside = confusion_substrings(counts).select("word", F.col("corrected").alias("replacement"), "confidence")
+    return exact.unionByName(inside).where((F.col("confidence") >= threshold) & (F.col("word") != F.col("replacement")))
 
 
 def confusion_substrings(counts: DataFrame) -> DataFrame:
@@ -131,10 +141,10 @@ def hybrid_replacements(scored: DataFrame, threshold: float = 0.7) -> DataFrame:
     return scored.where((F.col("confidence") >= threshold) & (F.col("word") != F.col("suggestion"))).select("word", F.col("suggestion").alias("replacement"), "confidence")
 
 
-def hybrid_summary(counts: DataFrame, dictionary: DataFrame, scored: DataFrame) -> DataFrame:
+def hybrid_summary(counts: DataFrame, dictionary: DataFrame, scored: DataFrame, threshold: float = 0.7) -> DataFrame:
     """words_checked, words_invalid, total_corrections and unique_correction_types in one row."""
     checked = hybrid_open(counts).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("words_checked"))
     wrong = hybrid_invalid(counts, dictionary).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("words_invalid"))
-    made = hybrid_replacements(scored).join(counts, "word").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total_corrections"), F.count("*").alias("unique_correction_types"))
+    made = hybrid_replacements(scored, threshold).join(counts, "word").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total_corrections"), F.count("*").alias("unique_correction_types"))
     one = lambda df: df.withColumn("_k", F.lit(1))  # noqa: E731  one row each
     return one(checked).join(one(wrong), "_k").join(one(made), "_k").drop("_k")

@@ -50,6 +50,11 @@ def patterns(found: DataFrame, k: int = 100) -> DataFrame:
     return both.orderBy(F.desc("count"), "wrong", "meant").limit(k)
 
 
+def most_frequent(found: DataFrame, k: int = 50) -> DataFrame:
+    """The k candidates that occur most often; ties by letters."""
+    return found.orderBy(F.desc("rare_count"), "rare_word").limit(k)
+
+
 def summary(counts: DataFrame) -> DataFrame:
     """total_words, unique_words, high_frequency_words and rare_words in one row."""
     least = F.count_distinct(F.when(F.col("n") >= 10, F.lower("word")))

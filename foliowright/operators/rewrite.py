@@ -12,12 +12,15 @@ def rewrite(pages: DataFrame, lookup: DataFrame, hyphens: bool = False) -> DataF
     """(volume, pos, index, markdown, n_corrections), words replaced by lookup (word, replacement).
 
     Only the distinct words of a page meet the lookup; what applies to a page comes back
-    to it as a small map, so that its tokens are never dealt out.
+    to it as a small map, so that its tokens are never dealt out. Rows that share a place
+    share the map, which holds all their words; a word has one replacement.
     """
     find = text.hyphen_words if hyphens else text.words
     own = pages.select("volume", "pos", F.explode(F.array_distinct(find(F.col("markdown")))).alias("word"))
-    found = own.join(lookup.select("word", "replacement"), "word").groupBy("volume", "pos").agg(F.map_from_entries(F.collect_list(F.struct("word", "replacement"))).alias("_map"))
-    rows = pages.select("volume", "pos", "index", "markdown").join(found, ["volume", "pos"], "left")
+    found = own.join(lookup.select("word", "replacement"), "word").groupBy("volume", "pos").agg(F.map_from_entries(F.collect_set(F.struct("word", "replacement"))).alias("_map"))
+    found = found.select(F.col("volume").alias("_volume"), F.col("pos").alias("_pos"), "_map")
+    here = F.col("volume").eqNullSafe(F.col("_volume")) & F.col("pos").eqNullSafe(F.col("_pos"))
+    rows = pages.select("volume", "pos", "index", "markdown").join(found, here, "left").drop("_volume", "_pos")
     parts = F.when(F.col("_map").isNotNull(), text.pieces(F.col("markdown"), hyphens))
     rows = rows.withColumn("_parts", parts)
     changed = F.array_join(F.transform("_parts", lambda p: F.coalesce(F.try_element_at("_map", p), p)), "")
@@ -28,3 +31,11 @@ def rewrite(pages: DataFrame, lookup: DataFrame, hyphens: bool = False) -> DataF
 def report(counts: DataFrame, lookup: DataFrame) -> DataFrame:
     """(original, corrected, count), from the corpus counts."""
     return counts.join(lookup, "word").select(F.col("word").alias("original"), F.col("replacement").alias("corrected"), F.col("n").alias("count"))
+
+
+def page_corrections(pages: DataFrame, lookup: DataFrame, hyphens: bool = False) -> DataFrame:
+    """(volume, pos, index, original, correction, confidence, count): what rewriting does to each page."""
+    find = text.hyphen_words if hyphens else text.words
+    own = pages.select("volume", "pos", "index", F.explode(find(F.col("markdown"))).alias("word"))
+    counts = own.groupBy("volume", "pos", "index", "word").agg(F.count("*").alias("count"))
+    return counts.join(lookup, "word").select("volume", "pos", "index", F.col("word").alias("original"), F.col("replacement").alias("correction"), "confidence", "count")

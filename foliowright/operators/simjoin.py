@@ -1,26 +1,78 @@
-"""Edit-distance joins, blocked so that they are equi-joins."""
+"""Edit-distance joins, blocked by shared parts so that they are equi-joins without loss."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+RADIUS = 2
+#: right words up to this length meet by what is left after deletions, longer ones by pieces
+SHORT = 9
 
-def similar_words(left: DataFrame, right: DataFrame, radius: int = 2) -> DataFrame:
+
+def _deletions(word: Column) -> Column:
+    """The word and what is left of it without one letter and without two."""
+    size = F.length(word)
+    without = lambda w, i: F.concat(F.substr(w, F.lit(1), i - 1), F.substr(w, i + 1))
+    upto = lambda a, z: F.when(a <= z, F.sequence(a, z)).otherwise(F.array().cast("array<int>"))
+    one = F.transform(upto(F.lit(1), size), lambda i: without(word, i))
+    two = F.flatten(F.transform(upto(F.lit(1), size - 1), lambda i: F.transform(upto(i, size - 1), lambda j: without(without(word, i), j))))
+    return F.array_distinct(F.concat(F.array(word), one, two))
+
+
+def _piece(word: Column, size: Column, i: int, shift: int = 0) -> Column:
+    """Key of piece i (0, 1, 2) of a right word of that length, read in word at the piece's place moved by shift."""
+    base = F.floor(size / 3).cast("int")
+    length = base if i < 2 else size - base * 2
+    start = base * i + shift
+    fits = (start >= 0) & (start + length <= F.length(word)) & (size > SHORT)
+    return F.when(fits, F.xxhash64(F.lit(i), size, F.substr(word, start + 1, length)))
+
+
+def _own_keys(near: Column) -> Column:
+    short = F.transform(_deletions(near), lambda x: F.xxhash64(x))
+    pieces = F.array(*[_piece(near, F.length(near), i) for i in range(3)])
+    return F.when(F.length(near) <= SHORT, short).otherwise(pieces)
+
+
+def _probe_keys(word: Column) -> Column:
+    """Keys at which a word meets every right word within the radius.
+
+    Of three pieces of a right word one is untouched by two edits. If it is the first such
+    piece, piece i has i edits at least before it, hence at most RADIUS - i behind it, and
+    its place in the word moves by no more than either side allows.
+    """
+    short = F.when(F.length(word) <= SHORT + RADIUS, F.transform(_deletions(word), lambda x: F.xxhash64(x))).otherwise(F.array().cast("array<bigint>"))
+    pieces = []
+    for longer in range(-RADIUS, RADIUS + 1):
+        for i in range(3):
+            for shift in range(-i, i + 1):
+                if abs(shift - longer) <= RADIUS - i:
+                    pieces.append(_piece(word, F.length(word) - longer, i, shift))
+    return F.array_distinct(F.concat(short, F.filter(F.array(*pieces), lambda k: k.isNotNull())))
+
+
+def similar_words(left: DataFrame, right: DataFrame, radius: int = RADIUS) -> DataFrame:
     """(word, similar, distance, n): right words within the radius of each left word, itself excluded.
 
-    left: (word); right: lower-case (word, n). Pairs differ by at most `radius` in length
-    and in the rank of the first letter; the dictionary's side is dealt to all cells that
-    a partner may be in, so that each word meets it in its own cell only.
+    left: distinct (word); right: lower-case distinct (word, n). Pairs differ by at most
+    `radius` in the rank of the first letter, and a right word starts with a to z.
+
+    Words meet by equal keys only: what is left of both after the deletion of up to two
+    letters (short right words), or an untouched piece of three at about its place (longer
+    ones). A word has at most 67 keys of the first kind and 19 of the second, whatever the
+    vocabulary; a key of short words stands for few words, since few short words exist.
     """
-    a, z, reach = ord("a"), ord("z"), range(-radius, radius + 1)
-    first = F.ascii("word")
-    cells = F.array(*[F.struct((F.ascii("near") + i).alias("letter"), (F.length("near") + j).alias("size")) for i in reach for j in reach])
-    dealt = right.select(F.col("word").alias("near"), "n").select("near", "n", F.inline(cells)).where(F.col("letter").between(a, z))
-    own = left.withColumn("lower", F.lower("word")).select("word", "lower", F.ascii("lower").alias("letter"), F.length("word").alias("size"))
-    pairs = own.join(dealt, ["letter", "size"]).withColumn("distance", F.levenshtein("lower", "near", radius))
-    return pairs.where(F.col("distance").between(1, radius)).select("word", "near", F.col("distance").cast("long").alias("distance"), "n")
+    if not 0 < radius <= RADIUS:
+        raise ValueError("keys are made for a distance of up to 2")
+    dealt = right.where(F.ascii("word").between(ord("a"), ord("z"))).select(F.col("word").alias("near"), "n").select("near", "n", F.explode(_own_keys(F.col("near"))).alias("key"))
+    own = left.withColumn("lower", F.lower("word")).select("word", "lower", F.explode(_probe_keys(F.col("lower"))).alias("key"))
+    close = (F.abs(F.length("lower") - F.length("near")) <= radius) & (F.abs(F.ascii("lower") - F.ascii("near")) <= radius) & (F.col("lower") != F.col("near"))
+    pairs = own.join(dealt, "key").where(close).withColumn("distance", F.levenshtein("lower", "near", radius))
+    # a pair may meet at several keys
+    pairs = pairs.where(F.col("distance").between(1, radius)).select("word", "near", F.col("distance").cast("long").alias("distance"), "n")
+    return pairs.dropDuplicates(["word", "near"])
 
 
 def best(pairs: DataFrame, k: int) -> DataFrame:

@@ -51,9 +51,12 @@ def dated_heading(rows: DataFrame) -> DataFrame:
     return rows.drop("_house", "_t", "_n", "_last", "_token")
 
 
-def _bounded(pattern: str) -> str:
-    """Java's matcher recurses for each round of a group; no heading has more names than this."""
-    return pattern.replace(")*", "){0,1000}")
+# Java's matcher recurses for each round of a group that may be given back, so runs of names
+# are taken as wholes. What giving names back would find is said in other words: a run of
+# capitalised words whose last is Member or Members, and below a dash inside a run of names.
+_SPEAKER = fixed.SPEAKER_START.replace(r"(?:\s+[A-Z][A-Za-z]+)*\s+Members?", r"(?:\s+[A-Z][A-Za-z]+)++(?<=\sMembers?)")
+_HEADING = fixed.HEADING_OF_BODY.replace(")*", ")*+")
+_RUN = _HEADING.removesuffix(r"\s*[—\-]\s*")
 
 
 def is_title(p: Column) -> Column:
@@ -63,15 +66,16 @@ def is_title(p: Column) -> Column:
 
 def chunks(p: Column) -> Column:
     """(speaker, text) of each speaker's heading in a paragraph; what precedes the first is lost."""
-    marked = F.regexp_replace(p, f"(?mdU)^({_bounded(fixed.SPEAKER_START)})\\s*—", "\u0001$1\u0002")
-    parts = F.split(marked, "\u0001")
-    parts = F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 1, F.lit(0)))
+    pattern = f"(?mdU)^({_SPEAKER})\\s*—"
+    labels = F.regexp_extract_all(p, F.lit(pattern), F.lit(1))
+    parts = F.split(p, pattern, -1)
+    said = F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 1, F.lit(0)))
 
-    def one(part: Column) -> Column:
-        label = text.strip(F.regexp_replace(text.strip(F.substring_index(part, "\u0002", 1)), r"[,.;:]+\z", ""))
-        return F.struct(F.when(label.endswith("."), label).otherwise(F.concat(label, F.lit("."))).alias("speaker"), text.strip(F.substring_index(part, "\u0002", -1)).alias("text"))
+    def one(name: Column, part: Column) -> Column:
+        label = text.strip(F.regexp_replace(text.strip(name), r"[,.;:]+\z", ""))
+        return F.struct(F.when(label.endswith("."), label).otherwise(F.concat(label, F.lit("."))).alias("speaker"), text.strip(part).alias("text"))
 
-    return F.filter(F.transform(parts, one), lambda c: c["text"] != "")
+    return F.filter(F.zip_with(labels, said, one), lambda c: c["text"] != "")
 
 
 def detect_speaker(p: Column) -> Column:
@@ -91,7 +95,9 @@ def detect_speaker(p: Column) -> Column:
 
 
 def body(p: Column) -> Column:
-    return text.strip(F.regexp_replace(p, _bounded(fixed.HEADING_OF_BODY), ""))
+    """The paragraph without its speaker's heading: names up to a dash behind them, or else up to the last dash inside."""
+    inner = F.regexp_extract(F.regexp_extract(p, _RUN, 0), r"(?s)^.*[A-Z][A-Za-z\.'-]+-", 0)
+    return text.strip(F.when(p.rlike(_HEADING), F.regexp_replace(p, _HEADING, "")).otherwise(F.substr(p, F.length(inner) + 1)))
 
 
 def events(pages: DataFrame) -> DataFrame:

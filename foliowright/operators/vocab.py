@@ -32,14 +32,25 @@ def rare_gates(counts: DataFrame) -> DataFrame:
     return rare(counts).where((F.length("word") >= 4) & ~text.is_caps(F.col("word")))
 
 
+def _tokens(pages: DataFrame, *columns: Column) -> DataFrame:
+    """The columns, tok_pos, word and position of each word; all within the page's row."""
+    rows = pages.select(*columns, text.pieces(F.col("markdown")).alias("_pieces"))
+    rows = rows.withColumn("_ends", text.running_sums(F.transform("_pieces", F.length)))
+    placed = F.zip_with("_pieces", "_ends", lambda p, e: F.struct(p.alias("word"), (e - F.length(p)).alias("position")))
+    rows = rows.withColumn("_words", F.filter(placed, lambda t: t["word"].rlike("^[A-Za-z]+$"))).drop("_pieces", "_ends")
+    return rows.select(*[c for c in rows.columns if c != "_words"], F.posexplode("_words").alias("tok_pos", "t")).select("*", "t.word", "t.position").drop("t")
+
+
 def token_positions(pages: DataFrame) -> DataFrame:
     """(index, tok_pos, word, position): each word and its code-point offset."""
-    from pyspark.sql import Window as W
+    return _tokens(pages, F.col("index")).withColumn("tok_pos", F.col("tok_pos").cast("long"))
+
 
-    rows = pages.select("volume", "pos", "index", F.posexplode(text.pieces(F.col("markdown"))).alias("at", "piece"))
-    own = W.partitionBy("volume", "pos", "index").orderBy("at")
-    rows = rows.withColumn("end", F.sum(F.length("piece")).over(own)).where(F.col("piece").rlike("^[A-Za-z]+$"))
-    return rows.select("index", (F.row_number().over(own) - 1).cast("long").alias("tok_pos"), F.col("piece").alias("word"), (F.col("end") - F.length("piece")).alias("position"))
+def token_contexts(pages: DataFrame, width: int = 50) -> DataFrame:
+    """(index, position, word, context): each word and the text around it."""
+    size = max(4 * width, 1)
+    rows = _tokens(pages, F.col("index"), text.blocks_of(F.col("markdown"), size).alias("_blocks"))
+    return rows.select("index", "position", "word", text.context(F.col("_blocks"), size, F.col("position"), width).alias("context"))
 
 
 def listed_valid(word: Column) -> Column:

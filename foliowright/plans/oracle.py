@@ -56,6 +56,13 @@ PARTS: dict[str, str] = {
     "offs": "SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY i) - 1 AS tok_pos, piece AS word, (upto - length(piece))::BIGINT AS position FROM (SELECT *, sum(length(piece)) OVER (PARTITION BY doc_id ORDER BY i) AS upto FROM pieces) WHERE regexp_full_match(piece, '[A-Za-z]+')",
     "conf": "SELECT * FROM (VALUES " + ", ".join(f"({i}, {_q(a)}, {_q(b)})" for i, (a, b) in enumerate(fixed.CONFUSIONS)) + ") t(ord, wrong, fixed)",
     "exact": "SELECT word, n, coalesce(min(fixed) FILTER (word = wrong), arg_min(upper(fixed), ord) FILTER (word = upper(wrong))) AS replacement FROM c JOIN conf ON word = wrong OR word = upper(wrong) GROUP BY word, n",
+    "swap": "SELECT * FROM (SELECT word, n, replacement FROM exact UNION ALL SELECT word, min(n) AS n, arg_min(replace(word, wrong, fixed), ord) AS replacement FROM c JOIN conf ON contains(word, wrong) AND length(wrong) >= 3 WHERE word NOT IN (SELECT word FROM exact) GROUP BY word) WHERE word <> replacement",
+    # pieces between which no hyphenated word can reach: runs of letters, digits, hyphens, apostrophes; then words, and what lies between, of each
+    "hruns": r"SELECT doc_id, unnest(p) AS run, unnest(range(1, len(p) + 1)) AS j FROM (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[\p{L}\p{N}_''-]+|[^\p{L}\p{N}_''-]+') AS p FROM documents)",
+    "hsplit": r"SELECT doc_id, j, unnest(q) AS part, unnest(range(1, len(q) + 1)) AS k FROM (SELECT doc_id, j, regexp_extract_all(run, '[A-Za-z]*[^A-Za-z''-][^''-]*|[A-Za-z''-]+') AS q FROM hruns)",
+    "hpieces": r"""SELECT doc_id, unnest(r) AS piece, (j * 1000000 + k) * 10 + unnest(range(1, len(r) + 1)) AS i FROM (
+        SELECT doc_id, j, k, CASE WHEN regexp_full_match(part, '[A-Za-z''-]+') THEN list_filter([regexp_extract(part, '^[''-]+'), regexp_extract(part, '^[''-]*([A-Za-z](?:[A-Za-z''-]*[A-Za-z])?)', 1), regexp_extract(part, '[A-Za-z]([''-]+)$', 1)], lambda x: x <> '') ELSE [part] END AS r FROM hsplit)""",
+    "hwd": "SELECT doc_id, piece AS word FROM hpieces",
     "bw": _words("benchmark", "item_id"),
     "dict": "SELECT lower(word) AS word FROM bw UNION SELECT word FROM d",
     "vocab": "SELECT v.word, v.n FROM (SELECT lower(word) AS word, count(*) AS n FROM w WHERE doc_id % 3400 % 10 = 0 GROUP BY 1 ORDER BY n DESC, word LIMIT 10000) v WHERE n >= 3 AND " + (
@@ -152,6 +159,17 @@ ORACLE = {name: query(sql) for name, sql in {
     "token_context": "SELECT o.doc_id AS index, position, word, substring(text, greatest(position - 50, 0) + 1, position + 50 - greatest(position - 50, 0)) AS context FROM offs o JOIN documents d ON o.doc_id = d.doc_id",
     "similar_words_top5": "SELECT word, near, distance, n, rank FROM ranked WHERE rank <= 5",
     "error_candidates": "SELECT * FROM cand",
+    "error_candidates_top50": "SELECT * FROM cand ORDER BY rare_count DESC, rare_word LIMIT 50",
+    "report_gates": "SELECT count(*) FILTER (regexp_full_match(rare_word, '[A-Z][a-z]+')) AS skipped_proper_nouns, count(*) FILTER (length(rare_word) > 1 AND rare_word = upper(rare_word)) AS skipped_all_caps FROM cand",
+    "discovery_report": "SELECT (SELECT coalesce(sum(n), 0) FROM c)::BIGINT AS total_words, (SELECT count(*) FROM c) AS unique_words, (SELECT count(DISTINCT CASE WHEN n >= 10 THEN lower(word) END) FROM c) AS high_frequency_words, (SELECT count(*) FILTER (n <= 3) FROM c) AS rare_words, "
+    "(SELECT count(*) FROM cand) AS candidates, (SELECT rare_word FROM cand ORDER BY rare_count DESC, rare_word LIMIT 1) AS first_candidate, (SELECT max(k) FROM (SELECT count(*) AS k FROM (SELECT * FROM chars UNION ALL SELECT * FROM grams) GROUP BY wrong, meant)) AS commonest_pattern",
+    "frequency_run_report": "SELECT (SELECT count(*) FROM documents) AS total_pages_processed, (SELECT coalesce(sum(n), 0) FROM flook WHERE word <> replacement)::BIGINT AS total_corrections, (SELECT count(*) FROM flook WHERE word <> replacement) AS unique_error_types, 0.85::DOUBLE AS confidence_threshold, (SELECT count(*) FROM look) AS available_corrections",
+    "confusion_run_report": "SELECT (SELECT count(*) FROM documents) AS total_pages_processed, (SELECT coalesce(sum(n), 0) FROM swap)::BIGINT AS total_corrections, (SELECT count(*) FROM swap) AS unique_error_types, "
+    "(SELECT word FROM swap ORDER BY n DESC, word LIMIT 1) AS first_original, (SELECT replacement FROM swap ORDER BY n DESC, word LIMIT 1) AS first_corrected",
+    "error_statistics": "SELECT coalesce(sum(n), 0)::BIGINT AS total_errors_found, sum(n)::BIGINT AS unknown_words, least(count(*), 50)::BIGINT AS top_errors FROM sug JOIN c USING (word)",
+    "hybrid_page_corrections": "SELECT doc_id AS index, word AS original, suggestion AS correction, round(confidence, 2) AS confidence, count(*) AS count FROM hwd JOIN hyb USING (word) WHERE confidence >= 0.7::DOUBLE AND word <> suggestion GROUP BY ALL",
+    "hybrid_corrected_pages": r"""SELECT d.doc_id AS index, coalesce(m, '') AS markdown, coalesce(k, 0) AS n_corrections FROM documents d LEFT JOIN (
+        SELECT doc_id, string_agg(coalesce(suggestion, piece), '' ORDER BY i) AS m, count(suggestion) AS k FROM hpieces LEFT JOIN (SELECT word, suggestion FROM hyb WHERE confidence >= 0.7::DOUBLE AND word <> suggestion) l ON piece = l.word GROUP BY doc_id) USING (doc_id)""",
     "substitution_char_patterns": "SELECT wrong, meant, count(*) AS count FROM chars GROUP BY ALL",
     "substitution_bigram_patterns": "SELECT wrong, meant, count(*) AS count FROM grams GROUP BY ALL",
     "substitution_top100": "SELECT wrong, meant, count(*) AS count FROM (SELECT * FROM chars UNION ALL SELECT * FROM grams) GROUP BY ALL ORDER BY count DESC, wrong, meant LIMIT 100",

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foliowright.functions import fixed, text
-from foliowright.operators import correct, discovery, headers, rewrite, simjoin, speeches, vocab
+from foliowright.operators import correct, discovery, headers, reports, rewrite, simjoin, speeches, vocab
 from foliowright.plans.oracle import ORACLE
 from foliowright.sources import pages as src
 
@@ -64,9 +64,11 @@ class Corpus:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+QUERIES_OF: dict[str, Callable[[Corpus], DataFrame]] = {}
 
 
 def query(build: Callable[[Corpus], DataFrame]):
+    QUERIES_OF[build.__name__] = build
     QUERIES[build.__name__] = lambda spark, sf_dir: build(Corpus(spark, sf_dir))
     return build
 
@@ -117,8 +119,7 @@ def token_offsets(c):
 
 @query
 def token_context(c):
-    rows = vocab.token_positions(c.pages).join(c.docs.select(F.col("doc_id").alias("index"), "text"), "index")
-    return rows.select("index", "position", "word", text.context(F.col("text"), F.col("position")).alias("context"))
+    return vocab.token_contexts(c.pages)
 
 
 @query
@@ -131,6 +132,11 @@ def error_candidates(c):
     return c.candidates
 
 
+@query
+def error_candidates_top50(c):
+    return discovery.most_frequent(c.candidates)
+
+
 @query
 def substitution_char_patterns(c):
     return discovery.character_patterns(c.candidates)
@@ -176,6 +182,33 @@ def frequency_report(c):
     return rewrite.report(c.counts, made).join(made.select(F.col("word").alias("original"), _confidence()), "original")
 
 
+@query
+def report_gates(c):
+    return correct.skipped(c.candidates)
+
+
+@query
+def discovery_report(c):
+    row = reports.discovery_report(c.counts, c.candidates)
+    counted = F.size("error_candidates").cast("long").alias("candidates"), F.get("error_candidates", F.lit(0))["rare_word"].alias("first_candidate"), F.get("substitution_patterns", F.lit(0))["count"].alias("commonest_pattern")
+    return row.select("total_words", "unique_words", "high_frequency_words", "rare_words", *counted)
+
+
+@query
+def frequency_run_report(c):
+    made = correct.frequency_replacements(c.counts, c.lookup)
+    rows = rewrite.report(c.counts, made)
+    row = reports.correction_report(c.pages, rows, confidence_threshold=0.85, available_corrections=c.lookup.agg(F.count("*")))
+    return row.select("total_pages_processed", "total_corrections", "unique_error_types", "confidence_threshold", "available_corrections")
+
+
+@query
+def confusion_run_report(c):
+    row = reports.correction_report(c.pages, rewrite.report(c.counts, correct.confusion_replacements(c.counts, 0.85)))
+    first = F.get("corrections_by_type", F.lit(0))
+    return row.select("total_pages_processed", "total_corrections", "unique_error_types", first["original"].alias("first_original"), first["corrected"].alias("first_corrected"))
+
+
 @query
 def confusion_exact_corrected_pages(c):
     return _pages(rewrite.rewrite(c.pages, correct.confusion_replacements(c.counts)))
@@ -232,6 +265,20 @@ def top_errors(c):
     return rows.orderBy(F.desc("count"), "original").limit(50)
 
 
+@query
+def error_statistics(c):
+    by_word = c.suggestions.join(c.counts, "word")
+    total = by_word.agg(F.coalesce(F.sum("n"), F.lit(0)))
+    row = reports.error_statistics(QUERIES_OF["errors_by_type"](c), QUERIES_OF["top_errors"](c), total)
+    return row.select("total_errors_found", F.element_at("errors_by_type", "unknown_word").alias("unknown_words"), F.size("top_errors").cast("long").alias("top_errors"))
+
+
+@query
+def hybrid_page_corrections(c):
+    rows = rewrite.page_corrections(c.pages, correct.hybrid_replacements(c.hybrid), hyphens=True)
+    return rows.select("index", "original", "correction", _confidence(), "count")
+
+
 @query
 def hybrid_confidence(c):
     return c.hybrid.select("word", "n", "suggestion", "suggestion_count", "edit_distance", _confidence())

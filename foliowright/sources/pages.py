@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from foliowright.functions import text
+
 PAGE = T.StructType([
     T.StructField("index", T.LongType()), T.StructField("global_index", T.LongType()),
     T.StructField("markdown", T.StringType()), T.StructField("header", T.StringType()),
@@ -28,7 +30,7 @@ def read_pages(spark: SparkSession, path: str, volume: str = "volume") -> DataFr
 
 def read_word_list(spark: SparkSession, path: str) -> DataFrame:
     """Distinct lower-case words, one a line."""
-    return spark.read.text(path).select(F.lower(F.trim("value")).alias("word")).where("word <> ''").distinct()
+    return spark.read.text(path).select(F.lower(text.strip(F.col("value"))).alias("word")).where("word <> ''").distinct()
 
 
 def read_error_report(spark: SparkSession, path: str) -> DataFrame:

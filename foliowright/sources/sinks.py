@@ -32,3 +32,8 @@ def write_word_list(words: DataFrame, path: str) -> None:
 def report_path(path: str, what: str = "report") -> str:
     """The path of a report beside a JSON file."""
     return re.sub(r"\.json$", f"-{what}.json", path)
+
+
+def write_report(report: DataFrame, path: str) -> None:
+    """A report's one row as a JSON document."""
+    report.select(F.to_json(F.struct("*"), {"pretty": "true", "ignoreNullFields": "false"}).alias("value")).coalesce(1).write.text(path)
