@@ -66,7 +66,7 @@ def bound(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
-def running_sums(values: Column, block: int = 512) -> Column:
+def running_sums(values: Column, block: int = 64) -> Column:
     """Sums of an array's integers up to and with each one, in time linear in the array.
 
     Appending to an array copies it, so sums are made block by block and then shifted.

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from foliowright.functions import fixed, text
 from foliowright.operators import simjoin, vocab
+from foliowright.operators.tables import side_by_side
 
 
 # From frequencies --------------------------------------------------------------------
@@ -146,5 +147,5 @@ def hybrid_summary(counts: DataFrame, dictionary: DataFrame, scored: DataFrame,
     checked = hybrid_open(counts).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("words_checked"))
     wrong = hybrid_invalid(counts, dictionary).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("words_invalid"))
     made = hybrid_replacements(scored, threshold).join(counts, "word").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total_corrections"), F.count("*").alias("unique_correction_types"))
-    one = lambda df: df.withColumn("_k", F.lit(1))  # noqa: E731  one row each
-    return one(checked).join(one(wrong), "_k").join(one(made), "_k").drop("_k")
+    parts = {c: t.select(c) for t in (checked, wrong, made) for c in t.columns}
+    return side_by_side(**parts)

@@ -12,15 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from foliowright.operators import discovery
-
-
-def _one(**columns: DataFrame) -> DataFrame:
-    """One-row tables of one column each, side by side."""
-    out = None
-    for name, table in columns.items():
-        table = table.toDF(name).withColumn("_one", F.lit(1))
-        out = table if out is None else out.join(table, "_one")
-    return out.drop("_one")
+from foliowright.operators.tables import side_by_side
 
 
 def _listed(rows: DataFrame, order: list[Column], fields: list[str]) -> DataFrame:
@@ -35,7 +27,7 @@ def discovery_report(counts: DataFrame, found: DataFrame) -> DataFrame:
     by_count = _listed(found, [-F.col("rare_count"), F.col("rare_word")], ["rare_word", "suggested_correction", "rare_count", "correct_count", "edit_distance"])
     renamed = discovery.patterns(found).withColumnRenamed("meant", "right")
     by_pattern = _listed(renamed, [-F.col("count"), F.col("wrong"), F.col("right")], ["wrong", "right", "count"])
-    return _one(**{c: totals.select(c) for c in totals.columns}, error_candidates=by_count, substitution_patterns=by_pattern)
+    return side_by_side(**{c: totals.select(c) for c in totals.columns}, error_candidates=by_count, substitution_patterns=by_pattern)
 
 
 def correction_report(pages: DataFrame, made: DataFrame, **more) -> DataFrame:
@@ -43,7 +35,7 @@ def correction_report(pages: DataFrame, made: DataFrame, **more) -> DataFrame:
     fields = [c for c in ("original", "corrected", "count", "confidence") if c in made.columns]
     spark = pages.sparkSession
     extra = {k: v if isinstance(v, DataFrame) else spark.range(1).select(F.lit(v)) for k, v in more.items()}
-    return _one(
+    return side_by_side(
         total_pages_processed=pages.agg(F.count("*")), total_corrections=made.agg(F.coalesce(F.sum("count"), F.lit(0))),
         unique_error_types=made.agg(F.count("*")), **extra, corrections_by_type=_listed(made, [-F.col("count"), F.col("original"), F.col("corrected")], fields),
     )
@@ -52,16 +44,16 @@ def correction_report(pages: DataFrame, made: DataFrame, **more) -> DataFrame:
 def error_statistics(by_type: DataFrame, top: DataFrame, total: DataFrame) -> DataFrame:
     """total_errors_found, errors_by_type (a map) and top_errors."""
     kinds = by_type.agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("error_type", "n")))))
-    return _one(total_errors_found=total, errors_by_type=kinds, top_errors=_listed(top, [-F.col("count"), F.col("original")], ["original", "suggested", "count"]))
+    return side_by_side(total_errors_found=total, errors_by_type=kinds, top_errors=_listed(top, [-F.col("count"), F.col("original")], ["original", "suggested", "count"]))
 
 
 def hybrid_report(pages: DataFrame, summary: DataFrame, top: DataFrame, seconds: float | None = None) -> DataFrame:
     """statistics, summary and top_50_corrections; seconds: the run's time, where it was taken."""
-    totals = _one(pages_processed=pages.agg(F.count("*")), **{c: summary.select(c) for c in summary.columns})
+    totals = side_by_side(pages_processed=pages.agg(F.count("*")), **{c: summary.select(c) for c in summary.columns})
     took = F.lit(seconds).cast("double")
     statistics = F.struct("pages_processed", "words_checked", "words_invalid", F.col("total_corrections").alias("corrections_applied"), took.alias("processing_time"), (F.col("pages_processed") / F.nullif(took, F.lit(0.0))).alias("pages_per_second"))
     both = totals.select(statistics.alias("statistics"), F.struct("total_corrections", "unique_correction_types").alias("summary"))
-    return _one(statistics=both.select("statistics"), summary=both.select("summary"), top_50_corrections=_listed(top, [-F.col("count"), F.col("correction")], ["correction", "count"]))
+    return side_by_side(statistics=both.select("statistics"), summary=both.select("summary"), top_50_corrections=_listed(top, [-F.col("count"), F.col("correction")], ["correction", "count"]))
 
 
 def timed(pages: DataFrame, write) -> dict:

@@ -34,10 +34,11 @@ def rare_gates(counts: DataFrame) -> DataFrame:
 
 def _tokens(pages: DataFrame, *columns: Column) -> DataFrame:
     """The columns, tok_pos, word and position of each word; all within the page's row."""
-    rows = pages.select(*columns, text.pieces(F.col("markdown")).alias("_pieces"))
-    rows = rows.withColumn("_ends", text.running_sums(F.transform("_pieces", F.length)))
-    placed = F.zip_with("_pieces", "_ends", lambda p, e: F.struct(p.alias("word"), (e - F.length(p)).alias("position")))
-    rows = rows.withColumn("_words", F.filter(placed, lambda t: t["word"].rlike("^[A-Za-z]+$"))).drop("_pieces", "_ends")
+    markdown, found = F.col("markdown"), F.col("_found")
+    rows = pages.select(*columns, F.struct(text.words(markdown).alias("words"), F.transform(F.split(markdown, text.WORD, -1), F.length).alias("gaps")).alias("_found"))
+    ends = text.running_sums(F.zip_with(F.slice(found["gaps"], F.lit(1), F.size(found["words"])), found["words"], lambda g, w: g + F.length(w)))
+    placed = F.zip_with(found["words"], ends, lambda w, e: F.struct(w.alias("word"), (e - F.length(w)).alias("position")))
+    rows = rows.withColumn("_words", placed).drop("_found")
     return rows.select(*[c for c in rows.columns if c != "_words"], F.posexplode("_words").alias("tok_pos", "t")).select("*", "t.word", "t.position").drop("t")
 
 

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from foliowright.functions import text
-from foliowright.operators import correct, discovery, headers, rewrite, simjoin, speeches, vocab
+from foliowright.operators import correct, discovery, headers, reports, rewrite, simjoin, speeches, vocab
 from foliowright.sources import pages as src
 from foliowright.sources import sinks
 
@@ -160,6 +160,122 @@ def test_similar_words_equal_brute_force(spark):
     assert got == want
 
 
+def test_long_similar_words_equal_brute_force(spark):
+    import random
+
+    rng = random.Random(5)
+    word = lambda n: "".join(rng.choice("abc") for _ in range(n))
+
+    def edited(w):
+        for _ in range(rng.randrange(0, 4)):
+            i, kind = rng.randrange(len(w)), rng.randrange(3)
+            w = w[:i] + ("" if kind == 0 else rng.choice("abc")) + w[i + (kind < 2):]
+        return w
+
+    right = sorted({word(n) for n in range(7, 15) for _ in range(12)})
+    left = sorted({edited(w) for w in right for _ in range(6)} | {"b" * 3000, ""})
+
+    def distance(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            last, row[0] = row[0], i
+            for j, y in enumerate(b, 1):
+                last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+        return row[-1]
+
+    got = {(r.word, r.near, r.distance) for r in simjoin.similar_words(spark.createDataFrame([(x,) for x in left], "word string"), spark.createDataFrame([(x, 1) for x in right], "word string, n long")).collect()}
+    near = [(a, b) for a in left for b in right if a and abs(len(a) - len(b)) <= 2 and abs(ord(a[0]) - ord(b[0])) <= 2]
+    assert got == {(a, b, d) for a, b in near if 1 <= (d := distance(a, b)) <= 2}
+
+
+def test_running_sums_are_linear_and_right(spark):
+    import itertools
+
+    sizes = [0, 1, 63, 64, 65, 200, 50_000]
+    rows = spark.createDataFrame([(list(range(n)),) for n in sizes], "xs array<int>").select(text.running_sums(F.col("xs")).alias("s"), F.size("xs").alias("n")).collect()
+    assert all(r.s == list(itertools.accumulate(range(r.n))) for r in rows)
+
+
+def test_places_in_long_texts(spark):
+    given = [None, "", "one", "é" * 130 + " two, " + "x1 " * 60_000 + "three"]
+    pages = make_pages(spark, [g or "" for g in given])
+    got = sorted((r["index"], r.position, r.word, r.context) for r in vocab.token_contexts(pages).collect())
+    longest = given[3]
+    want = [(2, 0, "one", "one")] + [(3, p, w, longest[max(0, p - 50) : p + 50]) for p, w in ((131, "two"), (len(longest) - 5, "three"))]
+    assert got == want
+    assert [(r.tok_pos, r.word) for r in vocab.token_positions(pages).where("index = 3").orderBy("tok_pos").collect()] == [(0, "two"), (1, "three")]
+
+
+def test_rows_that_share_a_place(spark):
+    pages = make_pages(spark, ["teh cat", "ok"])
+    pages = pages.union(pages).union(pages.withColumn("markdown", F.lit("other teh")).withColumn("volume", F.lit(None).cast("string")))
+    made = spark.createDataFrame([("teh", "the", 0.9)], "word string, replacement string, confidence double")
+    got = sorted((r.markdown, r.n_corrections) for r in rewrite.rewrite(pages, made).collect())
+    assert got == [("ok", 0)] * 2 + [("other the", 1)] * 2 + [("the cat", 1)] * 2
+    listed = sorted((r.original, r.correction, r["count"]) for r in rewrite.page_corrections(pages, made).collect())
+    assert listed == [("teh", "the", 1)] * 2 + [("teh", "the", 2)]
+
+
+@pytest.mark.parametrize("p,want", [
+    ("Mr. PEEL—He \x02said\x01 so", [("Mr. PEEL.", "He \x02said\x01 so")]),
+    ("An Odd Members together—Yes\nSir A. B—No", [("An Odd Members together.", "Yes"), ("Sir A. B.", "No")]),
+    ("An Odd Membership—Yes", []),
+    ("An" + " Odd" * 5000 + " Members—Yes", [("An" + " Odd" * 5000 + " Members.", "Yes")]),
+])
+def test_speaker_chunks(spark, p, want):
+    row = spark.createDataFrame([(p,)], "p string").select(speeches.chunks(F.col("p")).alias("c")).first()
+    assert [(c.speaker, c.text) for c in row.c] == want
+
+
+@pytest.mark.parametrize("p", [
+    "Sir ROBERT PEEL—said", "Sir ROBERT-PEEL said", "Mr. A.B- text", "Mr. A-b text", "Lord JOHN. R-x Y-z w", "The Earl of A-B-C of D said", "An Honourable Member—x", "plain text", "Mr.- x", "The Duke of X - y",
+])
+def test_body_equals_the_pattern(spark, p):
+    import re
+
+    from foliowright.functions import fixed
+
+    assert spark.createDataFrame([(p,)], "p string").select(speeches.body(F.col("p")).alias("b")).first().b == re.sub(fixed.HEADING_OF_BODY, "", p).strip()
+
+
+def test_reports(spark, tmp_path):
+    import json
+
+    counts = spark.createDataFrame([("receive", 100), ("recieve", 2), ("Recieve", 1), ("THE", 50)], "word string, n long")
+    found = discovery.candidates(counts)
+    path = str(tmp_path / "report")
+    sinks.write_report(reports.discovery_report(counts, found), path)
+    text_of = "\n".join(r.value for r in spark.read.text(path).collect())
+    told = json.loads(text_of)
+    assert (told["total_words"], told["rare_words"], [c["rare_word"] for c in told["error_candidates"]]) == (153, 2, ["recieve", "Recieve"])
+    assert told["substitution_patterns"]
+    read_back = src.read_error_report(spark, path)
+    assert sorted(map(tuple, read_back.collect())) == sorted(map(tuple, found.select(*read_back.columns).collect()))
+    assert tuple(correct.skipped(found).first()) == (1, 0)
+    lookup = correct.frequency_lookup(read_back)
+    pages = make_pages(spark, ["recieve it", "nothing"])
+    made = correct.frequency_replacements(counts, lookup)
+    row = reports.correction_report(pages, rewrite.report(counts, made), confidence_threshold=0.85).first()
+    assert (row.total_pages_processed, row.total_corrections, row.unique_error_types, row.confidence_threshold) == (2, 2, 1, 0.85)
+    summary = spark.createDataFrame([(10, 2, 2, 1)], "words_checked long, words_invalid long, total_corrections long, unique_correction_types long")
+    top = spark.createDataFrame([("a → b", 2)], "correction string, count long")
+    hybrid = reports.hybrid_report(pages, summary, top, 2.0).first()
+    assert hybrid.statistics.pages_per_second == 1.0 and hybrid.top_50_corrections[0]["count"] == 2
+    assert reports.timed(pages, lambda rows: rows.write.parquet(str(tmp_path / "out")))["pages"] == 2
+    none = reports.error_statistics(spark.createDataFrame([], "error_type string, n long"), spark.createDataFrame([], "original string, suggested string, count long"), spark.range(1).select(F.lit(0))).first()
+    assert (none.total_errors_found, none.errors_by_type, none.top_errors) == (0, {}, [])
+
+
+def test_word_list_lines_are_stripped(spark, tmp_path):
+    (tmp_path / "words.txt").write_text("alpha\t\n \u00a0Beta\n\n")
+    assert sorted(r.word for r in src.read_word_list(spark, str(tmp_path / "words.txt")).collect()) == ["alpha", "beta"]
+
+
+def test_static_table_threshold(spark):
+    counts = spark.createDataFrame([("xtbex", 1)], "word string, n long")
+    assert correct.confusion_replacements(counts).count() == 0
+
+
 def test_empty_tables(spark):
     pages = spark.createDataFrame([], COLUMNS)
     assert speeches.speeches(pages).count() == 0

@@ -42,9 +42,9 @@ def test_hybrid_pages_follow_their_lookup(spark):
 
 
 def test_entry_without_optional_part(monkeypatch):
-    for name in [m for m in sys.modules if m == "__spark_entry__" or m.startswith("foliowright.ll" + "m")]:
+    for name in [m for m in sys.modules if m == "__spark_entry__" or m.startswith("foliowright.llm")]:
         monkeypatch.delitem(sys.modules, name)
-    monkeypatch.setitem(sys.modules, "foliowright.ll" + "m", None)
+    monkeypatch.setitem(sys.modules, "foliowright.llm", None)
     import __spark_entry__
 
     assert set(__spark_entry__.queries()) == set(registry.QUERIES)
