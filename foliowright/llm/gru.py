@@ -18,10 +18,11 @@ def _squash(a: np.ndarray) -> None:
     a += 0.5
 
 
-def run(project, steps, u: np.ndarray, batch: int, keep: list | None = None) -> np.ndarray:
+def run(project, steps, u: np.ndarray, batch: int, keep: list | None = None, holds: np.ndarray | None = None) -> np.ndarray:
     """States after each step; project(t) gives the inputs at t, a fresh array.
 
     Steps are taken in the order given; with keep, what backward() needs is appended.
+    holds (time, batch): 0 where a row has no input; its state is then zero.
     """
     hidden = u.shape[1]
     h = np.zeros((hidden, batch), u.dtype)
@@ -46,13 +47,15 @@ def run(project, steps, u: np.ndarray, batch: int, keep: list | None = None) ->
         np.subtract(h, n, out=new)
         new *= z
         new += n
+        if holds is not None:
+            new *= holds[t]
         if keep is not None:
             keep.append((t, h, z, r, n, last))
         h = new
     return out
 
 
-def backward(dout: np.ndarray, keep: list, u: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def backward(dout: np.ndarray, keep: list, u: np.ndarray, holds: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Gradients of the projected inputs (time, 3 * hidden, batch) and of u."""
     hidden = u.shape[1]
     dx = np.empty((dout.shape[0], 3 * hidden, dout.shape[2]), u.dtype)
@@ -60,6 +63,8 @@ def backward(dout: np.ndarray, keep: list, u: np.ndarray) -> tuple[np.ndarray, n
     dh = np.zeros(dout.shape[1:], u.dtype)
     for t, h, z, r, n, last in reversed(keep):
         d = dout[t] + dh
+        if holds is not None:
+            d *= holds[t]
         g = dx[t]
         dn = d * (1 - z) * (1 - n * n)
         g[:hidden] = d * (h - n) * z * (1 - z)

@@ -2,29 +2,37 @@
 
 The network reads UTF-8 bytes in both directions, labels every byte with a distribution
 over the languages learned, and a document's probabilities are the mean over all its
-bytes. Texts are read in pieces of PIECE bytes, each from a zero state; every byte of
-every text is read and labelled, in bounded memory.
+bytes. Texts are read in pieces of PIECE bytes with EDGE bytes of their neighbours on
+either side, which are read but not labelled; so every byte of every text is labelled
+once, in bounded memory. States hold still over padding: a text's probabilities depend on
+the text alone and not on what is read beside it.
 
-It is trained in numpy, by backpropagation through time, on a bounded sample: about
-TRAIN_DOCS labelled documents of each language (chosen by a hash of the id), of each of
-which at most DOC_PIECES pieces, spread over the whole text.
+It is trained in numpy, by backpropagation through time, on the whole texts of a bounded
+sample of labelled rows: about TRAIN_DOCS documents of each language, chosen by a hash of
+the id, cut into pieces where they are read. An epoch takes all their pieces.
 
 A null text and one without letters are `und` with score 0. Without any labelled row all
-texts are `und`. Rows with a null id are predicted, and not learned from; repeated rows
-are each returned; extra columns are ignored.
+texts are `und`. Of languages equally likely the first by name is predicted. Rows with a
+null id are predicted, and not learned from; repeated rows are each returned (and equally
+chosen for training); extra columns are ignored.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from foliowright.llm import gru
 from foliowright.llm.common import text_bytes
 
-HIDDEN, PIECE, BATCH = 8, 128, 1024
-TRAIN_DOCS, DOC_PIECES, EPOCHS, STEPS = 300, 3, 3, 200
+HIDDEN, PIECE, EDGE, BATCH = 8, 112, 8, 1024
+SPAN = PIECE + 2 * EDGE
+TRAIN_DOCS, EPOCHS, STEPS = 100, 2, 200
 UNKNOWN = "und"
 
 
@@ -33,32 +41,33 @@ def bucket(key: Column, of: int) -> Column:
     return F.crc32(key.cast("string").cast("binary")) % of
 
 
-def training_pieces(docs: DataFrame, key: str, lang: str, per_lang: int, usable: Column) -> list[tuple[str, bytes]]:
-    """(language, piece) of a bounded sample of the usable rows with a language and a text."""
+def training_texts(docs: DataFrame, key: str, lang: str, per_lang: int, usable: Column) -> list[tuple[str, bytes]]:
+    """(language, text) of a bounded sample of the usable rows with a language and a text."""
     rows = docs.where(usable & F.col(lang).isNotNull() & F.col("text").isNotNull())
     sizes = {r[0]: r[1] for r in rows.groupBy(lang).count().collect()}
     if not sizes:
         return []
     share = F.create_map(*[F.lit(x) for k, n in sizes.items() for x in (k, min(1.0, per_lang / n))])
     draw = (F.xxhash64(F.lit("langid"), F.col(key)).bitwiseAND(F.lit((1 << 52) - 1)) / F.lit(float(1 << 52)))
-    rows = rows.where(draw < F.try_element_at(share, F.col(lang)))
-
-    def run(batches):
-        import pyarrow as pa
+    found = rows.where(draw < F.try_element_at(share, F.col(lang))).select(F.col(lang).cast("string").alias("l"), "text").collect()
+    return sorted((r.l, r.text.encode()) for r in found)
 
-        for batch in batches:
-            out = [(k, t[a : a + PIECE]) for k, t in zip(batch.column(0).to_pylist(), text_bytes(batch.column(1))) for a in sorted({*range(0, max(len(t) - PIECE, 1), max(PIECE, len(t) // DOC_PIECES))})]
-            yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.string()), pa.array([x[1] for x in out], pa.binary())], ["lang", "piece"])
 
-    found = rows.select(F.col(lang).cast("string"), "text").mapInArrow(run, "lang string, piece binary").collect()
-    return sorted((r.lang, bytes(r.piece)) for r in found)
+def cut(text: bytes) -> list[tuple[bytes, int, int]]:
+    """Pieces (bytes, first labelled, last labelled + 1) that label every byte once."""
+    out = []
+    for a in range(0, len(text), PIECE):
+        lo, hi = max(0, a - EDGE), min(len(text), a + PIECE + EDGE)
+        out.append((text[lo:hi], a - lo, min(len(text), a + PIECE) - lo))
+    return out
 
 
-def as_grid(pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """(time, batch) bytes, zero behind the end, and the pieces' lengths."""
-    size = np.array([len(p) for p in pieces])
-    grid = np.frombuffer(b"".join(p.ljust(PIECE, b"\0") for p in pieces), np.uint8).reshape(len(pieces), PIECE)
-    return np.ascontiguousarray(grid.T), size
+def as_grid(pieces: list[tuple[bytes, int, int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(time, batch) bytes, zero behind the end; whether a place holds a byte; whether it is labelled."""
+    size, first, last = (np.array(x) for x in zip(*((len(p), a, b) for p, a, b in pieces)))
+    grid = np.frombuffer(b"".join(p.ljust(SPAN, b"\0") for p, _, _ in pieces), np.uint8).reshape(len(pieces), SPAN)[:, : size.max()]
+    at = np.arange(size.max())[:, None]
+    return np.ascontiguousarray(grid.T), (at < size).astype(np.float32), ((at >= first) & (at < last)).astype(np.float32)
 
 
 class Model:
@@ -72,12 +81,13 @@ class Model:
             "of": make(len(langs), hidden, by=0.3), "ob": make(len(langs), hidden, by=0.3), "c": np.zeros((len(langs), 1), np.float32),
         }
 
-    def states(self, grid: np.ndarray, keep: tuple | None = None):
+    def states(self, grid: np.ndarray, holds: np.ndarray, keep: tuple | None = None):
         n, p = grid.shape[1], self.p
         steps = range(len(grid))
         kf, kb = keep or (None, None)
         f = gru.run(lambda t: p["xf"].take(grid[t], axis=1), steps, p["uf"], n, kf)
-        b = gru.run(lambda t: p["xb"].take(grid[t], axis=1), steps[::-1], p["ub"], n, kb)
+        # backwards, padding comes first: states stay zero until a piece's own last byte
+        b = gru.run(lambda t: p["xb"].take(grid[t], axis=1), steps[::-1], p["ub"], n, kb, holds)
         return f, b
 
     def labels(self, f: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -91,18 +101,15 @@ class Model:
         out /= out.sum(axis=1, keepdims=True)
         return out
 
-    def sums(self, pieces: list[bytes]) -> np.ndarray:
-        """Sum of each piece's label probabilities over its positions (piece, language)."""
-        out = []
+    def sums(self, pieces: list[tuple[bytes, int, int]]) -> np.ndarray:
+        """Sum of each piece's label probabilities over its labelled places (piece, language)."""
+        out = np.zeros((len(pieces), len(self.langs)))
         for i in range(0, len(pieces), BATCH):
-            grid, size = as_grid(pieces[i : i + BATCH])
-            prob = self.labels(*self.states(grid[: size.max()]))
-            if (short := size < len(prob)).any():
-                prob[:, :, short] *= (np.arange(len(prob))[:, None] < size[short])[:, None, :]
-            out.append(prob.sum(axis=0).T)
-        return np.concatenate(out) if out else np.zeros((0, len(self.langs)), np.float32)
-
-    def train(self, pieces: list[bytes], targets: np.ndarray, epochs: int = EPOCHS, batch: int = 128, rate: float = 0.02, seed: int = 3) -> None:
+            grid, holds, told = as_grid(pieces[i : i + BATCH])
+            out[i : i + BATCH] = np.einsum("tln,tn->nl", self.labels(*self.states(grid, holds)), told)
+        return out
+
+    def train(self, pieces: list[tuple[bytes, int, int]], targets: np.ndarray, epochs: int = EPOCHS, batch: int = 128, rate: float = 0.02, seed: int = 3) -> None:
         rng, p = np.random.default_rng(seed), self.p
         adam = gru.Adam(p, rate)
         epochs = max(epochs, -(-STEPS * batch // max(len(pieces), 1)))
@@ -111,17 +118,17 @@ class Model:
             adam.rate = rate * (1 - epoch / epochs)
             for i in range(0, len(order), batch):
                 own = order[i : i + batch]
-                grid, size = as_grid([pieces[j] for j in own])
+                grid, holds, told = as_grid([pieces[j] for j in own])
                 kf, kb = [], []
-                f, b = self.states(grid, (kf, kb))
+                f, b = self.states(grid, holds, (kf, kb))
                 d = self.labels(f, b)
                 d[:, targets[own], np.arange(len(own))] -= 1
-                d *= (np.arange(len(grid))[:, None] < size)[:, None, :]
-                d /= size.sum()
+                d *= told[:, None, :]
+                d /= told.sum()
                 flat = lambda x: x.transpose(1, 0, 2).reshape(x.shape[1], -1)
                 g = {"of": flat(d) @ flat(f).T, "ob": flat(d) @ flat(b).T, "c": d.sum(axis=(0, 2))[:, None]}
                 dxf, g["uf"] = gru.backward(p["of"].T @ d, kf, p["uf"])
-                dxb, g["ub"] = gru.backward(p["ob"].T @ d, kb, p["ub"])
+                dxb, g["ub"] = gru.backward(p["ob"].T @ d, kb, p["ub"], holds)
                 hot = np.zeros((grid.size, 256), np.float32)
                 hot[np.arange(grid.size), grid.ravel()] = 1
                 g["xf"], g["xb"] = flat(dxf) @ hot, flat(dxb) @ hot
@@ -131,50 +138,66 @@ class Model:
 def fit(docs: DataFrame, key: str = "doc_id", lang: str = "lang", usable: Column | None = None, train_docs: int = TRAIN_DOCS) -> Model | None:
     """A model from a bounded sample of the usable rows; None if there is nothing to learn from."""
     usable = F.lit(True) if usable is None else usable
-    sample = [x for x in training_pieces(docs, key, lang, train_docs, usable) if x[1]]
-    langs = sorted({x[0] for x in sample})
+    sample = [(k, p) for k, t in training_texts(docs, key, lang, train_docs, usable) for p in cut(t)]
+    langs = sorted({k for k, _ in sample})
     if not langs:
         return None
     model = Model(langs)
-    model.train([x[1] for x in sample], np.array([langs.index(x[0]) for x in sample]))
+    model.train([p for _, p in sample], np.array([langs.index(k) for k, _ in sample]))
     return model
 
 
-def predict(docs: DataFrame, model: Model | None, keep: list[str]) -> DataFrame:
-    """The columns named, lang_pred and score of every document."""
+def predict(docs: DataFrame, model: Model | None) -> DataFrame:
+    """docs with lang_pred and score. Only texts go to Python, and they don't come back."""
+    kind = T.StructType([T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+
+    @F.arrow_udf(kind)
+    def guess(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for column in batches:
+            lang, score = [], []
+            for i in range(0, len(column), 512):
+                some = column.slice(i, 512)
+                known, texts = some.is_valid().to_pylist(), text_bytes(some)
+                prob = probabilities(model, texts)
+                for k, row in zip(known, prob):
+                    ok = k and len(row)
+                    best = int(row.argmax()) if ok else 0
+                    lang.append(model.langs[best] if ok else UNKNOWN)
+                    score.append(min(1.0, float(row[best])) if ok else 0.0)
+            yield pa.StructArray.from_arrays([pa.array(lang, pa.string()), pa.array(score, pa.float64())], ["lang_pred", "score"])
+
     letters = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
-    rows = docs.select(*keep, F.when(letters, F.col("text")).alias("_text"))
-
-    def run(batches):
-        import pyarrow as pa
-
-        for batch in batches:
-            texts = text_bytes(batch.column(len(keep)))
-            known = np.array(batch.column(len(keep)).is_valid().to_pylist(), bool)
-            prob = np.zeros((len(texts), len(model.langs) if model else 0))
-            if model:
-                pieces, of = [], []
-                for i, t in enumerate(texts):
-                    for a in range(0, len(t), PIECE):
-                        pieces.append(t[a : a + PIECE])
-                        of.append(i)
-                    if len(pieces) >= 8 * BATCH or i == len(texts) - 1:
-                        np.add.at(prob, np.array(of, np.int64), model.sums(pieces))
-                        pieces, of = [], []
-                prob /= np.maximum([[len(t)] for t in texts], 1)
-            best = prob.argmax(axis=1) if model else np.zeros(len(texts), int)
-            ok = known & (model is not None)
-            lang = [model.langs[b] if k else UNKNOWN for b, k in zip(best.tolist(), ok.tolist())]
-            score = [min(1.0, float(prob[i, b])) if k else 0.0 for i, (b, k) in enumerate(zip(best.tolist(), ok.tolist()))]
-            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(keep))), pa.array(lang, pa.string()), pa.array(score, pa.float64())], [*keep, "lang_pred", "score"])
-
-    schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
-    return rows.mapInArrow(run, f"{schema}, lang_pred string, score double")
+    rows = docs.withColumn("_guess", guess(F.when(letters, F.col("text"))))
+    return rows.select(*docs.columns, "_guess.lang_pred", "_guess.score")
+
+
+def probabilities(model: Model | None, texts: list[bytes]) -> np.ndarray:
+    """(text, language), the mean over each text's bytes."""
+    out = np.zeros((len(texts), len(model.langs) if model else 0))
+    pieces, of, many = [], [], 8 * BATCH
+
+    def flush():
+        np.add.at(out, np.array(of, np.int64), model.sums(pieces))
+        pieces.clear()
+        of.clear()
+
+    if model:
+        for i, t in enumerate(texts):
+            own = cut(t)
+            for j in range(0, len(own), many):
+                pieces += own[j : j + many]
+                of += [i] * len(own[j : j + many])
+                if len(pieces) >= many:
+                    flush()
+        if pieces:
+            flush()
+        out /= np.maximum([[len(t)] for t in texts], 1)
+    return out
 
 
 def identify(docs: DataFrame, key: str = "doc_id", folds: int = 4, held_out: int = 2, train_docs: int = TRAIN_DOCS) -> DataFrame:
     """key, held_out, lang_pred and score; learned from the rows outside the held-out fold."""
     fold = bucket(F.col(key), folds)
     model = fit(docs, key, "lang", fold != held_out, train_docs)
-    rows = predict(docs, model, [key])
+    rows = predict(docs.select(F.col(key), "text"), model)
     return rows.select(key, F.coalesce(fold == held_out, F.lit(False)).alias("held_out"), "lang_pred", "score")

@@ -203,14 +203,17 @@ def keep_one(docs: DataFrame, key: str = "doc_id", find=near_duplicates, **how)
     rows, names = apart(docs, key, "text")
     rows = rows.withColumn("_h1", F.xxhash64("text")).withColumn("_h2", F.xxhash64(F.lit(1), "text"))
     who = F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("id"), F.col("_h1").alias("h1"), F.col("_h2").alias("h2"))
-    found = find(rows.select(who.alias("who"), "text"), "who", **how)
-    gone = found.where(~F.col("who.none") & (F.col("who") != F.col("component_id"))).select("who.id", "who.h1", "who.h2").distinct()
+    found = find(rows.select(who.alias("who"), "text"), "who", **how).where(~F.col("who.none"))
+    # a row for each document that goes or has rows alike; only these few columns are dealt out, and no texts
+    told = found.groupBy("who").agg(F.first("component_id").alias("to"), F.count("*").alias("n")).where("n > 1 OR who <> to")
+    told = checkpointed(told.select("who.id", "who.h1", "who.h2", (F.col("who") != F.col("to")).alias("goes")))
     same = (F.col(key) == F.col("id")) & (F.col("_h1") == F.col("h1")) & (F.col("_h2") == F.col("h2"))
-    rest = rows.join(gone, same, "left_anti")
-    order = [f.name for f in rows.schema if f.dataType.typeName() in ("string", "long", "integer", "double", "boolean")]
-    nth = F.row_number().over(W.partitionBy(key, "_h1", "_h2").orderBy(*order))
-    one = rest.withColumn("_nth", F.when(F.col(key).isNull(), 1).otherwise(nth)).where("_nth = 1")
-    return one.select(*[c for c in rows.columns if c not in ("_h1", "_h2")]).toDF(*names)
+    single = rows.join(told, same, "left_anti")
+    alike = rows.join(told.where("NOT goes"), same, "left_semi")
+    order = [f.name for f in rows.schema if f.name != "text" and f.dataType.typeName() in ("string", "long", "integer", "double", "boolean")]
+    first = alike.withColumn("_nth", F.row_number().over(W.partitionBy(key, "_h1", "_h2").orderBy(*order))).where("_nth = 1")
+    columns = [c for c in rows.columns if c not in ("_h1", "_h2")]
+    return single.select(*columns).unionByName(first.select(*columns)).toDF(*names)
 
 
 __all__ = ["cells", "fingerprint", "fingerprints", "keep_one", "links", "near_duplicates"]

@@ -38,6 +38,84 @@ def test_language_on_held_out_rows(spark):
     assert out.score.between(0, 1).all()
 
 
+def plain_probabilities(model, text):
+    """One byte at a time, each piece from zero states, with the network's equations written out."""
+    p, h = {k: v.astype(np.float64) for k, v in model.p.items()}, langid.HIDDEN
+    squash = lambda x: 1 / (1 + np.exp(-x))
+    total = np.zeros(len(model.langs))
+
+    def states(piece, way):
+        state, out = np.zeros(h), []
+        for byte in piece:
+            x, rec = p["x" + way][:, byte], p["u" + way] @ state
+            z, r = squash(x[:h] + rec[:h]), squash(x[h : 2 * h] + rec[h : 2 * h])
+            n = np.tanh(x[2 * h :] + r * rec[2 * h :])
+            state = z * state + (1 - z) * n
+            out.append(state)
+        return out
+
+    for a in range(0, len(text), langid.PIECE):
+        lo = max(0, a - langid.EDGE)
+        piece = text[lo : a + langid.PIECE + langid.EDGE]
+        f, b = states(piece, "f"), states(piece[::-1], "b")[::-1]
+        for i in range(a - lo, min(len(text) - lo, a - lo + langid.PIECE)):
+            logits = p["of"] @ f[i] + p["ob"] @ b[i] + p["c"][:, 0]
+            e = np.exp(logits - logits.max())
+            total += e / e.sum()
+    return total / max(len(text), 1)
+
+
+def test_language_equals_plain_network_in_any_batch():
+    model = langid.Model(["de", "en", "fr"])
+    texts = [b"", b"a", "nineteen bytes of it".encode(), "é".encode() * 300, b"some words " * 60, bytes(range(32, 127)) * 9]
+    want = [plain_probabilities(model, t) for t in texts]
+    for own in (texts, texts[::-1], texts[2:3], texts[1:4]):
+        got = langid.probabilities(model, own)
+        for t, row in zip(own, got):
+            assert np.allclose(row, want[texts.index(t)], atol=1e-4)
+
+
+def test_language_gradients():
+    rng, model = np.random.default_rng(4), langid.Model(["x", "y"], hidden=3)
+    model.p = {k: v.astype(np.float64) for k, v in model.p.items()}
+    pieces = [p for t in (b"ab", b"some longer text", b"q" * 150) for p in langid.cut(t)]
+    targets = np.array([i % 2 for i in range(len(pieces))])
+    grads = {}
+
+    class Keep:
+        rate = 0.0
+
+        def __init__(self, *_):
+            pass
+
+        def step(self, p, g):
+            grads.update(g)
+
+    def loss():
+        grid, holds, told = langid.as_grid(pieces)
+        prob = model.labels(*model.states(grid, holds))
+        own = -np.log(prob[:, targets, np.arange(len(pieces))])
+        return (own * told).sum() / told.sum()
+
+    was, gru.Adam = gru.Adam, Keep
+    try:
+        model.train(pieces, targets, epochs=1, batch=len(pieces), rate=0.0)
+    finally:
+        gru.Adam = was
+    for name in ("ub", "uf", "ob", "xb", "c"):
+        for _ in range(4):
+            at = tuple(rng.integers(0, n) for n in model.p[name].shape)
+            if name == "xb":
+                at = (at[0], ord("e"))
+            old, eps = model.p[name][at], 1e-5
+            model.p[name][at] = old + eps
+            up = loss()
+            model.p[name][at] = old - eps
+            down = loss()
+            model.p[name][at] = old
+            assert abs((up - down) / (2 * eps) - grads[name][at]) < 1e-5
+
+
 def test_language_without_labels(spark):
     docs = spark.createDataFrame([(1, "some text", None)], "doc_id long, text string, lang string")
     assert langid.identify(docs).first().lang_pred == "und"
@@ -66,7 +144,7 @@ def test_toxicity_of_odd_rows(spark):
 
 def test_pipeline_stages(spark):
     import corpus_pipeline
-    from test_words import plain_components, plain_fingerprint
+    from test_near_copies import plain_components, plain_shingles
 
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     rows = docs
@@ -76,8 +154,9 @@ def test_pipeline_stages(spark):
         kept = out.collect()
         assert {tuple(r) for r in kept} <= {tuple(r) for r in rows.collect()}
         if name == "near_dedup":
-            fps = [plain_fingerprint(r.text) for r in rows.orderBy("doc_id").collect()]
-            assert len(kept) == len(set(plain_components(fps)))
+            # the stage's rule is shingle similarity, not op10's radius
+            roots, _ = plain_components([plain_shingles(r.text) for r in rows.orderBy("doc_id").collect()])
+            assert len(kept) == len(set(roots))
         rows = spark.createDataFrame(kept, docs.schema)
     n = rows.count()
     last = corpus_pipeline.STAGES[-1][1](spark, rows, "/root/testdata/sf0.001")
