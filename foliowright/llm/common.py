@@ -78,6 +78,13 @@ def text_bytes(column) -> list[bytes]:
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]
 
 
+def slices(batches, rows: int = 512):
+    """Record batches of few rows, so that what is made of them in Python stays small."""
+    for batch in batches:
+        for i in range(0, batch.num_rows, rows):
+            yield batch.slice(i, rows)
+
+
 def in_chunks(texts: list[bytes], limit: int = 1 << 20):
     """Consecutive (first, last + 1) of about limit bytes; one text may exceed it."""
     first, size = 0, 0
