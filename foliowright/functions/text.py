@@ -66,28 +66,38 @@ def bound(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
-def running_sums(values: Column, block: int = 64) -> Column:
-    """Sums of an array's integers up to and with each one, in time linear in the array.
+def running(values: Column, join: Callable[[Column, Column], Column], zero: int, block: int = 64) -> Column:
+    """An array's integers joined (summed, or the greatest taken) up to and with each one, in time linear in the array.
 
-    Appending to an array copies it, so sums are made block by block and then shifted.
+    Appending to an array copies it, so that blocks are joined first and then with what precedes them.
     """
+    none = F.lit(zero).cast("long")
 
-    def sums(xs: Column) -> Column:
-        none = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<bigint>").alias("out"))
-        return F.aggregate(xs, none, lambda acc, x: F.struct((acc["at"] + x).alias("at"), F.array_append(acc["out"], acc["at"] + x).alias("out")), lambda acc: acc["out"])
+    def walk(xs: Column) -> Column:
+        start = F.struct(none.alias("at"), F.array().cast("array<bigint>").alias("out"))
+        return F.aggregate(xs, start, lambda acc, x: F.struct(join(acc["at"], x.cast("long")).alias("at"), F.array_append(acc["out"], join(acc["at"], x.cast("long"))).alias("out")), lambda acc: acc["out"])
 
     def shifted(blocks: Column) -> Column:
-        totals = sums(F.transform(blocks, lambda b: F.coalesce(F.get(b, F.size(b) - 1), F.lit(0).cast("long"))))
-        before = F.concat(F.array(F.lit(0).cast("long")), totals)
-        return F.flatten(F.zip_with(blocks, F.slice(before, F.lit(1), F.size(blocks)), lambda b, t: F.transform(b, lambda x: x + t)))
+        totals = walk(F.transform(blocks, lambda b: F.coalesce(F.get(b, F.size(b) - 1), none)))
+        before = F.concat(F.array(none), totals)
+        return F.flatten(F.zip_with(blocks, F.slice(before, F.lit(1), F.size(blocks)), lambda b, t: F.transform(b, lambda x: join(t, x))))
 
     def blocked(xs: Column) -> Column:
         starts = F.sequence(F.lit(0), F.greatest(F.size(xs) - 1, F.lit(0)), F.lit(block))
-        return bound(F.transform(starts, lambda i: sums(F.slice(xs, i + 1, F.lit(block)))), shifted)
+        return bound(F.transform(starts, lambda i: walk(F.slice(xs, i + 1, F.lit(block)))), shifted)
 
     return bound(values, blocked)
 
 
+def running_sums(values: Column) -> Column:
+    return running(values, lambda a, b: a + b, 0)
+
+
+def running_greatest(values: Column) -> Column:
+    """Of integers of at least 0."""
+    return running(values, F.greatest, 0)
+
+
 def blocks_of(text: Column, size: int) -> Column:
     """The text cut into pieces of that many code points."""
     return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{size}}}"), F.lit(0))
