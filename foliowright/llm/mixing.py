@@ -1,8 +1,8 @@
 """Mixing sources to target weights by iterative proportional fitting.
 
 Native: DataFrame functions only. Documents are summed to cells (source, language,
-topic) of tokens; the cells' weights are raked, one margin after the other, until the
-sums of each margin are its targets; a document is kept with the probability that its
+topic) of tokens; the cells' weights are raked, one margin after the other, until every
+sum of a margin is within TOLERANCE of its target (relatively); a document is kept with the probability that its
 cell's weight asks for, scaled so that the largest is one. Only the cells are iterated;
 each margin update is an aggregation and a join, so cells may be many; state between
 rounds is a table in the shared folder.
@@ -10,19 +10,28 @@ rounds is a table in the shared folder.
 Targets are given, or tempered: a margin's own shares of tokens to the power ALPHA. The
 draw is a hash of the id, so that runs repeat and repeated rows share their fate.
 
-A null source or language is the value `?`; a null text has no tokens (a cell of no
+Targets that a margin's table lacks are 0, and cells of such values get the weight 0 and
+the probability 0. A value whose cells all have the weight 0 can't reach its target: the
+target is given up and the others are met among themselves. Targets that contradict each
+other never meet; raking then ends after MOST rounds, with a warning that names the rest.
+
+Topics are a column of the caller's, or by default told by strings that texts hold.
+A null source, language or topic is the value `?`; a null text has no tokens (a cell of no
 tokens keeps its documents with probability one); a null id is drawn as an empty string.
 """
 
 from __future__ import annotations
 
+import warnings
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from foliowright.llm.common import apart, materialised, remove_path
 
 MARGINS = ("source", "lang", "topic")
-ALPHA, ROUNDS = 0.85, 6
+ALPHA, TOLERANCE, MOST = 0.85, 1e-9, 50
 #: cells are joined to documents by broadcast up to this number, by an exchange beyond it
 BROADCAST = 100_000
 SEED = "mix"
@@ -43,41 +52,50 @@ def topic(text: Column) -> Column:
     return out
 
 
-def described(docs: DataFrame) -> DataFrame:
-    """docs with _source, _lang, _topic and _tokens; columns that bear a name of this module's own are left out."""
-    return docs.drop("_source", "_lang", "_topic", "_tokens", "_probability", "_kept", "_found").select(
-        "*", F.coalesce(F.col("source"), F.lit("?")).alias("_source"), F.coalesce(F.col("lang"), F.lit("?")).alias("_lang"),
-        topic(F.col("text")).alias("_topic"), n_words(F.col("text")).alias("_tokens"),
-    )
+def described(docs: DataFrame, key: str, topics: Column | None = None) -> DataFrame:
+    """key, _source, _lang, _topic and _tokens of every document."""
+    known = lambda c: F.coalesce(c.cast("string"), F.lit("?"))
+    about = topic(F.col("text")) if topics is None else known(topics)
+    return docs.select(F.col(key), known(F.col("source")).alias("_source"), known(F.col("lang")).alias("_lang"), about.alias("_topic"), n_words(F.col("text")).alias("_tokens"))
 
 
-def rake(cells: DataFrame, targets: dict[str, DataFrame] | None = None, rounds: int = ROUNDS, alpha: float = ALPHA) -> DataFrame:
+def rake(cells: DataFrame, targets: dict[str, DataFrame] | None = None, most: int = MOST, alpha: float = ALPHA, tolerance: float = TOLERANCE, broadcast: int = BROADCAST) -> DataFrame:
     """Cells (margins, tokens) with probability.
 
     targets: by margin a table (value, share); margins without one are tempered.
     """
     spark = cells.sparkSession
     cells, path = materialised(cells.where("tokens > 0").withColumn("w", F.col("tokens").cast("double")), "cells")
-    goal = {}
+    goal, paths = {}, []
     for m in MARGINS:
         if targets and m in targets:
-            raw = targets[m].select(F.col("value").alias(m), F.col("share").alias("goal"))
+            raw = targets[m].groupBy(F.col("value").alias(m)).agg(F.sum("share").alias("goal"))
         else:
             raw = cells.groupBy(m).agg(F.pow(F.sum("w"), F.lit(alpha)).alias("goal"))
-        raw = materialised(raw, f"goal-{m}")[0]
+        raw, at = materialised(raw, f"goal-{m}")
+        paths.append(at)
         goal[m] = raw.select(m, (F.col("goal") / F.lit(raw.agg(F.sum("goal")).first()[0] or 1.0)).alias("goal"))
-    out = cells
-    for _ in range(rounds):
+    out, rest = cells, None
+    for _ in range(most):
         for m in MARGINS:
-            factor = out.groupBy(m).agg(F.sum("w").alias("sum")).join(goal[m], m, "left").select(m, (F.coalesce("goal", F.lit(0.0)) / F.col("sum")).alias("factor"))
+            factor = out.groupBy(m).agg(F.sum("w").alias("sum")).join(goal[m], m, "left").select(m, F.coalesce(F.try_divide(F.coalesce("goal", F.lit(0.0)), F.col("sum")), F.lit(0.0)).alias("factor"))
             out = out.join(factor, m).select(*MARGINS, "tokens", (F.col("w") * F.col("factor")).alias("w"))
         # a table's size is known when the next round is planned; a checkpoint would keep an estimate that each join squares
         out, done = materialised(out, "cells")
         remove_path(spark, path)
         path = done
-    n, most = out.agg(F.count("*"), F.max(F.col("w") / F.col("tokens"))).first()
-    out = out.select(*MARGINS, (F.col("w") / F.col("tokens") / F.lit(most or 1.0)).alias("probability"))
-    return F.broadcast(out) if n <= BROADCAST else out
+        # how far the margins are off that were not the last one met
+        off = [out.groupBy(m).agg(F.sum("w").alias("sum")).join(goal[m], m).where("sum > 0 AND goal > 0").select(F.abs(F.col("sum") / F.col("goal") - 1).alias("off")) for m in MARGINS[:-1]]
+        rest = reduce(DataFrame.unionByName, off).agg(F.coalesce(F.max("off"), F.lit(0.0))).first()[0]
+        if rest <= tolerance:
+            break
+    else:
+        warnings.warn(f"margins are up to {rest:.3g} off their targets after {most} rounds", stacklevel=2)
+    n, largest = out.agg(F.count("*"), F.max(F.col("w") / F.col("tokens"))).first()
+    for at in paths:
+        remove_path(spark, at)
+    out = out.select(*MARGINS, (F.col("w") / F.col("tokens") / F.lit(largest or 1.0)).alias("probability"))
+    return F.broadcast(out) if n <= broadcast else out
 
 
 def draw(key: Column, seed: str = SEED) -> Column:
@@ -86,23 +104,33 @@ def draw(key: Column, seed: str = SEED) -> Column:
     return F.conv(digits, 16, 10).cast("double") / F.lit(float(1 << 32))
 
 
-def weighed(docs: DataFrame, key: str = "doc_id", targets: dict[str, DataFrame] | None = None, rounds: int = ROUNDS, alpha: float = ALPHA) -> DataFrame:
-    """docs with _source, _lang, _topic, _tokens, _probability and _kept."""
-    rows = described(docs)
+def weighed(docs: DataFrame, key: str = "doc_id", targets: dict[str, DataFrame] | None = None, topics: Column | None = None, **how) -> DataFrame:
+    """key, _source, _lang, _topic, _tokens, _probability and _kept of every document; other columns are not looked at."""
+    rows = described(docs, key, topics)
     columns = [F.col(f"_{m}").alias(m) for m in MARGINS]
     cells = rows.groupBy(*columns).agg(F.sum("_tokens").alias("tokens"))
-    found = rake(cells, targets, rounds, alpha).select(*[F.col(m).alias(f"_{m}") for m in MARGINS], F.col("probability").alias("_found"))
+    found = rake(cells, targets, **how).select(*[F.col(m).alias(f"_{m}") for m in MARGINS], F.col("probability").alias("_found"))
     out = rows.join(found, [f"_{m}" for m in MARGINS], "left").withColumn("_probability", F.coalesce("_found", F.lit(1.0))).drop("_found")
-    return out.withColumn("_kept", draw(F.col(key)) < F.col("_probability"))
+    out = out.withColumn("_kept", draw(F.col(key)) < F.col("_probability"))
+    return out.select(key, "_source", "_lang", "_topic", "_tokens", "_probability", "_kept")
 
 
-def mix(docs: DataFrame, key: str = "doc_id", **how) -> DataFrame:
+def mix(docs: DataFrame, key: str = "doc_id", targets: dict[str, DataFrame] | None = None, topics: Column | None = None, **how) -> DataFrame:
     """The documents drawn, with the columns of docs."""
-    rows, names = apart(docs, key, "text", "source", "lang")
-    return weighed(rows, key, **how).where("_kept").select(*rows.columns).toDF(*names)
-
-
-def sql(rounds: int = ROUNDS, alpha: float = ALPHA, documents: str = "documents") -> str:
+    own = docs if topics is None else docs.withColumn("_topics_given", topics)
+    rows, names = apart(own, key, "text", "source", "lang", "_topics_given")
+    about = topic(F.col("text")) if topics is None else F.coalesce(F.col("_topics_given").cast("string"), F.lit("?"))
+    cell = {m: F.coalesce(F.col(m).cast("string"), F.lit("?")) for m in ("source", "lang")} | {"topic": about}
+    cells = rows.groupBy(*[c.alias(m) for m, c in cell.items()]).agg(F.sum(n_words(F.col("text"))).alias("tokens"))
+    found = rake(cells, targets, **how).select(*[F.col(m).alias(f"_cell_{m}") for m in MARGINS], "probability")
+    keyed = rows.select("*", *[c.alias(f"_of_{m}") for m, c in cell.items()])
+    same = reduce(Column.__and__, [F.col(f"_of_{m}") == F.col(f"_cell_{m}") for m in MARGINS])
+    kept = keyed.join(found, same, "left").where(draw(F.col(key)) < F.coalesce("probability", F.lit(1.0)))
+    out = kept.select(*rows.columns).toDF(*names)
+    return out if topics is None else out.drop("_topics_given")
+
+
+def sql(rounds: int = 20, alpha: float = ALPHA, documents: str = "documents") -> str:
     """weighed() of the documents with tempered targets, in DuckDB SQL."""
     cases = " ".join(f"WHEN contains(text, '{held}') THEN '{name}'" for name, held in TOPICS)
     words = rf"len(list_filter(regexp_split_to_array(coalesce(text, ''), '{_SPACE}+'), lambda w: w <> ''))"
@@ -115,7 +143,7 @@ def sql(rounds: int = ROUNDS, alpha: float = ALPHA, documents: str = "documents"
     last = "w0"
     for i in range(rounds * len(MARGINS)):
         m = MARGINS[i % len(MARGINS)]
-        steps.append(f"w{i + 1} AS MATERIALIZED (SELECT s_source, s_lang, s_topic, tokens, w * goal / sum(w) OVER (PARTITION BY s_{m}) AS w FROM {last} JOIN goal_{m} USING (s_{m}))")
+        steps.append(f"w{i + 1} AS MATERIALIZED (SELECT s_source, s_lang, s_topic, tokens, coalesce(w * goal / nullif(sum(w) OVER (PARTITION BY s_{m}), 0), 0) AS w FROM {last} JOIN goal_{m} USING (s_{m}))")
         last = f"w{i + 1}"
     steps.append(f"p AS (SELECT s_source, s_lang, s_topic, w / tokens / max(w / tokens) OVER () AS probability FROM {last})")
     steps.append(
