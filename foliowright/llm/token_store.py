@@ -7,17 +7,28 @@ with three binary members:
   as little-endian uint16 (vocabularies up to 65,536 ids) or uint32;
 * slots: one (fingerprint u32, first id u64, number of ids u32) per document, in the
   order of the hash's values;
-* levels: the bit arrays of the minimal perfect hash.
+* levels: the bit arrays of the minimal perfect hash, with the number of bits set before
+  each block of BLOCK bits.
 
 The hash is a cascade of bit arrays. At each level a key sets the bit at its hash; bits
 claimed by several keys stay clear and their keys go to the next level. A key's value is
-the number of bits set before its own, so n keys take the values 0 to n - 1. Looking up
-takes one probe a level (two levels on average), one rank and one slot, whatever the
-number of documents. The stored fingerprint tells keys that were never added.
+the number of bits set before its own, so n keys take the values 0 to n - 1. One probe a
+level (two levels on average), one stored count and the bits of one block give the value,
+and one slot the place, whatever the number of documents in the shard. The stored
+fingerprint tells keys that were never added.
+
+Shards are of a bounded size and ascend by key, with the first and last key of each in
+columns of its own; a keyed read names its key in a filter on them, so that the reader
+skips the files and row groups of all other shards by their statistics. A shard is read
+whole, since a Parquet cell can't be read in part: access is constant in the number of
+documents, and reads one shard's bytes.
 
 Rows: repeated keys are told apart by their occurrence (0, 1, ... in key order, then text
-order); a null key is a key of its own and sorts first; a null text is empty and has
-just the end id. Extra columns are ignored.
+order), and a repeated key may span shards; a null key is a key of its own and sorts first;
+a null text is empty and has just the end id; a very long one is one document of a shard.
+Keys are exchanged by range together with the start of the text, so that rows of one
+repeated or null key are dealt to several tasks. An empty table gives an empty store. Extra columns
+are ignored.
 """
 
 from __future__ import annotations
@@ -32,12 +43,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from foliowright.llm.common import new_path, remove_path, worker_state
+from foliowright.llm.common import new_path, remove_path, slices, worker_state
 from foliowright.llm.wordscan import mix
 
 SLOT = np.dtype([("print", "<u4"), ("first", "<u8"), ("n", "<u4")])
 NULL_KEY = 0x6E756C6C00000000
-SHARD = "part int, seq int, start long, n_ids long, n_keys int, width int, key binary, payload binary, slots binary, levels binary"
+SHARD = "part int, seq int, start long, n_ids long, n_keys int, nulls int, lo long, hi long, width int, key binary, payload binary, slots binary, levels binary"
+#: bits between two stored counts
+BLOCK = 512
 
 
 def key_words(keys: np.ndarray, occurrence: np.ndarray) -> np.ndarray:
@@ -54,39 +67,44 @@ def fingerprints(words: np.ndarray) -> np.ndarray:
 
 
 def build_levels(words: np.ndarray, gamma: float = 2.0) -> bytes:
-    """Bit arrays of a minimal perfect hash over distinct words."""
-    out, left, level = [], np.unique(words), 0
+    """Bit arrays of a minimal perfect hash over distinct words, each behind its size and the counts of set bits before its blocks."""
+    out, left, level, before = [], np.unique(words), 0, 0
     if len(left) != len(words):
         raise ValueError("keys of an index must be distinct")
     while len(left):
-        size = max(8, int(gamma * len(left)) + 7 & ~7)
+        size = -(-max(8, int(gamma * len(left))) // BLOCK) * BLOCK
         at = _probe(left, level, size).astype(np.int64)
         alone = np.bincount(at, minlength=size) == 1
-        out.append(struct.pack("<I", size) + np.packbits(alone, bitorder="little").tobytes())
-        left, level = left[~alone[at]], level + 1
+        each = alone.reshape(-1, BLOCK).sum(axis=1)
+        ranks = before + np.cumsum(each) - each
+        out.append(struct.pack("<I", size) + ranks.astype("<u4").tobytes() + np.packbits(alone, bitorder="little").tobytes())
+        left, level, before = left[~alone[at]], level + 1, before + int(each.sum())
     return b"".join(out)
 
 
-def read_levels(data: bytes) -> list[tuple[np.ndarray, int]]:
-    """Each level's bits and the number of bits set before it."""
-    out, at, before = [], 0, 0
+def read_levels(data: bytes) -> list[tuple[int, np.ndarray, np.ndarray]]:
+    """Each level's size, counts before its blocks and bits as bytes; nothing is unpacked."""
+    out, at = [], 0
     while at < len(data):
         (size,) = struct.unpack_from("<I", data, at)
-        bits = np.unpackbits(np.frombuffer(data, np.uint8, size // 8, at + 4), bitorder="little")
-        out.append((bits, before))
-        before += int(bits.sum())
-        at += 4 + size // 8
+        blocks = size // BLOCK
+        out.append((size, np.frombuffer(data, "<u4", blocks, at + 4), np.frombuffer(data, np.uint8, size // 8, at + 4 + 4 * blocks)))
+        at += 4 + 4 * blocks + size // 8
     return out
 
 
-def slot_of(words: np.ndarray, levels: list[tuple[np.ndarray, int]]) -> np.ndarray:
-    """The hash's values; -1 where no level has the word."""
+def slot_of(words: np.ndarray, levels: list[tuple[int, np.ndarray, np.ndarray]]) -> np.ndarray:
+    """The hash's values; -1 where no level has the word. One block of bits is counted for each word."""
     out, left = np.full(len(words), -1, np.int64), np.arange(len(words))
-    for level, (bits, before) in enumerate(levels):
-        at = _probe(words[left], level, len(bits)).astype(np.int64)
-        hit = bits[at] == 1
-        rank = np.cumsum(bits, dtype=np.int64)
-        out[left[hit]] = before + rank[at[hit]] - 1
+    for level, (size, ranks, bits) in enumerate(levels):
+        at = _probe(words[left], level, size).astype(np.int64)
+        hit = bits[at >> 3] >> (at & 7).astype(np.uint8) & 1 == 1
+        own, where = left[hit], at[hit]
+        for i in range(0, len(own), 1 << 14):
+            block, within = np.divmod(where[i : i + (1 << 14)], BLOCK)
+            some = np.unpackbits(bits.reshape(-1, BLOCK // 8)[block], axis=1, bitorder="little")
+            some[np.arange(BLOCK) >= within[:, None]] = 0
+            out[own[i : i + (1 << 14)]] = ranks[block] + some.sum(axis=1)
         left = left[~hit]
     return out
 
@@ -100,7 +118,8 @@ def pack_shard(part: int, seq: int, start: int, keys: list, occurrence: list[int
     slots["print"][at], slots["n"][at] = fingerprints(words), n
     slots["first"][at] = np.cumsum(n) - n
     key = np.array([(k is not None, k or 0, o) for k, o in zip(keys, occurrence)], [("has", "u1"), ("key", "<i8"), ("nth", "<u4")])
-    return {"part": part, "seq": seq, "start": start, "n_ids": int(n.sum()), "n_keys": len(keys), "width": width, "key": key.tobytes(), "payload": b"".join(ids), "slots": slots.tobytes(), "levels": levels}
+    own = [k for k in keys if k is not None]
+    return {"part": part, "seq": seq, "start": start, "n_ids": int(n.sum()), "n_keys": len(keys), "nulls": len(keys) - len(own), "lo": min(own, default=None), "hi": max(own, default=None), "width": width, "key": key.tobytes(), "payload": b"".join(ids), "slots": slots.tobytes(), "levels": levels}
 
 
 class Shard:
@@ -178,13 +197,15 @@ def encoder(path: str, end_id: int, width: int):
 def write(docs: DataFrame, path: str, tokenizer: str, end_id: int, key: str = "doc_id", shard_ids: int = 1 << 20, width: int = 2) -> None:
     """Encodes documents and writes them to path in ascending key order.
 
-    One range exchange by key; each partition encodes its texts in key order and cuts
+    One range exchange; each partition encodes its texts in key order and cuts
     shards of about shard_ids ids.
     """
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     texts = docs.select(F.col(key).cast("long").alias("k"), F.coalesce("text", F.lit("")).alias("t"))
-    ordered = texts.repartitionByRange(parts, F.col("k").asc_nulls_first()).sortWithinPartitions(F.col("k").asc_nulls_first(), "t")
+    first = F.col("k").asc_nulls_first()
+    # the start of the text only parts rows of one key; bounds of ranges stay short
+    ordered = texts.repartitionByRange(parts, first, F.left("t", F.lit(16))).sortWithinPartitions(first, "t")
 
     def shards(batches):
         import pyarrow as pa
@@ -200,7 +221,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int, key: str = "d
             row = pack_shard(part, seq, start, keys, nth, ids, width)
             start, seq = start + row["n_ids"], seq + 1
             keys, nth, ids, size = [], [], [], 0
-            return pa.RecordBatch.from_pylist([row], schema=pa.schema([("part", pa.int32()), ("seq", pa.int32()), ("start", pa.int64()), ("n_ids", pa.int64()), ("n_keys", pa.int32()), ("width", pa.int32()), ("key", pa.binary()), ("payload", pa.binary()), ("slots", pa.binary()), ("levels", pa.binary())]))
+            return pa.RecordBatch.from_pylist([row], schema=pa.schema([("part", pa.int32()), ("seq", pa.int32()), ("start", pa.int64()), ("n_ids", pa.int64()), ("n_keys", pa.int32()), ("nulls", pa.int32()), ("lo", pa.int64()), ("hi", pa.int64()), ("width", pa.int32()), ("key", pa.binary()), ("payload", pa.binary()), ("slots", pa.binary()), ("levels", pa.binary())]))
 
         for batch in batches:
             for i in range(0, batch.num_rows, 256):
@@ -236,7 +257,7 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     def documents(batches):
         import pyarrow as pa
 
-        for batch in batches:
+        for batch in slices(batches, 1):
             for x in batch.to_pylist():
                 shard = Shard(x["width"], x["payload"], x["slots"], x["levels"])
                 key = np.frombuffer(x["key"], [("has", "u1"), ("key", "<i8"), ("nth", "<u4")])
@@ -253,33 +274,45 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     return rows.mapInArrow(documents, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
-def holds(stored: bytes, key, occurrence: int = 0) -> bool:
-    """Whether a shard's stored keys, which ascend, have this one."""
+def holds(stored: bytes, key) -> np.ndarray:
+    """The occurrences of a key among a shard's stored keys, which ascend."""
     own = np.frombuffer(stored, [("has", "u1"), ("key", "<i8"), ("nth", "<u4")])
     nulls = int(np.searchsorted(own["has"], 1))
     if key is None:
-        return bool((own["nth"][:nulls] == occurrence).any())
-    a, b = nulls + np.searchsorted(own["key"][nulls:], key, "left"), nulls + np.searchsorted(own["key"][nulls:], key, "right")
-    return bool((own["nth"][a:b] == occurrence).any())
+        return own["nth"][:nulls]
+    a, b = (nulls + int(np.searchsorted(own["key"][nulls:], key, side)) for side in ("left", "right"))
+    return own["nth"][a:b]
+
+
+def shards_of(spark: SparkSession, path: str, keys: list) -> DataFrame:
+    """The shards that may hold one of a few keys; the reader skips others by the statistics of lo and hi."""
+    wanted = F.lit(False)
+    for k in keys:
+        wanted = wanted | ((F.col("nulls") > 0) if k is None else (F.col("lo") <= k) & (F.col("hi") >= k))
+    return spark.read.schema(SHARD).parquet(path).where(wanted)
 
 
-def lookup(spark: SparkSession, path: str, keys: list[int]) -> dict[int, np.ndarray]:
-    """The ids of the first occurrence of a few keys, by key. Every shard of the store is read and asked."""
-    wanted = list(keys)
-    rows = spark.read.schema(SHARD).parquet(path)
+def lookup(spark: SparkSession, path: str, keys: list) -> dict:
+    """The ids of a few keys, by key; those of all occurrences of a repeated key, in order of shard and occurrence, as a list of arrays."""
+    asked = list(dict.fromkeys(keys))
 
     def find(batches):
         import pyarrow as pa
 
-        for batch in batches:
+        for batch in slices(batches, 1):
             for x in batch.to_pylist():
                 shard = Shard(x["width"], x["payload"], x["slots"], x["levels"])
-                for k in wanted:
-                    # a fingerprint may match in a shard that doesn't have the key
-                    if (ids := shard.get(k)) is not None and holds(x["key"], k):
-                        yield pa.RecordBatch.from_arrays([pa.array([k], pa.int64()), pa.array([ids.astype("<u4").tobytes()], pa.binary())], ["k", "ids"])
-
-    return {r.k: np.frombuffer(r.ids, "<u4") for r in rows.mapInArrow(find, "k long, ids binary").collect()}
+                for k in asked:
+                    # the stored keys are compared too, since a fingerprint may match by chance
+                    for nth in holds(x["key"], k).tolist():
+                        ids = shard.get(k, nth)
+                        yield pa.RecordBatch.from_arrays([pa.array([k], pa.int64()), pa.array([x["part"]], pa.int32()), pa.array([x["seq"]], pa.int32()), pa.array([nth], pa.int32()), pa.array([ids.astype("<u4").tobytes()], pa.binary())], ["k", "part", "seq", "nth", "ids"])
+
+    out: dict = {}
+    rows = shards_of(spark, path, asked).mapInArrow(find, "k long, part int, seq int, nth int, ids binary").collect()
+    for r in sorted(rows, key=lambda r: (r.part, r.seq, r.nth)):
+        out.setdefault(r.k, []).append(np.frombuffer(r.ids, "<u4"))
+    return out
 
 
 def store_tokens(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
