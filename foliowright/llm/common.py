@@ -8,7 +8,8 @@ import tempfile
 import types
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -78,6 +79,40 @@ def text_bytes(column) -> list[bytes]:
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]
 
 
+#: A key is hot if it has more than one row in this many; so no more keys than this are ever hot.
+HOT = 1000
+SALT = 64
+
+
+def hot_keys(counts: DataFrame, keys: list[str], n: str, least: int = 1000) -> list[tuple]:
+    """The keys of counts (keys, n) that have more than one in HOT of all rows, and more than `least`; at most HOT."""
+    total = counts.agg(F.coalesce(F.sum(n), F.lit(0))).first()[0]
+    return [tuple(r) for r in counts.where(F.col(n) > max(total // HOT, least)).select(*keys).collect()]
+
+
+def is_hot(keys: list[str], hot: list[tuple]) -> Column:
+    if not hot:
+        return F.lit(False)
+    given = F.xxhash64(*keys)
+    # a key of the same hash would only be salted too
+    return given.isin(*[int(x) for x in _hashes(keys, hot)])
+
+
+def _hashes(keys: list[str], hot: list[tuple]) -> list[int]:
+    spark = SparkSession.active()
+    rows = spark.createDataFrame(hot, ", ".join(f"`{k}` long" for k in keys))
+    return [r[0] for r in rows.select(F.xxhash64(*keys)).collect()]
+
+
+def salted_join(many: DataFrame, few: DataFrame, keys: list[str], hot: list[tuple], how: str = "inner") -> DataFrame:
+    """many joined with few by keys; rows of many with a hot key are dealt over SALT tasks and few's rows copied to these."""
+    if not hot:
+        return many.join(few, keys, how)
+    own = many.withColumn("_salt", F.when(is_hot(keys, hot), F.pmod(F.spark_partition_id(), F.lit(SALT))).otherwise(0))
+    other = few.withColumn("_salt", F.explode(F.when(is_hot(keys, hot), F.sequence(F.lit(0), F.lit(SALT - 1))).otherwise(F.array(F.lit(0)))))
+    return own.join(other, [*keys, "_salt"], how).drop("_salt")
+
+
 def slices(batches, rows: int = 512):
     """Record batches of few rows, so that what is made of them in Python stays small."""
     for batch in batches:

@@ -16,8 +16,8 @@ documents costs a row for each and not for each pair. Seed, reach and window has
 64 bits each and always used two together.
 
 Rows: texts are told apart by 128 bits of hash, so repeated rows and ties need no order;
-every row counts as an occurrence. Null and short texts have no windows. Extra columns
-are ignored.
+every row counts as an occurrence. Null and short texts have no windows; very long ones are
+read whole. An empty table gives an empty one. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from foliowright.llm.common import in_chunks, materialised, release, remove_path, text_bytes
+from foliowright.llm.common import hot_keys, in_chunks, is_hot, materialised, release, remove_path, salted_join, text_bytes
 from foliowright.llm.wordscan import anchors, covered, mix, scan
 
 WINDOW, GRAM, KIND = 35, 10, "space"
@@ -89,7 +89,7 @@ def _unpacked(place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return place >> 2 * _REACH, place >> _REACH & 63, place & 63
 
 
-def repeated_spans(base: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
+def repeated_spans(base: DataFrame, window: int = WINDOW, gram: int = GRAM, hot_texts: list[tuple] = (), hot_rows: int = 1000) -> DataFrame:
     """(h1, h2, spans): for each text with repeats, the word ranges [a, b) of its repeated windows.
 
     Each step's rows go to the shared folder, so that the shuffle files of those before
@@ -99,32 +99,43 @@ def repeated_spans(base: DataFrame, window: int = WINDOW, gram: int = GRAM) -> D
         raise ValueError("window - gram must be less than 64")
     spark = base.sparkSession
     rows = _anchor_rows(base, window, gram)
-    again = rows.groupBy("seed").agg(F.count("*").alias("c")).where("c > 1").select("seed")
-    kept, first_path = materialised(rows.join(again, "seed", "left_semi"), "anchors")
+    again, again_path = materialised(rows.groupBy("seed").agg(F.count("*").alias("c")).where("c > 1"), "seeds")
+    release(spark)
+    kept, first_path = materialised(salted_join(rows, again.select("seed"), ["seed"], hot_keys(again, ["seed"], "c", hot_rows), "left_semi"), "anchors")
     del rows, again
+    remove_path(spark, again_path)
     release(spark)
 
-    reaches = kept.groupBy("seed", "reach").agg(F.count("*").alias("n"), F.min("h1").alias("one"))
+    reaches, reach_path = materialised(kept.groupBy("seed", "reach").agg(F.count("*").alias("n"), F.min("h1").alias("one")), "reaches")
+    hot_reaches = hot_keys(reaches, ["seed", "reach"], "n", hot_rows)
     several = reaches.groupBy("seed").agg(F.count("*").alias("c"), F.min("n").alias("least")).where("c > 1 AND least = 1").select("seed", F.lit(True).alias("differ"))
-    reaches = reaches.join(several, "seed", "left")
+    hot_seeds = hot_keys(reaches.groupBy("seed").agg(F.count("*").alias("c")), ["seed"], "c", hot_rows)
+    marked = salted_join(reaches, several, ["seed"], hot_seeds, "left")
     # an anchor that isn't alone with its reach repeats in full; one anchor of each reach is tried where reaches differ
-    seen = kept.join(reaches.where("n > 1 OR differ"), ["seed", "reach"])
+    seen = salted_join(kept, marked.where("n > 1 OR differ"), ["seed", "reach"], hot_reaches)
     tried = F.when(F.col("differ") & (F.col("h1") == F.col("one")), F.struct("seed", "reach"))
     seen = seen.select("h1", "h2", F.struct("place", (F.col("n") > 1).alias("full"), tried.alias("tried")).alias("x"))
     listed, _ = materialised(seen.groupBy("h1", "h2").agg(F.collect_set("x").alias("xs")), "anchors-of-texts")
-    del kept, reaches, several, seen
+    del kept, reaches, several, marked, seen
     remove_path(spark, first_path)
+    remove_path(spark, reach_path)
     release(spark)
 
     trial = F.transform(F.filter("xs", lambda x: x["tried"].isNotNull()), lambda x: F.struct(x["place"].alias("place"), x["tried"]["seed"].alias("seed"), x["tried"]["reach"].alias("reach"), (~x["full"]).alias("alone")))
     ends = listed.select("h1", "h2", trial.alias("ends")).where(F.size("ends") > 0)
-    tried, _ = materialised(_windows(base.select("h1", "h2", "text").join(ends, ["h1", "h2"]), window), "windows")
+    texts = base.select("h1", "h2", "text")
+    copied = is_hot(["h1", "h2"], hot_texts)
+    if hot_texts:
+        texts = texts.where(~copied).unionByName(texts.where(copied).dropDuplicates(["h1", "h2"]))
+    tried, _ = materialised(_windows(texts.join(ends, ["h1", "h2"]), window), "windows")
     del ends
     release(spark)
 
     # a window occurs again if it lies in two reaches; texts tried more than once have the same reaches
-    twice = tried.groupBy("seed", "hash").agg(F.min("reach").alias("a"), F.max("reach").alias("z")).where("a < z").select("seed", "hash")
-    partly = tried.where("alone").join(twice, ["seed", "hash"], "left_semi").select("h1", "h2", F.struct(F.col("first").alias("a"), (F.col("first") + window).alias("b")).alias("s"))
+    twice = tried.groupBy("seed", "hash").agg(F.min("reach").alias("a"), F.max("reach").alias("z"), F.count("*").alias("c")).where("a < z")
+    twice, twice_path = materialised(twice.select("seed", "hash", "c"), "twice")
+    partly = salted_join(tried.where("alone"), twice.select("seed", "hash"), ["seed", "hash"], hot_keys(twice, ["seed", "hash"], "c", hot_rows), "left_semi")
+    partly = partly.select("h1", "h2", F.struct(F.col("first").alias("a"), (F.col("first") + window).alias("b")).alias("s"))
     partly = partly.groupBy("h1", "h2").agg(F.collect_set("s").alias("partly"))
 
     def span(x: Column) -> Column:
@@ -137,11 +148,12 @@ def repeated_spans(base: DataFrame, window: int = WINDOW, gram: int = GRAM) -> D
     return whole.join(partly, ["h1", "h2"], "left").select("h1", "h2", F.concat("whole", F.coalesce("partly", none)).alias("spans"))
 
 
-def remove_repeats(docs: DataFrame, key: str = "doc_id", window: int = WINDOW, gram: int = GRAM) -> DataFrame:
+def remove_repeats(docs: DataFrame, key: str = "doc_id", window: int = WINDOW, gram: int = GRAM, hot_rows: int = 1000) -> DataFrame:
     """key, n_words, n_removed, kept (the words left, joined by one space) and spans of every document."""
     base = docs.select(F.col(key).alias("k"), "text", F.xxhash64("text").alias("h1"), F.xxhash64(F.lit(1), "text").alias("h2"))
-    spans = repeated_spans(base, window, gram)
-    rows = base.join(spans, ["h1", "h2"], "left").select("k", "text", "spans")
+    hot_texts = hot_keys(base.groupBy("h1", "h2").agg(F.count("*").alias("c")), ["h1", "h2"], "c", hot_rows)
+    spans = repeated_spans(base, window, gram, hot_texts, hot_rows)
+    rows = salted_join(base, spans, ["h1", "h2"], hot_texts, "left").select("k", "text", "spans")
 
     def run(batches):
         import pyarrow as pa

@@ -36,7 +36,8 @@ def words_of(text):
     return re.findall(r"[^\x20\x09-\x0D]+", text or "")
 
 
-def test_substring_dedup(spark, docs):
+@pytest.mark.parametrize("hot", [1000, 0])
+def test_substring_dedup(spark, docs, hot):
     frame, texts = docs
     rows = [(r.doc_id, words_of(r.text)) for r in frame.collect()]
     seen = {}
@@ -48,7 +49,7 @@ def test_substring_dedup(spark, docs):
     for k, w in rows:
         gone = {i + j for i in range(len(w) - 34) if seen[tuple(w[i : i + 35])] > 1 for j in range(35)}
         want.append((k, len(w), len(gone), " ".join(x for i, x in enumerate(w) if i not in gone)))
-    got = [(r.doc_id, r.n_words, r.n_removed, r.kept) for r in substring_dedup.remove_repeats(frame).collect()]
+    got = [(r.doc_id, r.n_words, r.n_removed, r.kept) for r in substring_dedup.remove_repeats(frame, hot_rows=hot).collect()]
     assert sorted(got, key=str) == sorted(want, key=str)
     assert any(n for _, _, n, _ in got)
 
