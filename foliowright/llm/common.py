@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import gc
 import sys
 import tempfile
@@ -66,6 +68,28 @@ def remove_path(spark: SparkSession, path: str) -> None:
     p.getFileSystem(conf).delete(p, True)
 
 
+def lean(run):
+    """run, an iterator over batches, after which the worker gives the memory that it no longer uses back to the system."""
+
+    @functools.wraps(run)
+    def out(batches):
+        try:
+            yield from run(batches)
+        finally:
+            trim()
+
+    return out
+
+
+def trim() -> None:
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    give_back = getattr(ctypes.CDLL(None), "malloc_trim", None)  # not in every C library
+    if give_back:
+        give_back(0)
+
+
 def worker_state(name: str) -> dict:
     """A dict that lives as long as the Python worker, across tasks."""
     holder = sys.modules.setdefault("_foliowright_worker", types.ModuleType("_foliowright_worker"))

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from foliowright.llm.common import apart, in_chunks, text_bytes
+from foliowright.llm.common import apart, in_chunks, lean, text_bytes
 from foliowright.llm.wordscan import anchors, covered, scan
 
 WINDOW, GRAM, KIND = 10, 4, "alnum_lower"
@@ -69,7 +69,7 @@ def item_windows(items: DataFrame, window: int = WINDOW, gram: int = GRAM) -> Da
             yield pa.RecordBatch.from_arrays([pa.array(rows["length"], pa.int32()), pa.array(rows["seed"], pa.int64()), pa.array(rows["hash"], pa.int64()), pa.array(rows["item"], batch.column(0).type)], ["length", "seed", "hash", "item_id"])
 
     kind = items.schema["item_id"].dataType.simpleString()
-    return items.select("item_id", "text").mapInArrow(run, f"length int, seed long, hash long, item_id {kind}").distinct()
+    return items.select("item_id", "text").mapInArrow(lean(run), f"length int, seed long, hash long, item_id {kind}").distinct()
 
 
 class Index:
@@ -136,6 +136,7 @@ def _search(index: Index, docs: DataFrame, window: int, gram: int):
     shared = docs.sparkSession.sparkContext.broadcast(index)
 
     @F.arrow_udf(T.StructType([T.StructField(*f) for f in _FIELDS]))
+    @lean
     def hits(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         index = shared.value
         for column in batches:
@@ -232,12 +233,12 @@ def _by_join(docs: DataFrame, windows: DataFrame, window: int, gram: int) -> Dat
     texts = base.select(F.col("_h1").alias("h1"), F.col("_h2").alias("h2"), "text")
     salt = F.pmod(F.xxhash64("h1"), F.lit(SALT)).alias("salt")
     salts = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALT - 1).cast("long"))).alias("salt")
-    asked = texts.mapInArrow(seeds, "h1 long, h2 long, lo long, hi long, length int, seed long").select("*", salt)
+    asked = texts.mapInArrow(lean(seeds), "h1 long, h2 long, lo long, hi long, length int, seed long").select("*", salt)
     known = windows.select("length", "seed").distinct().select("*", salts)
     listed = asked.join(known, ["salt", "length", "seed"], "left_semi").groupBy("h1", "h2").agg(F.collect_set(F.struct("lo", "hi", "length", "seed")).alias("listed"))
     # equal texts are looked at once
     once = texts.join(listed.select("h1", "h2"), ["h1", "h2"], "left_semi").dropDuplicates(["h1", "h2"]).join(listed, ["h1", "h2"])
-    tried = once.select("h1", "h2", "text", "listed").mapInArrow(extended, "h1 long, h2 long, at long, length int, seed long, hash long").select("*", salt)
+    tried = once.select("h1", "h2", "text", "listed").mapInArrow(lean(extended), "h1 long, h2 long, at long, length int, seed long, hash long").select("*", salt)
     hits = tried.join(windows.select("*", salts), ["salt", "length", "seed", "hash"]).groupBy("h1", "h2").agg(
         F.collect_set(F.struct("at", "length")).alias("spans"), F.array_sort(F.collect_set(F.col("item_id").cast("string"))).alias("items")
     )

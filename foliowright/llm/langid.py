@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from foliowright.llm import gru
-from foliowright.llm.common import text_bytes
+from foliowright.llm.common import lean, text_bytes
 
 HIDDEN, PIECE, EDGE, BATCH = 8, 112, 8, 1024
 SPAN = PIECE + 2 * EDGE
@@ -152,6 +152,7 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
     kind = T.StructType([T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
 
     @F.arrow_udf(kind)
+    @lean
     def guess(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for column in batches:
             lang, score = [], []

@@ -25,7 +25,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from foliowright.llm.common import apart, checkpointed, text_bytes
+from foliowright.llm.common import apart, checkpointed, lean, text_bytes
 from foliowright.llm.components import components
 
 RADIUS = 4
@@ -66,7 +66,7 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", size: int = 4) -> DataFra
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.array(fps, np.uint64).view(np.int64))], ["k", "fp"])
 
     kind = docs.schema[key].dataType.simpleString()
-    return docs.select(F.col(key).alias("k"), "text").mapInArrow(run, f"k {kind}, fp long").select(F.col("k").alias(key), "fp")
+    return docs.select(F.col(key).alias("k"), "text").mapInArrow(lean(run), f"k {kind}, fp long").select(F.col("k").alias(key), "fp")
 
 
 def grid(n: int, radius: int = RADIUS) -> tuple[int, int]:
@@ -155,7 +155,7 @@ def links(fps: DataFrame, radius: int = RADIUS, cell_limit: int = CELL) -> DataF
                     b.append(int(signed[j]))
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
-    edges = members.select("fps").mapInArrow(forests, "a long, b long")
+    edges = members.select("fps").mapInArrow(lean(forests), "a long, b long")
     crowded = sizes.where(F.col("n") > cell_limit).select("table", "cell")
     if crowded.limit(1).count():
         dense = dealt.join(crowded, ["table", "cell"], "left_semi").select("fp").distinct()

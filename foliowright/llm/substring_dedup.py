@@ -26,7 +26,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from foliowright.llm.common import hot_keys, in_chunks, is_hot, materialised, release, remove_path, salted_join, text_bytes
+from foliowright.llm.common import hot_keys, in_chunks, is_hot, lean, materialised, release, remove_path, salted_join, text_bytes
 from foliowright.llm.wordscan import anchors, covered, mix, scan
 
 WINDOW, GRAM, KIND = 35, 10, "space"
@@ -52,7 +52,7 @@ def _anchor_rows(docs: DataFrame, window: int, gram: int) -> DataFrame:
                 reach = mix(words.window(lo, hi + window - lo) ^ ((at - lo) << _REACH | (at - hi)).astype(np.uint64))
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in (h1[a + d], h2[a + d], place, seed.view(np.int64), reach.view(np.int64))], ["h1", "h2", "place", "seed", "reach"])
 
-    return docs.select("h1", "h2", "text").mapInArrow(run, "h1 long, h2 long, place long, seed long, reach long")
+    return docs.select("h1", "h2", "text").mapInArrow(lean(run), "h1 long, h2 long, place long, seed long, reach long")
 
 
 def _windows(texts: DataFrame, window: int) -> DataFrame:
@@ -81,7 +81,7 @@ def _windows(texts: DataFrame, window: int) -> DataFrame:
                 cols = (seed, reach, words.window(s, np.int64(window)).view(np.int64), *same, s, alone)
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], ["seed", "reach", "hash", "h1", "h2", "first", "alone"])
 
-    return texts.mapInArrow(run, "seed long, reach long, hash long, h1 long, h2 long, first long, alone boolean")
+    return texts.mapInArrow(lean(run), "seed long, reach long, hash long, h1 long, h2 long, first long, alone boolean")
 
 
 def _unpacked(place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -175,7 +175,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", window: int = WINDOW, g
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.string()), pa.array(cols[3], pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())])))], ["k", "n_words", "n_removed", "kept", "spans"])
 
     kind = docs.schema[key].dataType.simpleString()
-    return rows.mapInArrow(run, f"k {kind}, n_words long, n_removed long, kept string, spans array<struct<a:long,b:long>>").withColumnRenamed("k", key)
+    return rows.mapInArrow(lean(run), f"k {kind}, n_words long, n_removed long, kept string, spans array<struct<a:long,b:long>>").withColumnRenamed("k", key)
 
 
 #: op1's result in DuckDB SQL.

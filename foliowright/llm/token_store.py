@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from foliowright.llm.common import new_path, remove_path, slices, worker_state
+from foliowright.llm.common import lean, new_path, remove_path, slices, worker_state
 from foliowright.llm.wordscan import mix
 
 SLOT = np.dtype([("print", "<u4"), ("first", "<u8"), ("n", "<u4")])
@@ -51,6 +51,8 @@ NULL_KEY = 0x6E756C6C00000000
 SHARD = "part int, seq int, start long, n_ids long, n_keys int, nulls int, lo long, hi long, width int, key binary, payload binary, slots binary, levels binary"
 #: bits between two stored counts
 BLOCK = 512
+#: pieces of text whose ids an encoder keeps
+PIECES = 200_000
 
 
 def key_words(keys: np.ndarray, occurrence: np.ndarray) -> np.ndarray:
@@ -177,8 +179,8 @@ def encoder(path: str, end_id: int, width: int):
 
     White space behind other than white space always starts a new pre-token in
     byte-level BPE, and so does one of .,;:!?| behind a letter. Texts are cut at such
-    places and equal pieces encoded once. Pieces are kept up to a bound for the
-    worker's life.
+    places and equal pieces encoded once. Up to PIECES are kept, until the task ends; the
+    tokenizer stays for the worker's life.
     """
     state = worker_state(f"encoder {path} {width}")
     if "kept" not in state:
@@ -187,13 +189,17 @@ def encoder(path: str, end_id: int, width: int):
     pieces = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-ɏ]+(?=[\s.,;:!?|]|$)|\s*[^\s]+(?:[^\S \n]+[^\s]+)*|\s+").findall
 
     def encode(texts: list[str]) -> list[bytes]:
-        if len(kept) > 600_000:
+        if len(kept) > PIECES:
             kept.clear()
         return [b"".join(map(kept.__getitem__, pieces(t))) + end for t in texts]
 
     return encode
 
 
+def forget(path: str, width: int) -> None:
+    worker_state(f"encoder {path} {width}")["kept"].clear()
+
+
 def write(docs: DataFrame, path: str, tokenizer: str, end_id: int, key: str = "doc_id", shard_ids: int = 1 << 20, width: int = 2) -> None:
     """Encodes documents and writes them to path in ascending key order.
 
@@ -238,8 +244,9 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int, key: str = "d
                         yield full()
         if keys:
             yield full()
+        forget(tokenizer, width)
 
-    ordered.mapInArrow(shards, SHARD).write.parquet(path)
+    ordered.mapInArrow(lean(shards), SHARD).write.parquet(path)
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
@@ -271,7 +278,7 @@ def read(spark: SparkSession, path: str) -> DataFrame:
                 crc = [zlib.crc32(ids[a : a + b].tobytes()) for a, b in zip(first.tolist(), n.tolist())]
                 yield pa.RecordBatch.from_arrays([pa.array(asked, pa.int64()), pa.array(first + x["start"]), pa.array(n), pa.array(crc, pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    return rows.mapInArrow(documents, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return rows.mapInArrow(lean(documents), "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def holds(stored: bytes, key) -> np.ndarray:
@@ -309,7 +316,7 @@ def lookup(spark: SparkSession, path: str, keys: list) -> dict:
                         yield pa.RecordBatch.from_arrays([pa.array([k], pa.int64()), pa.array([x["part"]], pa.int32()), pa.array([x["seq"]], pa.int32()), pa.array([nth], pa.int32()), pa.array([ids.astype("<u4").tobytes()], pa.binary())], ["k", "part", "seq", "nth", "ids"])
 
     out: dict = {}
-    rows = shards_of(spark, path, asked).mapInArrow(find, "k long, part int, seq int, nth int, ids binary").collect()
+    rows = shards_of(spark, path, asked).mapInArrow(lean(find), "k long, part int, seq int, nth int, ids binary").collect()
     for r in sorted(rows, key=lambda r: (r.part, r.seq, r.nth)):
         out.setdefault(r.k, []).append(np.frombuffer(r.ids, "<u4"))
     return out

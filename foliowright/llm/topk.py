@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from foliowright.llm.common import checkpointed
+from foliowright.llm.common import checkpointed, lean
 
 K, CODES, QUERIES = 10, 1 << 14, 1 << 9
 
@@ -41,7 +41,7 @@ def codes(vectors: DataFrame, key: str, vector: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(out, pa.binary())], ["id", "code"])
 
     rows = vectors.where(F.col(key).isNotNull() & (F.size(vector) > 0)).select(key, vector)
-    return rows.mapInArrow(run, "id long, code binary")
+    return rows.mapInArrow(lean(run), "id long, code binary")
 
 
 class Index:

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from foliowright.llm import gru
-from foliowright.llm.common import in_chunks, text_bytes
+from foliowright.llm.common import in_chunks, lean, text_bytes
 from foliowright.llm.langid import bucket
 from foliowright.llm.wordscan import CLASSES, scan
 
@@ -265,7 +265,7 @@ def score(docs: DataFrame, model: Model | float, key: str = "doc_id") -> DataFra
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.asarray(got, np.float64))], ["k", "score"])
 
     kind = docs.schema[key].dataType.simpleString()
-    return docs.select(F.col(key).alias("k"), "text").mapInArrow(run, f"k {kind}, score double").withColumnRenamed("k", key)
+    return docs.select(F.col(key).alias("k"), "text").mapInArrow(lean(run), f"k {kind}, score double").withColumnRenamed("k", key)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, key: str = "doc_id", folds: int = 3, held_out: int = 1, rows: int = TRAIN_ROWS) -> DataFrame:
