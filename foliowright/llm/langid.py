@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from foliowright.llm import gru
-from foliowright.llm.common import lean, text_bytes
+from foliowright.llm.common import lean, text_bytes, trim
 
 HIDDEN, PIECE, EDGE, BATCH = 8, 112, 8, 1024
 SPAN = PIECE + 2 * EDGE
@@ -144,6 +144,8 @@ def fit(docs: DataFrame, key: str = "doc_id", lang: str = "lang", usable: Column
         return None
     model = Model(langs)
     model.train([p for _, p in sample], np.array([langs.index(k) for k, _ in sample]))
+    del sample
+    trim()
     return model
 
 

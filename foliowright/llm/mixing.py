@@ -28,7 +28,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from foliowright.llm.common import apart, materialised, remove_path
+from foliowright.llm.common import apart, materialised, release, remove_path
 
 MARGINS = ("source", "lang", "topic")
 ALPHA, TOLERANCE, MOST = 0.85, 1e-9, 50
@@ -84,6 +84,7 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame] | None = None, most: in
         out, done = materialised(out, "cells")
         remove_path(spark, path)
         path = done
+        release(spark)
         # how far the margins are off that were not the last one met
         off = [out.groupBy(m).agg(F.sum("w").alias("sum")).join(goal[m], m).where("sum > 0 AND goal > 0").select(F.abs(F.col("sum") / F.col("goal") - 1).alias("off")) for m in MARGINS[:-1]]
         rest = reduce(DataFrame.unionByName, off).agg(F.coalesce(F.max("off"), F.lit(0.0))).first()[0]
