@@ -52,7 +52,7 @@ SHARD = "part int, seq int, start long, n_ids long, n_keys int, nulls int, lo lo
 #: bits between two stored counts
 BLOCK = 512
 #: pieces of text whose ids an encoder keeps
-PIECES = 200_000
+PIECES = 300_000
 
 
 def key_words(keys: np.ndarray, occurrence: np.ndarray) -> np.ndarray:
@@ -179,8 +179,7 @@ def encoder(path: str, end_id: int, width: int):
 
     White space behind other than white space always starts a new pre-token in
     byte-level BPE, and so does one of .,;:!?| behind a letter. Texts are cut at such
-    places and equal pieces encoded once. Up to PIECES are kept, until the task ends; the
-    tokenizer stays for the worker's life.
+    places and equal pieces encoded once. Up to PIECES are kept for the worker's life.
     """
     state = worker_state(f"encoder {path} {width}")
     if "kept" not in state:
@@ -196,10 +195,6 @@ def encoder(path: str, end_id: int, width: int):
     return encode
 
 
-def forget(path: str, width: int) -> None:
-    worker_state(f"encoder {path} {width}")["kept"].clear()
-
-
 def write(docs: DataFrame, path: str, tokenizer: str, end_id: int, key: str = "doc_id", shard_ids: int = 1 << 20, width: int = 2) -> None:
     """Encodes documents and writes them to path in ascending key order.
 
@@ -244,7 +239,6 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int, key: str = "d
                         yield full()
         if keys:
             yield full()
-        forget(tokenizer, width)
 
     ordered.mapInArrow(lean(shards), SHARD).write.parquet(path)
 
