@@ -28,7 +28,8 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_store.store_tokens(table(spark, sf_dir, "documents"), tokenizer_path(), END_ID)
+    # twice the pieces that the pipeline keeps, whose workers hold more beside them
+    return token_store.store_tokens(table(spark, sf_dir, "documents"), tokenizer_path(), END_ID, pieces=2 * token_store.PIECES)
 
 
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -51,7 +51,7 @@ NULL_KEY = 0x6E756C6C00000000
 SHARD = "part int, seq int, start long, n_ids long, n_keys int, nulls int, lo long, hi long, width int, key binary, payload binary, slots binary, levels binary"
 #: bits between two stored counts
 BLOCK = 512
-#: pieces of text whose ids an encoder keeps
+#: pieces of text whose ids an encoder keeps, about 140 bytes each
 PIECES = 300_000
 
 
@@ -174,12 +174,12 @@ class Pieces(dict):
         return out
 
 
-def encoder(path: str, end_id: int, width: int):
+def encoder(path: str, end_id: int, width: int, most: int = PIECES):
     """A function that gives the bytes of the ids of each text, end id included.
 
     White space behind other than white space always starts a new pre-token in
     byte-level BPE, and so does one of .,;:!?| behind a letter. Texts are cut at such
-    places and equal pieces encoded once. Up to PIECES are kept for the worker's life.
+    places and equal pieces encoded once. About `most` of them are kept for the worker's life.
     """
     state = worker_state(f"encoder {path} {width}")
     if "kept" not in state:
@@ -188,14 +188,14 @@ def encoder(path: str, end_id: int, width: int):
     pieces = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-ɏ]+(?=[\s.,;:!?|]|$)|\s*[^\s]+(?:[^\S \n]+[^\s]+)*|\s+").findall
 
     def encode(texts: list[str]) -> list[bytes]:
-        if len(kept) > PIECES:
+        if len(kept) > most:
             kept.clear()
         return [b"".join(map(kept.__getitem__, pieces(t))) + end for t in texts]
 
     return encode
 
 
-def write(docs: DataFrame, path: str, tokenizer: str, end_id: int, key: str = "doc_id", shard_ids: int = 1 << 20, width: int = 2) -> None:
+def write(docs: DataFrame, path: str, tokenizer: str, end_id: int, key: str = "doc_id", shard_ids: int = 1 << 20, width: int = 2, pieces: int = PIECES) -> None:
     """Encodes documents and writes them to path in ascending key order.
 
     One range exchange; each partition encodes its texts in key order and cuts
@@ -215,7 +215,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int, key: str = "d
         part, seq, start = TaskContext.get().partitionId(), 0, 0
         keys, nth, ids, size = [], [], [], 0
         last, seen = object(), 0
-        encode = encoder(tokenizer, end_id, width)
+        encode = encoder(tokenizer, end_id, width, pieces)
 
         def full():
             nonlocal seq, start, keys, nth, ids, size
@@ -316,10 +316,10 @@ def lookup(spark: SparkSession, path: str, keys: list) -> dict:
     return out
 
 
-def store_tokens(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
+def store_tokens(docs: DataFrame, tokenizer: str, end_id: int, **how) -> DataFrame:
     """Writes the documents' ids to the shared folder and reads them back from there."""
     path = new_path(docs.sparkSession, "tokens")
-    write(docs, path, tokenizer, end_id)
+    write(docs, path, tokenizer, end_id, **how)
     return read(docs.sparkSession, path)
 
 
