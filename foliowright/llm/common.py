@@ -45,13 +45,13 @@ def new_path(spark: SparkSession, what: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{what}-{uuid.uuid4().hex}"
 
 
-def materialised(df: DataFrame, what: str) -> tuple[DataFrame, str]:
-    """df written as Parquet to the shared folder and read again, and its path.
+def materialised(df: DataFrame, what: str, by: str | None = None) -> tuple[DataFrame, str]:
+    """df written as Parquet to the shared folder (in folders by a column, if one is named) and read again, and its path.
 
     Smaller than a checkpoint where columns repeat. Shuffle files behind df are given up.
     """
     spark, path = df.sparkSession, new_path(df.sparkSession, what)
-    df.write.parquet(path)
+    (df.write.partitionBy(by) if by else df.write).parquet(path)
     del df
     return spark.read.parquet(path), path
 

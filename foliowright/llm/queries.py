@@ -5,16 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliowright.llm import chat_format, decontaminate, langid, mixing, pii, simhash, substring_dedup, token_store, topk, toxicity
+from foliowright.llm import chat_format, cross_align, decontaminate, langid, mixing, pii, simhash, substring_dedup, suffix_tree, token_store, topk, toxicity
 from foliowright.llm.common import table
 
 END_ID = 2
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return public_tokenizers.path(name)
 
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -67,6 +67,14 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_tree.score(table(spark, sf_dir, "documents"))
+
+
+def op13_cross_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cross_align.align(table(spark, sf_dir, "documents"), tokenizer_path(), tokenizer_path("piece_bpe_32k.model"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -84,6 +92,8 @@ QUERIES = {
     "op8_chat_format": op8_chat_format,
     "op9_decontaminate": op9_decontaminate,
     "op10_simhash": op10_simhash,
+    "op11_suffix_tree": op11_suffix_tree,
+    "op13_cross_align": op13_cross_align,
     "pipeline": pipeline,
 }
 
