@@ -1,33 +1,36 @@
 """Documents in blocks, each with a dictionary of the items (words, segments) that it holds.
 
-A block is a run of consecutive documents of one task, about BLOCK characters; one longer
-text is a block of its own. It is one row of packed arrays: ids, sizes and, for every item
-of its texts in order, the number of the item in the block's dictionary. The dictionary's
-entries are rows of their own, so that what is known of an item is found once for the whole
-corpus and joined back to each block by the item, and not to each occurrence.
-
-Large sets of 64-bit codes go to and fro in packed slices: a block sends the codes that it
-holds, in ascending order and cut by ranges of codes, and gets an answer for each in the same
-order. Codes are hashes, so ranges hold like numbers of them whatever is frequent.
+A block is a run of consecutive documents of one task, about `size` characters; one longer
+text is a block of its own. It is one row of packed arrays: ids, sizes, for every item of its
+texts in order the item's number in the block's dictionary, and the dictionary itself, each
+item once. What is known of an item is so found once for the whole corpus and told to each
+block that has it, and not to each occurrence.
+
+Blocks ask and are answered in packed slices: entries ascend by a 64-bit code (an item's
+hash, or a code that is one already) and are cut by ranges of codes. A range is one group of
+rows, a slice for each block that has entries in it; answers come in the same order. Codes
+are hashes, so ranges hold like numbers of them whatever is frequent, and a frequent item has
+one entry for each block. Items themselves are compared as they are; only their ranges go by
+hash.
 """
 
 from __future__ import annotations
 
+import struct
 from collections import defaultdict
 from collections.abc import Callable
 from itertools import count
 
 import numpy as np
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from foliowright.llm.common import lean, materialised
 
 #: characters of a block's texts
 BLOCK = 8_000_000
-_STATE = "block long, ids binary, absent binary, flags binary, sizes binary, seq binary"
-_ITEM = "at int, item binary, n long"
-#: answers to a block: of which kind, for which range of codes
+_STATE = "block long, ids binary, absent binary, flags binary, sizes binary, seq binary, order binary, hashes binary"
+_TABLE = f"{_STATE}, lens binary, items binary, n binary"
+#: what is asked of a range of codes or answered to a block
 FACT = "block long, kind int, i int, data binary, more binary"
 
 
@@ -40,6 +43,18 @@ def unpack(data: bytes) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(4, -1).T).view("<u4").ravel()
 
 
+def pack_list(items: list[bytes]) -> bytes:
+    lens = pack(np.fromiter(map(len, items), np.uint32, len(items)))
+    return struct.pack("<Q", len(items)) + lens + b"".join(items)
+
+
+def unpack_list(data: bytes) -> list[bytes]:
+    (n,) = struct.unpack_from("<Q", data)
+    ends = 8 + 4 * n + np.cumsum(unpack(data[8 : 8 + 4 * n]).astype(np.int64))
+    ends = [8 + 4 * n, *ends.tolist()]
+    return [data[a:b] for a, b in zip(ends, ends[1:])]
+
+
 def arrow_schema(ddl: str):
     """The Arrow schema of "name type, ..." with plain types."""
     import pyarrow as pa
@@ -48,178 +63,190 @@ def arrow_schema(ddl: str):
     return pa.schema([(name, kinds[kind]) for name, kind in (c.split() for c in ddl.split(","))])
 
 
-def encode(docs: DataFrame, cut: Callable[[str], list], what: str, size: int = BLOCK) -> tuple[DataFrame, DataFrame]:
-    """(blocks, items) of docs (id long, flag boolean, text string), written to the shared folder.
-
-    cut gives the items of a text, as bytes or str. items: (block, at, item, n), n being the
-    occurrences in flagged documents. A null text has the items of an empty one.
-    """
-
-    def run(batches):
-        import pyarrow as pa
-        from pyspark import TaskContext
-
-        part, done = TaskContext.get().partitionId(), 0
-        schema = arrow_schema(f"{_STATE}, {_ITEM}, kind string")
-
-        def full():
-            nonlocal done, number, ids, flags, sizes, seqs, chars
-            block = part << 32 | done
-            seq = np.concatenate(seqs) if seqs else np.zeros(0, np.uint32)
-            n = np.array(sizes, np.int64)
-            flag = np.array(flags, bool)
-            absent = np.array([x is None for x in ids], bool)
-            row = {"block": block, "ids": np.array([x or 0 for x in ids], "<i8").tobytes(), "absent": absent.tobytes(), "flags": flag.tobytes(), "sizes": n.astype("<u4").tobytes(), "seq": pack(seq), "kind": "block"}
-            yield pa.RecordBatch.from_pylist([row], schema=schema)
-            seen = np.bincount(seq[np.repeat(flag, n)], minlength=len(number))
-            items = list(number)
-            for i in range(0, len(items), 1 << 14):
-                some = [x if isinstance(x, bytes) else x.encode() for x in items[i : i + (1 << 14)]]
-                k = len(some)
-                nothing = pa.nulls(k, pa.binary())
-                yield pa.RecordBatch.from_arrays([pa.array([block] * k, pa.int64()), *[nothing] * 5, pa.array(range(i, i + k), pa.int32()), pa.array(some, pa.binary()), pa.array(seen[i : i + k]), pa.array(["item"] * k)], schema=schema)
-            done += 1
-            number, ids, flags, sizes, seqs, chars = defaultdict(count().__next__), [], [], [], [], 0
-
-        number, ids, flags, sizes, seqs, chars = defaultdict(count().__next__), [], [], [], [], 0
-        for batch in batches:
-            for i in range(0, batch.num_rows, 64):
-                some = batch.slice(i, 64)
-                for k, flag, text in zip(*(some.column(c).to_pylist() for c in ("id", "flag", "text"))):
-                    items = cut(text or "")
-                    ids.append(k)
-                    flags.append(flag)
-                    sizes.append(len(items))
-                    seqs.append(np.fromiter(map(number.__getitem__, items), np.uint32, len(items)))
-                    chars += len(text or "")
-                    if chars >= size:
-                        yield from full()
-        if ids:
-            yield from full()
+def nullable(ids: np.ndarray, absent: np.ndarray):
+    """An Arrow column of ids, null where absent."""
+    import pyarrow as pa
 
-    rows = docs.select("id", "flag", "text").mapInArrow(lean(run), f"{_STATE}, {_ITEM}, kind string")
-    path = materialised(rows, what, by="kind")[1]
-    # read apart, so that both can meet in one plan
-    blocks, items = (docs.sparkSession.read.schema(f"{_STATE}, {_ITEM}, kind string").parquet(path).where(F.col("kind") == k) for k in ("block", "item"))
-    return blocks.select("block", "ids", "absent", "flags", "sizes", "seq"), items.select("block", "at", "item", "n")
+    return pa.array(ids, pa.int64(), mask=absent)
 
 
-def parts_of(blocks: DataFrame) -> int:
-    """Ranges of codes: about as many codes each as a block has, at most 65,536 ranges."""
-    return max(16, min(65_536, 2 * blocks.count()))
+def cut_codes(codes: np.ndarray, parts: int):
+    """(range, first, last + 1) of ascending codes, for the ranges that hold any; parts is a power of two."""
+    step = (1 << 64) // parts
+    at = np.searchsorted(codes, np.array([i * step for i in range(1, parts)], np.uint64))
+    edges = np.r_[0, at, len(codes)]
+    for i in np.flatnonzero(np.diff(edges)).tolist():
+        yield i, int(edges[i]), int(edges[i + 1])
 
 
 class Block:
     """A block's arrays."""
 
     def __init__(self, table):
-        row = {c: table.column(c)[0].as_py() for c in ("block", "ids", "absent", "flags", "sizes", "seq")}
+        row = {c: table.column(c)[0].as_py() for c in ("block", "ids", "absent", "flags", "sizes", "seq", "order", "hashes")}
         self.block = row["block"]
         self.ids = np.frombuffer(row["ids"], "<i8")
         self.absent, self.flags = np.frombuffer(row["absent"], bool), np.frombuffer(row["flags"], bool)
         self.sizes = np.frombuffer(row["sizes"], "<u4").astype(np.int64)
         self.seq = unpack(row["seq"]).astype(np.int64)
+        self.order = np.frombuffer(row["order"], "<u4")
+        self.hashes = self.by_number(np.frombuffer(row["hashes"], "<u8"))
         self.doc = np.repeat(np.arange(len(self.sizes)), self.sizes)
 
+    def by_number(self, answers: np.ndarray) -> np.ndarray:
+        """Answers for the dictionary's entries, which ascend by hash, in the order of the entries' numbers."""
+        out = np.empty_like(answers)
+        out[self.order] = answers
+        return out
+
     def sums(self, values: np.ndarray) -> np.ndarray:
         """values of the items summed for each document."""
         return np.bincount(self.doc, weights=values, minlength=len(self.sizes))
 
 
-def nullable(ids: np.ndarray, absent: np.ndarray):
-    """An Arrow column of ids, null where absent."""
-    import pyarrow as pa
-
-    return pa.array(ids, pa.int64(), mask=absent)
-
-
 class Facts:
-    """What a block was told, by kind."""
+    """What a block was told: (data, more) of each slice by kind, in the order of codes."""
 
     def __init__(self, table):
-        self.rows = defaultdict(list)
+        rows = defaultdict(list)
         for kind, i, data, more in zip(*(table.column(c).to_pylist() for c in ("kind", "i", "data", "more"))):
-            self.rows[kind].append((i, data, more))
-
-    def array(self, kind: int, dtype: str, more: bool = False) -> np.ndarray:
-        rows = sorted(self.rows[kind], key=lambda r: r[0])
-        return np.frombuffer(b"".join(r[2 if more else 1] for r in rows), dtype)
+            rows[kind].append((i, data, more))
+        self.rows = defaultdict(list, {k: sorted(v, key=lambda r: r[0]) for k, v in rows.items()})
 
-
-def cut_codes(codes: np.ndarray, parts: int):
-    """(range, first, last + 1) of ascending codes, for the ranges that hold any."""
-    step = (1 << 64) // parts
-    at = np.searchsorted(codes, np.array([i * step for i in range(1, parts)], np.uint64))
-    edges = np.r_[0, at, len(codes)]
-    for i in np.flatnonzero(np.diff(edges)).tolist():
-        yield i, int(edges[i]), int(edges[i + 1])
+    def array(self, kind: int, dtype: str) -> np.ndarray:
+        return np.frombuffer(b"".join(r[1] for r in self.rows[kind]), dtype)
 
 
 def asked(block: int, kind: int, codes: np.ndarray, values: np.ndarray, parts: int) -> list[dict]:
+    """FACT rows that ask for ascending codes, with a value for each."""
     return [{"block": block, "kind": kind, "i": i, "data": codes[a:b].tobytes(), "more": values[a:b].tobytes()} for i, a, b in cut_codes(codes, parts)]
 
 
-def answered(requests: DataFrame, answer: Callable, value: str) -> DataFrame:
-    """FACT rows: for each slice of codes asked, what answer makes of the codes' sums of values over all blocks.
+class Blocks:
+    """The blocks of a corpus and their exchanges."""
 
-    requests are FACT rows with ascending codes in data and a value of dtype `value` for each in more.
-    """
+    def __init__(self, table: DataFrame):
+        names = [c.split()[0] for c in _STATE.split(", ")]
+        self.table, self.rows, n = table, table.select(*names), table.count()
+        #: ranges of codes: each about as large as a block, at most 65,536; and tasks that blocks are dealt to
+        self.parts = max(16, min(65_536, 1 << max(0, 2 * n - 1).bit_length()))
+        self.tasks = max(16, n)
 
-    def merge(table):
-        import pyarrow as pa
+    def dictionary(self, answer: Callable, kind: int) -> DataFrame:
+        """FACT rows: to each slice of blocks' dictionaries, what answer says of its items.
 
-        rows = {c: table.column(c).to_pylist() for c in ("block", "kind", "i", "data", "more")}
-        codes = [np.frombuffer(x, np.uint64) for x in rows["data"]]
-        found, at = np.unique(np.concatenate(codes), return_inverse=True)
-        total = np.bincount(at, weights=np.concatenate([np.frombuffer(x, value) for x in rows["more"]]), minlength=len(found))
-        out = answer(total)[at]
-        ends = np.cumsum([len(c) for c in codes])
-        back = [out[e - len(c) : e].tobytes() for e, c in zip(ends.tolist(), codes)]
-        return pa.table({"block": table.column("block"), "kind": table.column("kind"), "i": table.column("i"), "data": pa.array(back, pa.binary()), "more": pa.nulls(len(back), pa.binary())})
+        answer(items, totals) gets the distinct items of a range and their flagged occurrences
+        in the corpus, once each, and returns a function of entries' places among these that
+        gives the bytes of (data, more).
+        """
+        parts = self.parts
 
-    return requests.groupBy("kind", "i").applyInArrow(merge, FACT)
+        def slices(batches):
+            import pyarrow as pa
 
+            for batch in batches:
+                for row in batch.to_pylist():
+                    codes, n = np.frombuffer(row["hashes"], "<u8"), np.frombuffer(row["n"], "<u4")
+                    ends = [0, *np.cumsum(unpack(row["lens"]).astype(np.int64)).tolist()]
+                    out = []
+                    for i, a, b in cut_codes(codes, parts):
+                        some = [row["items"][x:y] for x, y in zip(ends[a:b], ends[a + 1 : b + 1])]
+                        out.append({"block": row["block"], "kind": kind, "i": i, "data": pack_list(some), "more": n[a:b].tobytes()})
+                    yield pa.RecordBatch.from_pylist(out, schema=arrow_schema(FACT))
 
-def with_facts(blocks: DataFrame, facts: DataFrame, run: Callable, schema: str) -> DataFrame:
-    """run(Block, Facts) -> dict of columns, for each block and what it was told."""
+        def merge(table):
+            import pyarrow as pa
 
-    def one(left, right):
-        import pyarrow as pa
+            number = defaultdict(count().__next__)
+            places = []
+            for data in table.column("data").to_pylist():
+                items = unpack_list(data)
+                places.append(np.fromiter(map(number.__getitem__, items), np.int64, len(items)))
+            n = np.concatenate([np.frombuffer(x, "<u4") for x in table.column("more").to_pylist()])
+            told = answer(list(number), np.bincount(np.concatenate(places), weights=n, minlength=len(number)).astype(np.int64))
+            data, more = zip(*map(told, places))
+            return pa.table({"block": table.column("block"), "kind": table.column("kind"), "i": table.column("i"), "data": pa.array(data, pa.binary()), "more": pa.array(more, pa.binary())})
 
-        rows = run(Block(left), Facts(right))
-        return pa.table(rows, schema=arrow_schema(schema)) if isinstance(rows, dict) else pa.Table.from_pylist(rows, schema=arrow_schema(schema))
+        asks = self.table.select("block", "hashes", "lens", "items", "n").mapInArrow(lean(slices), FACT)
+        return asks.repartition(self.parts, "i").groupBy("i").applyInArrow(merge, FACT)
 
-    told = facts.select("block", "kind", "i", "data", "more")
-    return blocks.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(one, schema)
+    def answered(self, requests: DataFrame, answer: Callable, value: str) -> DataFrame:
+        """FACT rows: to each slice of codes asked, answer(codes, sums of their values over all blocks), an array.
 
+        requests are FACT rows with ascending codes in data and a value of dtype `value` for each in more.
+        """
 
-def with_items(blocks: DataFrame, rows: DataFrame, run: Callable, schema: str) -> DataFrame:
-    """run(Block, table) -> dict of columns, for each block and the rows (block, at, ...) of its whole dictionary, by at."""
+        def merge(table):
+            import pyarrow as pa
 
-    def one(left, right):
-        import pyarrow as pa
+            codes = [np.frombuffer(x, np.uint64) for x in table.column("data").to_pylist()]
+            found, at = np.unique(np.concatenate(codes), return_inverse=True)
+            values = np.concatenate([np.frombuffer(x, value) for x in table.column("more").to_pylist()])
+            out = answer(found, np.bincount(at, weights=values, minlength=len(found)))[at]
+            ends = np.cumsum([len(c) for c in codes])
+            back = [out[e - len(c) : e].tobytes() for e, c in zip(ends.tolist(), codes)]
+            return pa.table({"block": table.column("block"), "kind": table.column("kind"), "i": table.column("i"), "data": pa.array(back, pa.binary()), "more": pa.nulls(len(back), pa.binary())})
+
+        return requests.repartition(self.parts, "kind", "i").groupBy("kind", "i").applyInArrow(merge, FACT)
 
-        return pa.table(run(Block(left), right.sort_by("at").combine_chunks()), schema=arrow_schema(schema))
+    def map(self, facts: DataFrame, run: Callable, schema: str) -> DataFrame:
+        """run(Block, Facts), a dict of columns or a list of rows, for each block and what it was told."""
 
-    return blocks.groupBy("block").cogroup(rows.groupBy("block")).applyInArrow(one, schema)
+        def one(left, right):
+            import pyarrow as pa
 
+            rows = run(Block(left), Facts(right))
+            return pa.table(rows, schema=arrow_schema(schema)) if isinstance(rows, dict) else pa.Table.from_pylist(rows, schema=arrow_schema(schema))
 
-def by_block(rows: DataFrame, kind: int, columns: dict[str, str]) -> DataFrame:
-    """FACT rows, one for each block: the columns of (block, at, ...) in the order of at, packed one behind the other.
+        told = facts.select("block", "kind", "i", "data", "more")
+        return self.rows.repartition(self.tasks, "block").groupBy("block").cogroup(told.repartition(self.tasks, "block").groupBy("block")).applyInArrow(one, schema)
 
-    columns: name to numpy dtype, at most two.
+
+def encode(docs: DataFrame, cut: Callable[[str], list], what: str, size: int = BLOCK) -> Blocks:
+    """The blocks of docs (id long, flag boolean, text string), written to the shared folder.
+
+    cut gives the items of a text, as bytes or str. A null text has the items of an empty one.
     """
 
-    def run(table):
+    def run(batches):
         import pyarrow as pa
+        import xxhash
+        from pyspark import TaskContext
 
-        order = np.argsort(table.column("at").to_numpy(), kind="stable")
-        packed = [table.column(c).to_numpy()[order].astype(kind_of).tobytes() for c, kind_of in columns.items()]
-        data, more = (packed + [None])[:2]
-        return pa.table({"block": table.column("block")[:1], "kind": pa.array([kind], pa.int32()), "i": pa.array([0], pa.int32()), "data": pa.array([data], pa.binary()), "more": pa.array([more], pa.binary())})
+        part, done = TaskContext.get().partitionId(), 0
+        number, ids, flags, sizes, seqs, chars = defaultdict(count().__next__), [], [], [], [], 0
 
-    return rows.select("block", "at", *columns).groupBy("block").applyInArrow(run, FACT)
+        def full():
+            n = np.array(sizes, np.int64)
+            seq, flag = np.concatenate(seqs), np.array(flags, bool)
+            items = [x if isinstance(x, bytes) else x.encode() for x in number]
+            hashes = np.fromiter(map(xxhash.xxh64_intdigest, items), np.uint64, len(items))
+            order = np.argsort(hashes, kind="stable")
+            seen = np.bincount(seq[np.repeat(flag, n)], minlength=len(items))
+            own = [items[k] for k in order.tolist()]
+            row = {
+                "block": part << 32 | done, "ids": np.array([x or 0 for x in ids], "<i8").tobytes(), "absent": np.array([x is None for x in ids], bool).tobytes(),
+                "flags": flag.tobytes(), "sizes": n.astype("<u4").tobytes(), "seq": pack(seq), "order": order.astype("<u4").tobytes(), "hashes": hashes[order].tobytes(),
+                "lens": pack(np.fromiter(map(len, own), np.uint32, len(own))), "items": b"".join(own), "n": seen[order].astype("<u4").tobytes(),
+            }
+            return pa.RecordBatch.from_pylist([row], schema=arrow_schema(_TABLE))
 
+        for batch in batches:
+            for i in range(0, batch.num_rows, 64):
+                some = batch.slice(i, 64)
+                for k, flag, text in zip(*(some.column(c).to_pylist() for c in ("id", "flag", "text"))):
+                    items = cut(text or "")
+                    ids.append(k)
+                    flags.append(flag)
+                    sizes.append(len(items))
+                    seqs.append(np.fromiter(map(number.__getitem__, items), np.uint32, len(items)))
+                    chars += len(text or "")
+                    if chars >= size:
+                        yield full()
+                        done += 1
+                        number, ids, flags, sizes, seqs, chars = defaultdict(count().__next__), [], [], [], [], 0
+        if ids:
+            yield full()
 
-def item_hash(item: str = "item"):
-    return F.xxhash64(F.col(item))
+    rows = docs.select("id", "flag", "text").mapInArrow(lean(run), _TABLE)
+    return Blocks(materialised(rows, what)[0])

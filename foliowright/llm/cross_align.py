@@ -9,20 +9,21 @@ A cut is safe if no entry of either vocabulary holds such a place (then no merge
 crosses it); cuttable() reads this off both vocabularies, and where it fails for a character,
 texts aren't cut before it. A's pre-tokens never cross these places either. So the tokens of
 a text are those of its segments, one after the other. Each distinct segment of the corpus is
-encoded and aligned once; alignments are joined back to the dictionaries of blocks of
-documents (blocks.py), and documents composed from them.
+encoded and aligned once, in the range of hashes that it falls in; alignments go back to the
+dictionaries of the blocks of documents that hold it (blocks.py), and documents are composed
+from them.
 
 A segment's alignment: byte offsets at which tokens of both end cut its tokens into groups;
 tokens of A and B whose byte ranges overlap are linked. A pair of ids counts in how many
 documents it is linked; a link is best if its pair's count is the highest of its A id.
 
-Counts of pairs are made in each block (documents that hold a pair, each once) and summed;
-a segment's sums over its links are found once and joined back like its alignment.
+Counts of pairs are made in each block (documents that hold a pair, each once), summed by
+ranges of codes that keep an A id's pairs together, and told to the blocks that hold them.
 
 Rows: a null or empty text, and one whose bytes A or B doesn't give back whole (B reads
 U+2581 as a space), has no tokens, zeros and no links; repeated rows are documents of their
 own; equal highest counts are all best; an empty table gives no rows; a text without any
-cut is one segment, whole. Extra columns are ignored.
+cut is one segment, whole; an id of 2 ** 30 or more isn't expected. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -30,15 +31,19 @@ from __future__ import annotations
 import hashlib
 import os
 import re
+from itertools import chain
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from foliowright.llm import blocks as bl
-from foliowright.llm.common import hot_keys, lean, materialised, release, salted_join, worker_state
+from foliowright.llm.common import materialised, release, worker_state
 
-ALIGNED = "sid long, item binary, ok boolean, n_a int, n_b int, n_groups int, n_links int, groups binary, links binary"
+#: characters of a block's texts; larger blocks hold each segment fewer times
+BLOCK = 24_000_000
+ALIGNED, PAIRS = 1, 2
+_ID, _LOW, _ODD = (1 << 30) - 1, np.uint64((1 << 32) - 1), np.uint64(0x9E3779B1)
 
 
 def _letters() -> dict[str, int]:
@@ -108,7 +113,7 @@ class Both:
         self.b, self.b_bytes = _pieces_of(b_path)
         self.guarded = self.b.encode(self.GUARD)
         self.guard = len(self.guarded) if not any(self.GUARD.encode() in x for x in self.b_bytes if len(x) > 1) else 0
-        self.a_sizes, self.b_sizes = [len(x) for x in self.a_bytes], [len(x) for x in self.b_bytes]
+        self.a_sizes, self.b_sizes = (np.array([len(x) for x in spelled], np.int64) for spelled in (self.a_bytes, self.b_bytes))
 
     def encode(self, segments: list[str]) -> tuple[list[list[int]], list[list[int]]]:
         batch = getattr(self.a, "encode_batch_fast", self.a.encode_batch)
@@ -120,69 +125,65 @@ class Both:
             b = self.b.encode([s[1:] for s in segments], num_threads=1)
         return a, b
 
-    def align(self, segment: bytes, a: list[int], b: list[int]):
-        """(ok, groups as text, number of groups, links as pairs of ids) of a segment's tokens."""
-        if len(a) == 1 and len(b) == 1 and self.a_bytes[a[0]] == segment == self.b_bytes[b[0]]:
-            return True, f"{a[0]}|{b[0]}", 1, [(a[0], b[0])]
-        if b"".join([self.a_bytes[x] for x in a]) != segment or b"".join([self.b_bytes[x] for x in b]) != segment:
-            return False, "", 0, []
-        groups, links, i, j = [], [], 0, 0
-        first_a, first_b, end_a, end_b = 0, 0, self.a_sizes[a[0]], self.b_sizes[b[0]]
-        while True:
-            links.append((a[i], b[j]))
-            if end_a == end_b:
-                groups.append(f"{','.join(map(str, a[first_a : i + 1]))}|{','.join(map(str, b[first_b : j + 1]))}")
-                i, j = i + 1, j + 1
-                if i == len(a):
-                    return True, ";".join(groups), len(groups), links
-                first_a, first_b = i, j
-                end_a, end_b = end_a + self.a_sizes[a[i]], end_b + self.b_sizes[b[j]]
-            elif end_a < end_b:
-                i += 1
-                end_a += self.a_sizes[a[i]]
-            else:
-                j += 1
-                end_b += self.b_sizes[b[j]]
-
-
-def aligned(segments: DataFrame, a_path: str, b_path: str) -> DataFrame:
-    """Alignments of distinct segments (item binary), with a number of its own for each."""
-
-    def run(batches):
-        import pyarrow as pa
-        from pyspark import TaskContext
-
-        schema = bl.arrow_schema(ALIGNED)
-        state, number = worker_state(f"both {a_path} {b_path}"), TaskContext.get().partitionId() << 33
+    def align(self, segments: list[bytes]) -> tuple[list[bytes], list[bytes]]:
+        """(links, groups) of each segment; neither where a tokenizer doesn't give the segment back.
+
+        All segments' tokens lie one behind the other; each end of a token of A or B closes one
+        link, of the tokens around it, and each end of both a group. A link is A's id, B's id
+        above it by 30 bits, and above these whether it ends A's token and B's.
+        """
+        a, b = self.encode([x.decode() for x in segments])
+        whole = [b"".join([self.a_bytes[i] for i in x]) == s == b"".join([self.b_bytes[i] for i in y]) for s, x, y in zip(segments, a, b)]
+        use = [k for k, ok in enumerate(whole) if ok]
+        a, b = [a[k] for k in use], [b[k] for k in use]
+        ids_a, ids_b = (np.fromiter(chain.from_iterable(x), np.int64) for x in (a, b))
+        ends_a, ends_b = np.cumsum(self.a_sizes[ids_a]), np.cumsum(self.b_sizes[ids_b])
+        ends = np.union1d(ends_a, ends_b)
+        at_a, at_b = np.searchsorted(ends_a, ends), np.searchsorted(ends_b, ends)
+        closes_a, closes_b = ends_a[at_a] == ends, ends_b[at_b] == ends
+        codes = ids_a[at_a] | ids_b[at_b] << 30 | closes_a.astype(np.int64) << 60 | closes_b.astype(np.int64) << 61
+        # groups as text: each group's tokens of A, then those of B, with what stands behind each
+        both = closes_a & closes_b
+        group = np.cumsum(both) - both
+        group_a, group_b = group[np.flatnonzero(closes_a)], group[np.flatnonzero(closes_b)]
+        last_a, last_b = np.r_[group_a[1:] != group_a[:-1], True], np.r_[group_b[1:] != group_b[:-1], True]
+        words = [f"{i}|" if last else f"{i}," for i, last in zip(ids_a.tolist(), last_a.tolist())] + [f"{i};" if last else f"{i}," for i, last in zip(ids_b.tolist(), last_b.tolist())]
+        order = np.argsort(np.r_[2 * group_a, 2 * group_b + 1], kind="stable").tolist()
+        words = [words[k] for k in order]
+        links, groups, first, word = [b""] * len(segments), [b""] * len(segments), 0, 0
+        stops = np.searchsorted(ends, np.cumsum([len(segments[k]) for k in use])) + 1
+        for k, stop, x, y in zip(use, stops.tolist(), a, b):
+            links[k] = codes[first:stop].tobytes()
+            groups[k] = "".join(words[word : word + len(x) + len(y)])[:-1].encode()
+            first, word = stop, word + len(x) + len(y)
+        return links, groups
+
+
+def _aligned(a_path: str, b_path: str):
+    def answer(items: list[bytes], totals: np.ndarray):
+        state = worker_state(f"both {a_path} {b_path}")
         if "both" not in state:
             state["both"] = Both(a_path, b_path)
-        both = state["both"]
-        for batch in batches:
-            for first in range(0, batch.num_rows, 2048):
-                items = batch.column(0).slice(first, 2048).to_pylist()
-                rows = []
-                for item, a, b in zip(items, *both.encode([x.decode() for x in items])):
-                    ok, groups, n, links = both.align(item, a, b)
-                    rows.append((number, item, ok, len(a), len(b), n, len(links), groups.encode(), np.array(links, "<u4").tobytes()))
-                    number += 1
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+        links, groups = [], []
+        for first in range(0, len(items), 4096):
+            some = state["both"].align(items[first : first + 4096])
+            links += some[0]
+            groups += some[1]
 
-    return segments.select("item").mapInArrow(lean(run), ALIGNED)
+        def to(places: np.ndarray) -> tuple[bytes, bytes]:
+            own = places.tolist()
+            return bl.pack_list([links[k] for k in own]), bl.pack_list([groups[k] for k in own])
 
+        return to
 
-def link_rows(segments: DataFrame) -> DataFrame:
-    """(sid, a, b): the links of aligned segments, a row each."""
+    return answer
 
-    def run(batches):
-        import pyarrow as pa
 
-        for batch in batches:
-            for first in range(0, batch.num_rows, 4096):
-                sid, n, links = (batch.column(c).slice(first, 4096) for c in range(3))
-                pairs = np.frombuffer(b"".join(links.to_pylist()), "<u4").reshape(-1, 2).astype(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(sid.to_numpy(), n.to_numpy())), pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["sid", "a", "b"])
-
-    return segments.where("ok").select("sid", "n_links", "links").mapInArrow(lean(run), "sid long, a long, b long")
+def _links_of(block: bl.Block, facts: bl.Facts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(links, first, number of links) by the dictionary's numbers; none for segments that aren't given back whole."""
+    packed = [x for data, _ in ((r[1], r[2]) for r in facts.rows[ALIGNED]) for x in bl.unpack_list(data)]
+    n = np.fromiter(map(len, packed), np.int64, len(packed)) >> 3
+    return np.frombuffer(b"".join(packed), "<i8"), block.by_number(np.cumsum(n) - n), block.by_number(n)
 
 
 def _spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -196,58 +197,65 @@ def _whole(block: bl.Block, ok: np.ndarray) -> np.ndarray:
     return (block.sizes > 0) & (block.sums(~ok[block.seq]) == 0)
 
 
-def _pairs_in(block: bl.Block, told) -> dict:
-    """(a, b, n): pairs of ids linked in the block, and in how many of its documents."""
-    ok, n = told.column("ok").to_numpy(), told.column("n_links").to_numpy().astype(np.int64)
-    codes, number = np.unique(np.frombuffer(b"".join(told.column("links").to_pylist()), "<u8"), return_inverse=True)
-    starts, n_codes = np.cumsum(n) - n, max(1, len(codes))
-    use = _whole(block, ok)[block.doc]
-    # each segment of a document once, then each pair once
-    doc, segment = np.divmod(np.unique(block.doc[use] * len(ok) + block.seq[use]), max(1, len(ok)))
-    pairs = np.unique(np.repeat(doc, n[segment]) * n_codes + number[_spread(starts[segment], n[segment])])
-    held = np.bincount(pairs % n_codes, minlength=len(codes))
-    at = np.flatnonzero(held)
-    return {"a": (codes[at] & np.uint64(0xFFFFFFFF)).astype(np.int64), "b": (codes[at] >> np.uint64(32)).astype(np.int64), "n": held[at]}
+def _pair_codes(links: np.ndarray) -> np.ndarray:
+    """Codes of pairs of ids that spread over all ranges, those of one A id side by side."""
+    a, b = (links & _ID).astype(np.uint64), (links >> 30 & _ID).astype(np.uint64)
+    return (a * _ODD & _LOW) << np.uint64(32) | b
+
+
+def _pairs_in(parts: int):
+    def run(block, facts):
+        """Asks for the pairs of ids linked in the block, with the number of its documents that hold them."""
+        links, first, n = _links_of(block, facts)
+        codes, number = np.unique(_pair_codes(links), return_inverse=True)
+        use, n_codes = _whole(block, n > 0)[block.doc], max(1, len(codes))
+        # each segment of a document once, then each pair once
+        doc, segment = np.divmod(np.unique(block.doc[use] * len(n) + block.seq[use]), max(1, len(n)))
+        pairs = np.unique(np.repeat(doc, n[segment]) * n_codes + number[_spread(first[segment], n[segment])])
+        held = np.bincount(pairs % n_codes, minlength=len(codes)).astype("<u4")
+        return bl.asked(block.block, PAIRS, codes, held, parts)
 
+    return run
 
-SUMMED = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum")
 
+def _ranked(codes: np.ndarray, held: np.ndarray) -> np.ndarray:
+    """Twice a pair's count, and one more if none of its A id is higher."""
+    own = codes >> np.uint64(32)
+    start = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
+    most = np.repeat(np.maximum.reduceat(held, start), np.diff(np.r_[start, len(own)]))
+    return (2 * held + (held == most)).astype("<i8")
 
-def _composed(block: bl.Block, told) -> dict:
-    ok = told.column("ok").to_numpy()
-    whole = _whole(block, ok)
+
+def _composed(block: bl.Block, facts: bl.Facts) -> dict:
+    links, first, n = _links_of(block, facts)
+    number = np.unique(_pair_codes(links), return_inverse=True)[1]
+    whole, ranked = _whole(block, n > 0), facts.array(PAIRS, "<i8")[number]
     out = {"id": bl.nullable(block.ids, block.absent)}
-    for c in SUMMED:
-        of = told.column(c).to_numpy().astype(np.float64)
-        out[c] = np.where(whole, block.sums(of[block.seq]), 0).astype(np.int64)
-    groups, ends, digests = told.column("groups").to_pylist(), np.cumsum(block.sizes).tolist(), []
-    first = 0
-    for use, end in zip(whole.tolist(), ends):
-        digests.append(hashlib.sha256(b";".join(map(groups.__getitem__, block.seq[first:end].tolist()))).hexdigest() if use else "")
-        first = end
+    ends_a, ends_b = links >> 60 & 1, links >> 61 & 1
+    for c, of in (("n_a", ends_a), ("n_b", ends_b), ("n_groups", ends_a & ends_b), ("n_links", np.ones(len(links), np.int64)), ("n_best", ranked & 1), ("count_sum", ranked >> 1)):
+        up_to = np.r_[0, np.cumsum(of)]
+        doc_sums = block.sums((up_to[first + n] - up_to[first])[block.seq])
+        out[c] = np.where(whole, doc_sums, 0).astype(np.int64)
+    groups = [x for r in facts.rows[ALIGNED] for x in bl.unpack_list(r[2])]
+    at = np.empty(len(groups), np.int64)
+    at[block.order] = np.arange(len(groups))
+    digests, last = [], 0
+    for use, end in zip(whole.tolist(), np.cumsum(block.sizes).tolist()):
+        digests.append(hashlib.sha256(b";".join(map(groups.__getitem__, at[block.seq[last:end]].tolist()))).hexdigest() if use else "")
+        last = end
     return out | {"groups_sha256": digests}
 
 
-def align(docs: DataFrame, a_path: str, b_path: str, key: str = "doc_id", size: int = bl.BLOCK) -> DataFrame:
+def align(docs: DataFrame, a_path: str, b_path: str, key: str = "doc_id", size: int = BLOCK) -> DataFrame:
     """(key, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256) of each document."""
     spark = docs.sparkSession
     given = docs.select(F.col(key).cast("long").alias("id"), F.lit(True).alias("flag"), "text")
-    blocks, items = bl.encode(given, cutter(a_path, b_path), "segments", size)
-    segments = materialised(aligned(items.select("item").distinct(), a_path, b_path), "aligned")[0]
+    blocks = bl.encode(given, cutter(a_path, b_path), "segments", size)
+    facts = materialised(blocks.dictionary(_aligned(a_path, b_path), ALIGNED), "alignments")[0]
     release(spark)
-    items = items.select("block", "at", "item")
-    held = bl.with_items(blocks, items.join(segments.select("item", "ok", "n_links", "links"), "item").drop("item"), _pairs_in, "a long, b long, n long")
-    pairs = materialised(held.groupBy("a", "b").agg(F.sum("n").alias("n")), "pairs")[0]
+    held = blocks.map(facts.withColumn("more", F.lit(None).cast("binary")), _pairs_in(blocks.parts), bl.FACT)
+    facts = facts.unionByName(materialised(blocks.answered(held, _ranked, "<u4"), "pairs")[0])
     del held
     release(spark)
-    highest = pairs.groupBy("a").agg(F.max("n").alias("most"))
-    pairs = pairs.join(highest, "a").select("a", "b", "n", (F.col("n") == F.col("most")).cast("long").alias("best"))
-    links = link_rows(segments)
-    hot = hot_keys(links.groupBy("a", "b").count(), ["a", "b"], "count")
-    sums = salted_join(links, pairs, ["a", "b"], hot).groupBy("sid").agg(F.sum("best").alias("n_best"), F.sum("n").alias("count_sum"))
-    known = segments.drop("links").join(sums, "sid", "left").drop("sid").fillna(0, ["n_best", "count_sum"])
-    known = materialised(known, "alignments")[0]
-    del sums, links
-    release(spark)
-    rows = bl.with_items(blocks, items.join(known, "item").drop("item"), _composed, "id long, " + ", ".join(f"{c} long" for c in SUMMED) + ", groups_sha256 string")
+    rows = blocks.map(facts, _composed, "id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string")
     return rows.withColumnRenamed("id", key)

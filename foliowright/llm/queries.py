@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliowright.llm import chat_format, cross_align, decontaminate, langid, mixing, pii, simhash, substring_dedup, suffix_tree, token_store, topk, toxicity
+from foliowright.llm import chat_format, cross_align, decontaminate, langid, mixing, pii, prefix_trie, simhash, substring_dedup, suffix_tree, token_store, topk, toxicity
 from foliowright.llm.common import table
 
 END_ID = 2
@@ -71,6 +71,10 @@ def op11_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_tree.score(table(spark, sf_dir, "documents"))
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 def op13_cross_align(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cross_align.align(table(spark, sf_dir, "documents"), tokenizer_path(), tokenizer_path("piece_bpe_32k.model"))
 
@@ -93,6 +97,7 @@ QUERIES = {
     "op9_decontaminate": op9_decontaminate,
     "op10_simhash": op10_simhash,
     "op11_suffix_tree": op11_suffix_tree,
+    "op12_prefix_trie": op12_prefix_trie,
     "op13_cross_align": op13_cross_align,
     "pipeline": pipeline,
 }
@@ -103,4 +108,5 @@ ORACLE = {
     "op7_topk": topk.SQL,
     "op8_chat_format": chat_format.SQL,
     "op9_decontaminate": decontaminate.SQL,
+    "op12_prefix_trie": prefix_trie.SQL,
 }

@@ -53,6 +53,23 @@ def symbols(text: str) -> list[bytes]:
     return [*text.encode().translate(_LOWER).split(), END]
 
 
+def _counts(block: bl.Block, facts: bl.Facts) -> np.ndarray:
+    """The training counts of the block's words, by their numbers."""
+    return block.by_number(facts.array(WORDS, "<i8"))
+
+
+def _word_counts(items: list[bytes], totals: np.ndarray):
+    """Counts of words, and for each slice the occurrences and the words seen that it is the first to tell of."""
+    told = np.zeros(len(items), bool)
+
+    def to(places: np.ndarray) -> tuple[bytes, bytes]:
+        new = places[~told[places]]
+        told[new] = True
+        return totals[places].tobytes(), np.array([totals[new].sum(), (totals[new] > 0).sum()], "<i8").tobytes()
+
+    return to
+
+
 class Level:
     """Contexts of one length in a block: where they are candidates, and their words' codes there."""
 
@@ -66,8 +83,7 @@ def levels(block: bl.Block, facts: bl.Facts, depth: int, least: int):
     A context's count is that of its last word in the context before, so a level needs the
     counts of the level before at the word before.
     """
-    counts, hashes = facts.array(WORDS, "<i8"), facts.array(WORDS, "<i8", more=True).view(np.uint64)
-    n, h = counts[block.seq], hashes[block.seq]
+    n, h = _counts(block, facts)[block.seq], block.hashes[block.seq]
     nth = np.arange(len(h)) - np.repeat(np.cumsum(block.sizes) - block.sizes, block.sizes)
     context, before = np.zeros(len(h), np.uint64), n
     for length in range(1, depth + 1):
@@ -87,7 +103,7 @@ def levels(block: bl.Block, facts: bl.Facts, depth: int, least: int):
 
 
 def base(block: bl.Block, facts: bl.Facts, total: int, distinct: int) -> np.ndarray:
-    return (facts.array(WORDS, "<i8") + 1)[block.seq] / (total + 1.0 * (distinct + 1))
+    return (_counts(block, facts) + 1)[block.seq] / (total + 1.0 * (distinct + 1))
 
 
 def _ask(length: int, parts: int, least: int):
@@ -127,7 +143,7 @@ def _diverge(depth: int, parts: int, least: int, alpha: float, total: int, disti
 def _score(depth: int, least: int, alpha: float, total: int, distinct: int):
     def run(block, facts):
         p = base(block, facts, total, distinct)
-        known = block.sums(facts.array(WORDS, "<i8")[block.seq] > 0)
+        known = block.sums(_counts(block, facts)[block.seq] > 0)
         low = np.log10(p)
         best = low.copy()
         for length, (level, _, longer, _) in enumerate(_smoothed(block, facts, p.copy(), depth, least, alpha), 1):
@@ -142,6 +158,14 @@ def _score(depth: int, least: int, alpha: float, total: int, distinct: int):
     return run
 
 
+def _summed(batches):
+    import pyarrow as pa
+
+    for batch in batches:
+        pairs = np.frombuffer(b"".join(batch.column(0).to_pylist()), "<i8").reshape(-1, 2)
+        yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["total", "words"])
+
+
 def score(docs: DataFrame, key: str = "doc_id", training: Column | None = None, depth: int = DEPTH, least: int = LEAST, alpha: float = ALPHA, divergence: float = DIVERGENCE, size: int = bl.BLOCK) -> DataFrame:
     """(key, held_out, n_tokens, n_known, train_tokens, base_score, score) of each document.
 
@@ -151,21 +175,18 @@ def score(docs: DataFrame, key: str = "doc_id", training: Column | None = None,
     if training is None:
         training = F.coalesce(bucket(F.col(key), 7), F.lit(0)) != 2
     given = docs.select(F.col(key).cast("long").alias("id"), training.alias("flag"), "text")
-    blocks, words = bl.encode(given, symbols, "symbols", size)
-    parts = bl.parts_of(blocks)
-    counts = materialised(words.groupBy("item").agg(F.sum("n").alias("c")), "counts")[0]
-    total, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count_if(F.col("c") > 0)).first()
-    told = words.select("block", "at", "item").join(counts, "item").withColumn("h", bl.item_hash())
-    facts = materialised(bl.by_block(told, WORDS, {"c": "<i8", "h": "<i8"}), "facts")[0]
-    del told
+    blocks = bl.encode(given, symbols, "symbols", size)
+    parts = blocks.parts
+    facts = materialised(blocks.dictionary(_word_counts, WORDS), "facts")[0]
+    total, distinct = (sum(x) for x in zip((0, 0), *facts.select("more").mapInArrow(_summed, "total long, words long").agg(F.sum("total"), F.sum("words")).na.fill(0).collect()))
     for length in range(1, depth + 1):
-        requests = bl.with_facts(blocks, facts, _ask(length, parts, least), bl.FACT)
-        facts = facts.unionByName(materialised(bl.answered(requests, lambda n: n.astype("<i8"), "<u4"), "facts")[0])
+        requests = blocks.map(facts, _ask(length, parts, least), bl.FACT)
+        facts = facts.unionByName(materialised(blocks.answered(requests, lambda codes, n: n.astype("<i8"), "<u4"), "facts")[0])
         del requests
         release(spark)
-    gains = bl.with_facts(blocks, facts, _diverge(depth, parts, least, alpha, total, distinct, divergence), bl.FACT)
-    facts = facts.unionByName(materialised(bl.answered(gains, lambda gain: gain > 0, "<f8"), "facts")[0])
+    gains = blocks.map(facts, _diverge(depth, parts, least, alpha, total, distinct, divergence), bl.FACT)
+    facts = facts.unionByName(materialised(blocks.answered(gains, lambda codes, gain: gain > 0, "<f8"), "facts")[0])
     del gains
     release(spark)
-    rows = bl.with_facts(blocks, facts, _score(depth, least, alpha, total, distinct), "id long, flag boolean, n_tokens long, n_known long, base_score double, score double")
+    rows = blocks.map(facts, _score(depth, least, alpha, total, distinct), "id long, flag boolean, n_tokens long, n_known long, base_score double, score double")
     return rows.select(F.col("id").alias(key), (~F.col("flag")).alias("held_out"), "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score")
