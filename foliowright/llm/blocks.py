@@ -29,30 +29,48 @@ from foliowright.llm.common import lean, materialised
 #: characters of a block's texts
 BLOCK = 8_000_000
 _STATE = "block long, ids binary, absent binary, flags binary, sizes binary, seq binary, order binary, hashes binary"
-_TABLE = f"{_STATE}, lens binary, items binary, n binary"
+_TABLE = f"{_STATE}, items binary, n binary"
 #: what is asked of a range of codes or answered to a block
 FACT = "block long, kind int, i int, data binary, more binary"
 
 
 def pack(a: np.ndarray) -> bytes:
-    """Unsigned 32-bit numbers by their bytes' weights, so that small numbers compress."""
-    return np.ascontiguousarray(a, "<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+    """Numbers by their bytes' weights, so that small and similar ones compress."""
+    import pyarrow as pa
+
+    a = np.ascontiguousarray(a)
+    raw = a.view(np.uint8).reshape(len(a), a.itemsize).T.tobytes() if len(a) else b""
+    return struct.pack("<Q", len(raw)) + (pa.compress(raw, "zstd", asbytes=True) if raw else b"")
+
+
+def unpack(data: bytes, dtype: str = "<u4") -> np.ndarray:
+    import pyarrow as pa
+
+    (size,) = struct.unpack_from("<Q", data)
+    if not size:
+        return np.zeros(0, dtype)
+    raw = np.frombuffer(pa.decompress(memoryview(data)[8:], size, "zstd", asbytes=True), np.uint8)
+    return np.ascontiguousarray(raw.reshape(np.dtype(dtype).itemsize, -1).T).view(dtype).ravel()
+
+
+def pack_codes(codes: np.ndarray) -> bytes:
+    """Ascending codes by their differences."""
+    return pack(np.diff(codes, prepend=np.zeros(1, np.uint64)))
 
 
-def unpack(data: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(4, -1).T).view("<u4").ravel()
+def unpack_codes(data: bytes) -> np.ndarray:
+    return np.cumsum(unpack(data, "<u8"), dtype=np.uint64)
 
 
 def pack_list(items: list[bytes]) -> bytes:
-    lens = pack(np.fromiter(map(len, items), np.uint32, len(items)))
-    return struct.pack("<Q", len(items)) + lens + b"".join(items)
+    lens, joined = pack(np.fromiter(map(len, items), np.uint32, len(items))), pack(np.frombuffer(b"".join(items), np.uint8))
+    return struct.pack("<Q", len(lens)) + lens + joined
 
 
 def unpack_list(data: bytes) -> list[bytes]:
     (n,) = struct.unpack_from("<Q", data)
-    ends = 8 + 4 * n + np.cumsum(unpack(data[8 : 8 + 4 * n]).astype(np.int64))
-    ends = [8 + 4 * n, *ends.tolist()]
-    return [data[a:b] for a, b in zip(ends, ends[1:])]
+    ends, joined = np.cumsum(unpack(data[8 : 8 + n]).astype(np.int64)).tolist(), unpack(data[8 + n :], "u1").tobytes()
+    return [joined[a:b] for a, b in zip([0, *ends], ends)]
 
 
 def arrow_schema(ddl: str):
@@ -85,13 +103,12 @@ class Block:
     def __init__(self, table):
         row = {c: table.column(c)[0].as_py() for c in ("block", "ids", "absent", "flags", "sizes", "seq", "order", "hashes")}
         self.block = row["block"]
-        self.ids = np.frombuffer(row["ids"], "<i8")
-        self.absent, self.flags = np.frombuffer(row["absent"], bool), np.frombuffer(row["flags"], bool)
-        self.sizes = np.frombuffer(row["sizes"], "<u4").astype(np.int64)
-        self.seq = unpack(row["seq"]).astype(np.int64)
-        self.order = np.frombuffer(row["order"], "<u4")
-        self.hashes = self.by_number(np.frombuffer(row["hashes"], "<u8"))
-        self.doc = np.repeat(np.arange(len(self.sizes)), self.sizes)
+        self.ids = unpack(row["ids"], "<i8")
+        self.absent, self.flags = unpack(row["absent"], "?"), unpack(row["flags"], "?")
+        self.sizes = unpack(row["sizes"]).astype(np.int64)
+        self.seq, self.order = unpack(row["seq"]), unpack(row["order"])
+        self.hashes = self.by_number(unpack_codes(row["hashes"]))
+        self.doc = np.repeat(np.arange(len(self.sizes), dtype=np.int32), self.sizes)
 
     def by_number(self, answers: np.ndarray) -> np.ndarray:
         """Answers for the dictionary's entries, which ascend by hash, in the order of the entries' numbers."""
@@ -114,12 +131,12 @@ class Facts:
         self.rows = defaultdict(list, {k: sorted(v, key=lambda r: r[0]) for k, v in rows.items()})
 
     def array(self, kind: int, dtype: str) -> np.ndarray:
-        return np.frombuffer(b"".join(r[1] for r in self.rows[kind]), dtype)
+        return np.concatenate([np.zeros(0, dtype), *(unpack(r[1], dtype) for r in self.rows[kind])])
 
 
 def asked(block: int, kind: int, codes: np.ndarray, values: np.ndarray, parts: int) -> list[dict]:
     """FACT rows that ask for ascending codes, with a value for each."""
-    return [{"block": block, "kind": kind, "i": i, "data": codes[a:b].tobytes(), "more": values[a:b].tobytes()} for i, a, b in cut_codes(codes, parts)]
+    return [{"block": block, "kind": kind, "i": i, "data": pack_codes(codes[a:b]), "more": pack(values[a:b])} for i, a, b in cut_codes(codes, parts)]
 
 
 class Blocks:
@@ -146,12 +163,11 @@ class Blocks:
 
             for batch in batches:
                 for row in batch.to_pylist():
-                    codes, n = np.frombuffer(row["hashes"], "<u8"), np.frombuffer(row["n"], "<u4")
-                    ends = [0, *np.cumsum(unpack(row["lens"]).astype(np.int64)).tolist()]
+                    codes, n = unpack_codes(row["hashes"]), unpack(row["n"])
+                    items = unpack_list(row["items"])
                     out = []
                     for i, a, b in cut_codes(codes, parts):
-                        some = [row["items"][x:y] for x, y in zip(ends[a:b], ends[a + 1 : b + 1])]
-                        out.append({"block": row["block"], "kind": kind, "i": i, "data": pack_list(some), "more": n[a:b].tobytes()})
+                        out.append({"block": row["block"], "kind": kind, "i": i, "data": pack_list(items[a:b]), "more": pack(n[a:b])})
                     yield pa.RecordBatch.from_pylist(out, schema=arrow_schema(FACT))
 
         def merge(table):
@@ -162,12 +178,12 @@ class Blocks:
             for data in table.column("data").to_pylist():
                 items = unpack_list(data)
                 places.append(np.fromiter(map(number.__getitem__, items), np.int64, len(items)))
-            n = np.concatenate([np.frombuffer(x, "<u4") for x in table.column("more").to_pylist()])
+            n = np.concatenate([unpack(x) for x in table.column("more").to_pylist()])
             told = answer(list(number), np.bincount(np.concatenate(places), weights=n, minlength=len(number)).astype(np.int64))
             data, more = zip(*map(told, places))
             return pa.table({"block": table.column("block"), "kind": table.column("kind"), "i": table.column("i"), "data": pa.array(data, pa.binary()), "more": pa.array(more, pa.binary())})
 
-        asks = self.table.select("block", "hashes", "lens", "items", "n").mapInArrow(lean(slices), FACT)
+        asks = self.table.select("block", "hashes", "items", "n").mapInArrow(lean(slices), FACT)
         return asks.repartition(self.parts, "i").groupBy("i").applyInArrow(merge, FACT)
 
     def answered(self, requests: DataFrame, answer: Callable, value: str) -> DataFrame:
@@ -179,12 +195,12 @@ class Blocks:
         def merge(table):
             import pyarrow as pa
 
-            codes = [np.frombuffer(x, np.uint64) for x in table.column("data").to_pylist()]
+            codes = [unpack_codes(x) for x in table.column("data").to_pylist()]
             found, at = np.unique(np.concatenate(codes), return_inverse=True)
-            values = np.concatenate([np.frombuffer(x, value) for x in table.column("more").to_pylist()])
+            values = np.concatenate([unpack(x, value) for x in table.column("more").to_pylist()])
             out = answer(found, np.bincount(at, weights=values, minlength=len(found)))[at]
             ends = np.cumsum([len(c) for c in codes])
-            back = [out[e - len(c) : e].tobytes() for e, c in zip(ends.tolist(), codes)]
+            back = [pack(out[e - len(c) : e]) for e, c in zip(ends.tolist(), codes)]
             return pa.table({"block": table.column("block"), "kind": table.column("kind"), "i": table.column("i"), "data": pa.array(back, pa.binary()), "more": pa.nulls(len(back), pa.binary())})
 
         return requests.repartition(self.parts, "kind", "i").groupBy("kind", "i").applyInArrow(merge, FACT)
@@ -223,11 +239,10 @@ def encode(docs: DataFrame, cut: Callable[[str], list], what: str, size: int = B
             hashes = np.fromiter(map(xxhash.xxh64_intdigest, items), np.uint64, len(items))
             order = np.argsort(hashes, kind="stable")
             seen = np.bincount(seq[np.repeat(flag, n)], minlength=len(items))
-            own = [items[k] for k in order.tolist()]
             row = {
-                "block": part << 32 | done, "ids": np.array([x or 0 for x in ids], "<i8").tobytes(), "absent": np.array([x is None for x in ids], bool).tobytes(),
-                "flags": flag.tobytes(), "sizes": n.astype("<u4").tobytes(), "seq": pack(seq), "order": order.astype("<u4").tobytes(), "hashes": hashes[order].tobytes(),
-                "lens": pack(np.fromiter(map(len, own), np.uint32, len(own))), "items": b"".join(own), "n": seen[order].astype("<u4").tobytes(),
+                "block": part << 32 | done, "ids": pack(np.array([x or 0 for x in ids], np.int64)), "absent": pack(np.array([x is None for x in ids], bool)),
+                "flags": pack(flag), "sizes": pack(n.astype(np.uint32)), "seq": pack(seq), "order": pack(order.astype(np.uint32)), "hashes": pack_codes(hashes[order]),
+                "items": pack_list([items[k] for k in order.tolist()]), "n": pack(seen[order].astype(np.uint32)),
             }
             return pa.RecordBatch.from_pylist([row], schema=arrow_schema(_TABLE))
 

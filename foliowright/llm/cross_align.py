@@ -31,6 +31,7 @@ from __future__ import annotations
 import hashlib
 import os
 import re
+import struct
 from itertools import chain
 
 import numpy as np
@@ -41,8 +42,10 @@ from foliowright.llm import blocks as bl
 from foliowright.llm.common import materialised, release, worker_state
 
 #: characters of a block's texts; larger blocks hold each segment fewer times
-BLOCK = 24_000_000
+BLOCK = 12_000_000
 ALIGNED, PAIRS = 1, 2
+#: segments of whole documents whose pairs are told apart at a time
+STEP = 300_000
 _ID, _LOW, _ODD = (1 << 30) - 1, np.uint64((1 << 32) - 1), np.uint64(0x9E3779B1)
 
 
@@ -172,7 +175,9 @@ def _aligned(a_path: str, b_path: str):
 
         def to(places: np.ndarray) -> tuple[bytes, bytes]:
             own = places.tolist()
-            return bl.pack_list([links[k] for k in own]), bl.pack_list([groups[k] for k in own])
+            some = [links[k] for k in own]
+            counts = bl.pack(np.fromiter(map(len, some), np.uint32, len(some)) >> 3)
+            return struct.pack("<Q", len(counts)) + counts + bl.pack(np.frombuffer(b"".join(some), "<i8")), bl.pack_list([groups[k] for k in own])
 
         return to
 
@@ -181,9 +186,13 @@ def _aligned(a_path: str, b_path: str):
 
 def _links_of(block: bl.Block, facts: bl.Facts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(links, first, number of links) by the dictionary's numbers; none for segments that aren't given back whole."""
-    packed = [x for data, _ in ((r[1], r[2]) for r in facts.rows[ALIGNED]) for x in bl.unpack_list(data)]
-    n = np.fromiter(map(len, packed), np.int64, len(packed)) >> 3
-    return np.frombuffer(b"".join(packed), "<i8"), block.by_number(np.cumsum(n) - n), block.by_number(n)
+    n, links = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for _, data, _ in facts.rows[ALIGNED]:
+        (size,) = struct.unpack_from("<Q", data)
+        n.append(bl.unpack(data[8 : 8 + size]).astype(np.int64))
+        links.append(bl.unpack(data[8 + size :], "<i8"))
+    n = np.concatenate(n)
+    return np.concatenate(links), block.by_number(np.cumsum(n) - n), block.by_number(n)
 
 
 def _spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -209,10 +218,17 @@ def _pairs_in(parts: int):
         links, first, n = _links_of(block, facts)
         codes, number = np.unique(_pair_codes(links), return_inverse=True)
         use, n_codes = _whole(block, n > 0)[block.doc], max(1, len(codes))
-        # each segment of a document once, then each pair once
-        doc, segment = np.divmod(np.unique(block.doc[use] * len(n) + block.seq[use]), max(1, len(n)))
-        pairs = np.unique(np.repeat(doc, n[segment]) * n_codes + number[_spread(first[segment], n[segment])])
-        held = np.bincount(pairs % n_codes, minlength=len(codes)).astype("<u4")
+        # each segment of a document once, then each pair once; some documents at a time
+        own = np.unique(block.doc[use].astype(np.int64) * len(n) + block.seq[use])
+        stops = np.searchsorted(own, np.arange(len(block.sizes) + 1) * len(n))
+        held, last = np.zeros(len(codes), np.uint32), 0
+        for stop in stops[1:].tolist():
+            if stop - last < STEP and stop < len(own) or stop == last:
+                continue
+            doc, segment = np.divmod(own[last:stop], len(n))
+            pairs = np.unique(np.repeat(doc, n[segment]) * n_codes + number[_spread(first[segment], n[segment])])
+            held += np.bincount(pairs % n_codes, minlength=len(codes)).astype(np.uint32)
+            last = stop
         return bl.asked(block.block, PAIRS, codes, held, parts)
 
     return run

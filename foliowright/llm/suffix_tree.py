@@ -65,7 +65,7 @@ def _word_counts(items: list[bytes], totals: np.ndarray):
     def to(places: np.ndarray) -> tuple[bytes, bytes]:
         new = places[~told[places]]
         told[new] = True
-        return totals[places].tobytes(), np.array([totals[new].sum(), (totals[new] > 0).sum()], "<i8").tobytes()
+        return bl.pack(totals[places]), np.array([totals[new].sum(), (totals[new] > 0).sum()], "<i8").tobytes()
 
     return to
 
@@ -148,7 +148,7 @@ def _score(depth: int, least: int, alpha: float, total: int, distinct: int):
         best = low.copy()
         for length, (level, _, longer, _) in enumerate(_smoothed(block, facts, p.copy(), depth, least, alpha), 1):
             contexts, at = np.unique(level.contexts, return_inverse=True)
-            kept = facts.array(KEPT + length, bool)[at] if len(contexts) else np.zeros(0, bool)
+            kept = facts.array(KEPT + length, "?")[at] if len(contexts) else np.zeros(0, bool)
             best[level.where[kept]] = np.log10(longer[kept])
         return {
             "id": bl.nullable(block.ids, block.absent), "flag": block.flags, "n_tokens": block.sizes, "n_known": known.astype(np.int64),

@@ -104,5 +104,8 @@ def test_packing():
 
     a = np.array([0, 1, 255, 256, 1 << 31, (1 << 32) - 1], np.uint32)
     assert blocks.unpack(blocks.pack(a)).tolist() == a.tolist()
+    assert blocks.unpack(blocks.pack(a[:0])).tolist() == []
+    assert blocks.unpack_list(blocks.pack_list([b"", b"abc", b""])) == [b"", b"abc", b""] and blocks.unpack_list(blocks.pack_list([])) == []
     codes = np.sort(np.array([0, 5, 1 << 63, (1 << 64) - 1], np.uint64))
+    assert blocks.unpack_codes(blocks.pack_codes(codes)).tolist() == codes.tolist()
     assert [(i, a, b) for i, a, b in blocks.cut_codes(codes, 16)] == [(0, 0, 2), (8, 2, 3), (15, 3, 4)]
