@@ -15,10 +15,10 @@ def is_date_header(line: Column) -> Column:
 
 
 def is_house_header(line: Column) -> Column:
-    """Exact headings by their start; others by similarity, in Python on 17 characters."""
+    """Exact headings by their start; others by similarity of 17 characters."""
     start = F.left(text.strip(F.upper(line)), F.lit(17))
     exact = start.startswith("HOUSE OF LORDS") | start.startswith("HOUSE OF COMMONS")
-    return F.when(exact, True).otherwise(house_like(F.when(~exact & (F.length(start) >= 8), start)))
+    return F.when(exact, True).when(F.length(start) < 8, False).otherwise(house_like(start))
 
 
 def is_header(line: Column) -> Column:
@@ -39,37 +39,77 @@ def extract_headers(pages: DataFrame) -> DataFrame:
     return rows.withColumn("header", F.when(F.col("_is"), F.col("_line")).otherwise(F.col("header"))).withColumn("markdown", rest).drop("_line", "_is")
 
 
-def join_hyphens(pages: DataFrame) -> DataFrame:
+#: a page ends in a broken word
+_TAIL = r"\S-\s*\z"
+#: pages whose flags one group holds
+BLOCK = 512
+
+
+def _fragments(pages: DataFrame) -> DataFrame:
+    """pages with _eligible, _fragment (the first letters that a page could give up) and _without (its text without them)."""
+    bare = text.lstrip(F.col("markdown"))
+    fragment = F.regexp_extract(bare, r"^([a-z]{1,15})(?![a-z])", 1)
+    first_line = F.split(bare, "\n", 2)[0]
+    rows = pages.withColumn("_fragment", fragment).withColumn("_eligible", F.when(F.col("_fragment") != "", ~is_header(first_line)).otherwise(False))
+    lead = F.left("markdown", F.length("markdown") - F.length(bare))
+    rest = F.substr(bare, F.length("_fragment") + 1)
+    kept = F.when((rest != "") & ~rest.rlike(r"\A[\s\x1c-\x1f\x85\p{Z}]"), F.concat(lead, rest)).otherwise(text.lstrip(rest))
+    return rows.withColumn("_without", F.when(F.col("_eligible"), kept).otherwise(F.col("markdown")))
+
+
+def _runs(rows: DataFrame, by: list[str], order: str, sure: Column, turns: Column) -> DataFrame:
+    """rows with _known (null before the first sure value) and _odd: the last sure value in order, and whether it was turned over an odd number of times since."""
+    w = W.partitionBy(*by).orderBy(order)
+    rows = rows.withColumn("_sure", sure).withColumn("_run", F.count("_sure").over(w))
+    run = W.partitionBy(*by, "_run")
+    turned = F.sum(F.when(F.col("_sure").isNull() & turns, 1).otherwise(0)).over(run.orderBy(order)) % 2 == 1
+    return rows.withColumn("_odd", turned).withColumn("_known", F.max("_sure").over(run)).drop("_sure", "_run")
+
+
+def broken_words(pages: DataFrame, block: int = BLOCK) -> DataFrame:
+    """(volume, pos, gives, fragment): pages that give up their first letters, or get those of the next page (fragment).
+
+    Whether a page still ends in a broken word, once it has given up its own first letters,
+    follows from the page before: it is fixed, or the same, or the opposite. Such steps
+    compose, so a volume is scanned on two levels. Blocks of pages are first walked alone, which
+    leaves for each what its last page does as a step of its own; a second walk over the
+    blocks says how each begins. Only flags and fragments are exchanged, and no task holds
+    more than a block of pages or the steps of a volume's blocks.
+    """
+    flags = _fragments(pages).select(
+        "volume", "pos", (F.col("pos") - F.pmod("pos", F.lit(block))).alias("_block"), F.struct(F.col("_eligible").alias("eligible"), F.col("_fragment").alias("fragment")).alias("_own"),
+        F.col("markdown").rlike(_TAIL).alias("_raw"), F.when(F.col("_eligible"), F.col("_without").rlike(_TAIL)).otherwise(F.col("markdown").rlike(_TAIL)).alias("_still"),
+    )
+    fixed_ = F.when(~F.col("_own.eligible") | (F.col("_raw") == F.col("_still")), F.col("_raw"))
+    by = ["volume", "_block"]
+    rows = _runs(flags, by, "pos", fixed_, F.col("_raw"))
+    blocks = rows.groupBy(*by).agg(F.max_by(F.struct("_known", "_odd"), "pos").alias("_last"), F.min_by("_own", "pos").alias("_first"))
+    known, odd = F.col("_last._known"), F.col("_last._odd")
+    blocks = _runs(blocks, ["volume"], "_block", F.when(known.isNotNull(), known != odd), odd)
+    after = F.coalesce("_known", F.lit(False)) != F.col("_odd")
+    order = W.partitionBy("volume").orderBy("_block")
+    blocks = blocks.withColumn("_after", after).select("volume", "_block", F.lag("_after", 1, False).over(order).alias("_start"), F.lead("_first").over(order).alias("_then"))
+    rows = rows.join(blocks, by)
+    inside = W.partitionBy(*by).orderBy("pos")
+    rows = rows.withColumn("_ends", F.coalesce("_known", "_start") != F.col("_odd"))
+    rows = rows.withColumn("gives", F.col("_own.eligible") & F.coalesce(F.lag("_ends").over(inside), F.col("_start")))
+    rows = rows.withColumn("_next", F.coalesce(F.lead("_own").over(inside), F.col("_then")))
+    gets = F.col("_ends") & F.coalesce(F.col("_next.eligible"), F.lit(False))
+    return rows.select("volume", "pos", "gives", F.when(gets, F.col("_next.fragment")).alias("fragment")).where("gives OR fragment IS NOT NULL")
+
+
+def join_hyphens(pages: DataFrame, block: int = BLOCK) -> DataFrame:
     """Words broken at a page's end joined with the next page's first letters.
 
-    Whether a page gives up its first letters depends on whether the page before still
-    ends in a hyphen once it has given up its own. As a function of the page before that
-    is constant, or a negation (a page of one broken word); so it follows from the last
-    constant page and the parity of negations since: windows, no loop.
+    Places (volume, pos) are unique, as in a file. Pages meet only those places that change.
     """
-    order = W.partitionBy("volume").orderBy("pos")
-    fragment = F.regexp_extract(text.lstrip(F.col("markdown")), r"^([a-z]{1,15})(?![a-z])", 1)
-    first_line = F.split(text.lstrip(F.col("markdown")), "\n", 2)[0]
-    rows = pages.withColumn("_fragment", fragment).withColumn("_eligible", (F.col("_fragment") != "") & ~is_header(first_line))
-    stripped = text.lstrip(F.col("markdown"))
-    lead = F.left("markdown", F.length("markdown") - F.length(stripped))
-    rest = F.substr(stripped, F.length("_fragment") + 1)
-    kept = F.when((rest != "") & ~rest.rlike(r"\A[\s\x1c-\x1f\x85\p{Z}]"), F.concat(lead, rest)).otherwise(text.lstrip(rest))
-    rows = rows.withColumn("_without", F.when(F.col("_eligible"), kept).otherwise(F.col("markdown")))
-    tail = r"\S-\s*\z"
-    rows = rows.withColumn("_raw", F.col("markdown").rlike(tail)).withColumn("_still", F.col("_without").rlike(tail))
-    no = F.lit(False)
-    rows = rows.withColumn("_if_not", F.col("_eligible") & F.lag("_raw", 1, False).over(order)).withColumn("_if", F.col("_eligible") & F.lag("_still", 1, False).over(order))
-    fixed_ = (F.col("_if_not") == F.col("_if")) | (F.row_number().over(order) == 1)
-    rows = rows.withColumn("_fixed", fixed_).withColumn("_run", F.sum(F.col("_fixed").cast("int")).over(order))
-    run = W.partitionBy("volume", "_run")
-    value = F.max(F.when(F.col("_fixed"), F.col("_if_not"))).over(run)
-    turns = F.sum((~F.col("_fixed")).cast("int")).over(run.orderBy("pos"))
-    rows = rows.withColumn("_gives", F.coalesce(value, no) != (turns % 2 == 1))
-    rows = rows.withColumn("_gets", F.lead("_gives", 1, False).over(order)).withColumn("_next", F.lead("_fragment").over(order))
+    found = broken_words(pages, block).select(F.col("volume").alias("_volume"), F.col("pos").alias("_pos"), F.col("gives").alias("_gives"), F.col("fragment").alias("_gets"))
+    here = F.col("volume").eqNullSafe(F.col("_volume")) & (F.col("pos") == F.col("_pos"))
+    rows = pages.join(found, here, "left")
     own = F.when(F.col("_gives"), F.col("_without")).otherwise(F.col("markdown"))
-    joined = F.concat(F.regexp_replace(own, r"-\s*\z", ""), "_next")
-    rows = rows.withColumn("markdown", F.when(F.col("_gets"), joined).otherwise(own))
+    rows = _fragments(rows).withColumn("_own", own)
+    joined = F.concat(F.regexp_replace("_own", r"-\s*\z", ""), "_gets")
+    rows = rows.withColumn("markdown", F.when(F.col("_gets").isNotNull(), joined).otherwise(F.col("_own")))
     return rows.drop(*[c for c in rows.columns if c.startswith("_")])
 
 

@@ -10,12 +10,14 @@ from foliowright.functions import fixed, text
 from foliowright.functions.fuzzy import latin_month
 
 
+#: places of pages that one group holds
+SPAN = 256
+
+
 def ordered_paragraphs(pages: DataFrame) -> DataFrame:
-    """(volume, page_rank, page, para, p): paragraphs in reading order."""
-    order = F.coalesce("global_index", "index", F.lit(0))
-    rank = F.row_number().over(W.partitionBy("volume").orderBy(order, "pos")).cast("long")
-    rows = pages.select("volume", rank.alias("page_rank"), F.coalesce("global_index", "index").alias("page"), "markdown")
-    return rows.select("volume", "page_rank", "page", F.posexplode(text.paragraphs(F.col("markdown"))).alias("para", "p")).withColumn("para", F.col("para").cast("long"))
+    """(volume, ord, pos, page, para, p): paragraphs; their reading order is that of (ord, pos, para)."""
+    rows = pages.select("volume", F.coalesce("global_index", "index", F.lit(0)).cast("long").alias("ord"), F.col("pos").cast("long").alias("pos"), F.coalesce("global_index", "index").alias("page"), "markdown")
+    return rows.select("volume", "ord", "pos", "page", F.posexplode(text.paragraphs(F.col("markdown"))).alias("para", "p")).withColumn("para", F.col("para").cast("long"))
 
 
 def bare_house(p: Column) -> Column:
@@ -109,34 +111,88 @@ def events(pages: DataFrame) -> DataFrame:
     single = F.when(F.col("kind").isNull() & (F.size("_c") == 0), detect_speaker(F.col("p")))
     rows = rows.withColumn("_s", F.when(F.length(single) <= 80, single))
     said = F.when(F.size("_c") > 0, F.col("_c")).otherwise(F.array(F.struct(F.col("_s").alias("speaker"), F.when(F.col("_s").isNotNull(), body(F.col("p"))).when(F.col("kind").isNull(), F.col("p")).otherwise("").alias("text"))))
-    rows = rows.select("volume", "page_rank", "page", "para", "kind", "p", "date_iso", F.coalesce("dated_house", "house").alias("house"), F.posexplode(said).alias("chunk", "c"))
-    return rows.select("volume", "page_rank", "page", "para", F.col("chunk").cast("long").alias("chunk"), "kind", "house", "date_iso", F.when(F.col("kind") == "title", F.col("p")).alias("title"), "c.speaker", "c.text")
+    rows = rows.select("volume", "ord", "pos", "page", "para", "kind", "p", "date_iso", F.coalesce("dated_house", "house").alias("house"), F.posexplode(said).alias("chunk", "c"))
+    return rows.select("volume", "ord", "pos", "page", "para", F.col("chunk").cast("long").alias("chunk"), "kind", "house", "date_iso", F.when(F.col("kind") == "title", F.col("p")).alias("title"), "c.speaker", "c.text")
+
+
+_AT = ("ord", "pos", "para", "chunk")
+
+
+def _blocked(rows: DataFrame, span: int) -> DataFrame:
+    """Events with the block that they are in, which ascends in reading order.
+
+    Pages of order 0, as those without an index are, come before others of their span and are blocked by their place.
+    """
+    cut = lambda c: F.col(c) - F.pmod(c, F.lit(span))
+    zero = F.col("ord") == 0
+    return rows.withColumn("_block", F.struct(cut("ord").alias("ord"), F.when(zero, 0).otherwise(1).alias("other"), F.when(zero, cut("pos")).otherwise(F.lit(0)).alias("pos")))
+
 
+def _within(rows: DataFrame) -> DataFrame:
+    """Events with _opens, the segment of their block that they are in (0: begun before), and whether it says anything there."""
+    by = W.partitionBy("volume", "_block")
+    opens = F.coalesce(F.col("speaker").isNotNull() | F.col("kind").isin("dated", "house"), F.lit(False))
+    rows = rows.withColumn("_opens", opens).withColumn("_segment", F.sum(F.col("_opens").cast("long")).over(by.orderBy(*_AT)))
+    heard = F.max(F.col("text") != "").over(W.partitionBy("volume", "_block", "_segment"))
+    return rows.withColumn("_heard", heard).withColumn("_last", F.max("_segment").over(by))
 
-def with_context(rows: DataFrame) -> DataFrame:
-    """Events with the running house, date and title, and the segment each belongs to."""
-    order = W.partitionBy("volume").orderBy("page_rank", "para", "chunk")
-    run = lambda c: F.last(c, ignorenulls=True).over(order)
-    opens = F.col("speaker").isNotNull() | F.col("kind").isin("dated", "house")
-    segment = F.sum(F.coalesce(opens, F.lit(False)).cast("long")).over(order)
-    return rows.select("*", run("house").alias("cur_house"), run("date_iso").alias("cur_date"), run("title").alias("cur_title"), segment.alias("segment"))
+
+def _starts(rows: DataFrame) -> DataFrame:
+    """What each block begins with: house, date, title, how many segments and speeches came before, and whether its last segment is heard of later.
+
+    Blocks are summed up alone first; a walk over a volume's blocks carries the sums forward. A
+    segment that a speaker opens counts as a speech if it says anything, here or up to the
+    next opening in a block behind.
+    """
+    at = F.struct(*_AT)
+    last = lambda c: F.max_by(c, F.when(F.col(c).isNotNull(), at)).alias(c)
+    spoken = F.col("_opens") & F.col("speaker").isNotNull()
+    blocks = rows.groupBy("volume", "_block").agg(
+        last("house"), last("date_iso"), last("title"), F.max("_segment").alias("segments"), F.count_if(spoken & F.col("_heard")).alias("speeches"),
+        F.max(spoken & ~F.col("_heard") & (F.col("_segment") == F.col("_last"))).alias("waits"), F.max((F.col("text") != "") & (F.col("_segment") == 0)).alias("early"),
+    )
+    order = W.partitionBy("volume").orderBy("_block")
+    before, behind = order.rowsBetween(W.unboundedPreceding, -1), W.partitionBy("volume").orderBy(F.desc("_block")).rowsBetween(W.unboundedPreceding, -1)
+    answer = F.when(F.col("early") | (F.col("segments") > 0), F.col("early"))
+    blocks = blocks.withColumn("_later", F.col("waits") & F.coalesce(F.last(answer, ignorenulls=True).over(behind), F.lit(False)))
+    so_far = lambda c: F.coalesce(F.sum(c).over(before), F.lit(0))
+    return blocks.select(
+        "volume", "_block", *[F.last(c, ignorenulls=True).over(before).alias(f"_{c}") for c in ("house", "date_iso", "title")],
+        so_far("segments").alias("_segments"), so_far(F.col("speeches") + F.col("_later").cast("long")).alias("_speeches"), "_later",
+    )
+
+
+def with_context(rows: DataFrame, span: int = SPAN) -> DataFrame:
+    """Events with the running house, date and title, the segment each belongs to, and the number of the speech (nth) that a segment is.
+
+    A scan on two levels: texts are dealt out by blocks of pages, and of a volume only its blocks' sums meet.
+    """
+    local = _within(_blocked(rows, span))
+    rows = local.join(_starts(local), ["volume", "_block"])
+    order = W.partitionBy("volume", "_block").orderBy(*_AT)
+    run = lambda c: F.coalesce(F.last(c, ignorenulls=True).over(order), F.col(f"_{c}"))
+    speech = F.col("_opens") & F.col("speaker").isNotNull() & (F.col("_heard") | (F.col("_later") & (F.col("_segment") == F.col("_last"))))
+    rows = rows.select(
+        "*", run("house").alias("cur_house"), run("date_iso").alias("cur_date"), run("title").alias("cur_title"),
+        (F.col("_segments") + F.col("_segment")).alias("segment"), (F.col("_speeches") + F.sum(speech.cast("long")).over(order)).alias("nth"),
+    )
+    return rows.drop(*[c for c in rows.columns if c.startswith("_")])
 
 
 def sessions(rows: DataFrame) -> DataFrame:
     """Speeches: a speaker's start and what follows it up to the next start or house heading."""
-    seq = F.struct("page_rank", "para", "chunk")
+    seq = F.struct(*_AT)
     first = lambda c: F.min_by(c, seq)
     said = F.col("text") != ""
     grouped = rows.groupBy("volume", "segment").agg(
-        first("cur_house").alias("house"), first("cur_date").alias("date_iso"), first("cur_title").alias("debate_title"), first("speaker").alias("speaker"),
+        first("cur_house").alias("house"), first("cur_date").alias("date_iso"), first("cur_title").alias("debate_title"), first("speaker").alias("speaker"), first("nth").alias("nth"),
         F.array_sort(F.collect_set(F.when(said | F.col("speaker").isNotNull(), F.col("page")))).alias("pages"),
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.when(said, F.struct("page_rank", "para", "chunk", "text")))), lambda x: x["text"]), "\n\n").alias("text"),
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.when(said, F.struct(*_AT, "text")))), lambda x: x["text"]), "\n\n").alias("text"),
     )
     return grouped.where("speaker IS NOT NULL AND text <> ''")
 
 
-def speeches(pages: DataFrame) -> DataFrame:
+def speeches(pages: DataFrame, span: int = SPAN) -> DataFrame:
     """(volume, id, house, date_iso, debate_title, speaker, pages, text); ids count within the volume."""
-    rows = sessions(with_context(events(pages)))
-    nth = F.row_number().over(W.partitionBy("volume").orderBy("segment"))
-    return rows.select("volume", F.format_string("%s_speech_%06d", "volume", nth).alias("id"), "house", "date_iso", "debate_title", "speaker", "pages", "text")
+    rows = sessions(with_context(events(pages), span))
+    return rows.select("volume", F.format_string("%s_speech_%06d", "volume", "nth").alias("id"), "house", "date_iso", "debate_title", "speaker", "pages", "text")
