@@ -24,12 +24,12 @@ from itertools import count
 import numpy as np
 from pyspark.sql import DataFrame
 
-from foliowright.llm.common import lean, materialised
+from foliowright.llm.common import lean, materialised, trim
 
 #: characters of a block's texts
 BLOCK = 8_000_000
-_STATE = "block long, ids binary, absent binary, flags binary, sizes binary, seq binary, order binary, hashes binary"
-_TABLE = f"{_STATE}, items binary, n binary"
+_STATE = "block long, ids binary, absent binary, flags binary, sizes binary, seq binary, order binary"
+_TABLE = f"{_STATE}, hashes binary, items binary, n binary"
 #: what is asked of a range of codes or answered to a block
 FACT = "block long, kind int, i int, data binary, more binary"
 
@@ -81,6 +81,18 @@ def arrow_schema(ddl: str):
     return pa.schema([(name, kinds[kind]) for name, kind in (c.split() for c in ddl.split(","))])
 
 
+def _tidy(run: Callable) -> Callable:
+    """run, after which the worker gives the memory that it no longer uses back to the system."""
+
+    def out(*tables):
+        try:
+            return run(*tables)
+        finally:
+            trim()
+
+    return out
+
+
 def nullable(ids: np.ndarray, absent: np.ndarray):
     """An Arrow column of ids, null where absent."""
     import pyarrow as pa
@@ -101,13 +113,13 @@ class Block:
     """A block's arrays."""
 
     def __init__(self, table):
-        row = {c: table.column(c)[0].as_py() for c in ("block", "ids", "absent", "flags", "sizes", "seq", "order", "hashes")}
+        row = {c: table.column(c)[0].as_py() for c in table.column_names}
         self.block = row["block"]
         self.ids = unpack(row["ids"], "<i8")
         self.absent, self.flags = unpack(row["absent"], "?"), unpack(row["flags"], "?")
         self.sizes = unpack(row["sizes"]).astype(np.int64)
         self.seq, self.order = unpack(row["seq"]), unpack(row["order"])
-        self.hashes = self.by_number(unpack_codes(row["hashes"]))
+        self.hashes = self.by_number(unpack_codes(row["hashes"])) if "hashes" in row else None
         self.doc = np.repeat(np.arange(len(self.sizes), dtype=np.int32), self.sizes)
 
     def by_number(self, answers: np.ndarray) -> np.ndarray:
@@ -142,8 +154,8 @@ def asked(block: int, kind: int, codes: np.ndarray, values: np.ndarray, parts: i
 class Blocks:
     """The blocks of a corpus and their exchanges."""
 
-    def __init__(self, table: DataFrame):
-        names = [c.split()[0] for c in _STATE.split(", ")]
+    def __init__(self, table: DataFrame, hashes: bool):
+        names = [c.split()[0] for c in _STATE.split(", ")] + ["hashes"] * hashes
         self.table, self.rows, n = table, table.select(*names), table.count()
         #: ranges of codes: each about as large as a block, at most 65,536; and tasks that blocks are dealt to
         self.parts = max(16, min(65_536, 1 << max(0, 2 * n - 1).bit_length()))
@@ -163,8 +175,8 @@ class Blocks:
 
             for batch in batches:
                 for row in batch.to_pylist():
-                    codes, n = unpack_codes(row["hashes"]), unpack(row["n"])
-                    items = unpack_list(row["items"])
+                    items, n = unpack_list(row["items"]), unpack(row["n"])
+                    codes = _hashes(items)
                     out = []
                     for i, a, b in cut_codes(codes, parts):
                         out.append({"block": row["block"], "kind": kind, "i": i, "data": pack_list(items[a:b]), "more": pack(n[a:b])})
@@ -183,8 +195,8 @@ class Blocks:
             data, more = zip(*map(told, places))
             return pa.table({"block": table.column("block"), "kind": table.column("kind"), "i": table.column("i"), "data": pa.array(data, pa.binary()), "more": pa.array(more, pa.binary())})
 
-        asks = self.table.select("block", "hashes", "items", "n").mapInArrow(lean(slices), FACT)
-        return asks.repartition(self.parts, "i").groupBy("i").applyInArrow(merge, FACT)
+        asks = self.table.select("block", "items", "n").mapInArrow(lean(slices), FACT)
+        return asks.repartition(self.parts, "i").groupBy("i").applyInArrow(_tidy(merge), FACT)
 
     def answered(self, requests: DataFrame, answer: Callable, value: str) -> DataFrame:
         """FACT rows: to each slice of codes asked, answer(codes, sums of their values over all blocks), an array.
@@ -203,7 +215,7 @@ class Blocks:
             back = [pack(out[e - len(c) : e]) for e, c in zip(ends.tolist(), codes)]
             return pa.table({"block": table.column("block"), "kind": table.column("kind"), "i": table.column("i"), "data": pa.array(back, pa.binary()), "more": pa.nulls(len(back), pa.binary())})
 
-        return requests.repartition(self.parts, "kind", "i").groupBy("kind", "i").applyInArrow(merge, FACT)
+        return requests.repartition(self.parts, "kind", "i").groupBy("kind", "i").applyInArrow(_tidy(merge), FACT)
 
     def map(self, facts: DataFrame, run: Callable, schema: str) -> DataFrame:
         """run(Block, Facts), a dict of columns or a list of rows, for each block and what it was told."""
@@ -215,18 +227,24 @@ class Blocks:
             return pa.table(rows, schema=arrow_schema(schema)) if isinstance(rows, dict) else pa.Table.from_pylist(rows, schema=arrow_schema(schema))
 
         told = facts.select("block", "kind", "i", "data", "more")
-        return self.rows.repartition(self.tasks, "block").groupBy("block").cogroup(told.repartition(self.tasks, "block").groupBy("block")).applyInArrow(one, schema)
+        return self.rows.repartition(self.tasks, "block").groupBy("block").cogroup(told.repartition(self.tasks, "block").groupBy("block")).applyInArrow(_tidy(one), schema)
+
+
+def _hashes(items: list[bytes]) -> np.ndarray:
+    import xxhash
+
+    return np.fromiter(map(xxhash.xxh64_intdigest, items), np.uint64, len(items))
 
 
-def encode(docs: DataFrame, cut: Callable[[str], list], what: str, size: int = BLOCK) -> Blocks:
+def encode(docs: DataFrame, cut: Callable[[str], list], what: str, size: int = BLOCK, hashes: bool = True) -> Blocks:
     """The blocks of docs (id long, flag boolean, text string), written to the shared folder.
 
     cut gives the items of a text, as bytes or str. A null text has the items of an empty one.
+    hashes: whether blocks keep their items' hashes.
     """
 
     def run(batches):
         import pyarrow as pa
-        import xxhash
         from pyspark import TaskContext
 
         part, done = TaskContext.get().partitionId(), 0
@@ -236,12 +254,12 @@ def encode(docs: DataFrame, cut: Callable[[str], list], what: str, size: int = B
             n = np.array(sizes, np.int64)
             seq, flag = np.concatenate(seqs), np.array(flags, bool)
             items = [x if isinstance(x, bytes) else x.encode() for x in number]
-            hashes = np.fromiter(map(xxhash.xxh64_intdigest, items), np.uint64, len(items))
-            order = np.argsort(hashes, kind="stable")
+            codes = _hashes(items)
+            order = np.argsort(codes, kind="stable")
             seen = np.bincount(seq[np.repeat(flag, n)], minlength=len(items))
             row = {
                 "block": part << 32 | done, "ids": pack(np.array([x or 0 for x in ids], np.int64)), "absent": pack(np.array([x is None for x in ids], bool)),
-                "flags": pack(flag), "sizes": pack(n.astype(np.uint32)), "seq": pack(seq), "order": pack(order.astype(np.uint32)), "hashes": pack_codes(hashes[order]),
+                "flags": pack(flag), "sizes": pack(n.astype(np.uint32)), "seq": pack(seq), "order": pack(order.astype(np.uint32)), "hashes": pack_codes(codes[order]) if hashes else None,
                 "items": pack_list([items[k] for k in order.tolist()]), "n": pack(seen[order].astype(np.uint32)),
             }
             return pa.RecordBatch.from_pylist([row], schema=arrow_schema(_TABLE))
@@ -264,4 +282,4 @@ def encode(docs: DataFrame, cut: Callable[[str], list], what: str, size: int = B
             yield full()
 
     rows = docs.select("id", "flag", "text").mapInArrow(lean(run), _TABLE)
-    return Blocks(materialised(rows, what)[0])
+    return Blocks(materialised(rows, what)[0], hashes)

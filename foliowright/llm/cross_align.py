@@ -31,7 +31,6 @@ from __future__ import annotations
 import hashlib
 import os
 import re
-import struct
 from itertools import chain
 
 import numpy as np
@@ -128,8 +127,8 @@ class Both:
             b = self.b.encode([s[1:] for s in segments], num_threads=1)
         return a, b
 
-    def align(self, segments: list[bytes]) -> tuple[list[bytes], list[bytes]]:
-        """(links, groups) of each segment; neither where a tokenizer doesn't give the segment back.
+    def align(self, segments: list[bytes]) -> list[bytes]:
+        """The links of each segment; none where a tokenizer doesn't give the segment back.
 
         All segments' tokens lie one behind the other; each end of a token of A or B closes one
         link, of the tokens around it, and each end of both a group. A link is A's id, B's id
@@ -138,28 +137,39 @@ class Both:
         a, b = self.encode([x.decode() for x in segments])
         whole = [b"".join([self.a_bytes[i] for i in x]) == s == b"".join([self.b_bytes[i] for i in y]) for s, x, y in zip(segments, a, b)]
         use = [k for k, ok in enumerate(whole) if ok]
-        a, b = [a[k] for k in use], [b[k] for k in use]
-        ids_a, ids_b = (np.fromiter(chain.from_iterable(x), np.int64) for x in (a, b))
+        ids_a, ids_b = (np.fromiter(chain.from_iterable(x[k] for k in use), np.int64) for x in (a, b))
         ends_a, ends_b = np.cumsum(self.a_sizes[ids_a]), np.cumsum(self.b_sizes[ids_b])
         ends = np.union1d(ends_a, ends_b)
         at_a, at_b = np.searchsorted(ends_a, ends), np.searchsorted(ends_b, ends)
         closes_a, closes_b = ends_a[at_a] == ends, ends_b[at_b] == ends
         codes = ids_a[at_a] | ids_b[at_b] << 30 | closes_a.astype(np.int64) << 60 | closes_b.astype(np.int64) << 61
-        # groups as text: each group's tokens of A, then those of B, with what stands behind each
+        links, first = [b""] * len(segments), 0
+        for k, stop in zip(use, (np.searchsorted(ends, np.cumsum([len(segments[k]) for k in use])) + 1).tolist()):
+            links[k] = codes[first:stop].tobytes()
+            first = stop
+        return links
+
+
+def group_texts(links: np.ndarray, n: np.ndarray) -> list[bytes]:
+    """The groups of segments as text, from their links, which lie one behind the other, n of each."""
+    out = []
+    stops = np.cumsum(n)
+    for k in range(0, len(n), 1 << 16):
+        first, stop = int(stops[k] - n[k]), int(stops[min(k + (1 << 16), len(n)) - 1])
+        some = links[first:stop]
+        closes_a, closes_b = some >> 60 & 1 == 1, some >> 61 & 1 == 1
         both = closes_a & closes_b
         group = np.cumsum(both) - both
-        group_a, group_b = group[np.flatnonzero(closes_a)], group[np.flatnonzero(closes_b)]
+        group_a, group_b = group[closes_a], group[closes_b]
+        # each group's tokens of A, then those of B, each with what stands behind it
         last_a, last_b = np.r_[group_a[1:] != group_a[:-1], True], np.r_[group_b[1:] != group_b[:-1], True]
-        words = [f"{i}|" if last else f"{i}," for i, last in zip(ids_a.tolist(), last_a.tolist())] + [f"{i};" if last else f"{i}," for i, last in zip(ids_b.tolist(), last_b.tolist())]
-        order = np.argsort(np.r_[2 * group_a, 2 * group_b + 1], kind="stable").tolist()
-        words = [words[k] for k in order]
-        links, groups, first, word = [b""] * len(segments), [b""] * len(segments), 0, 0
-        stops = np.searchsorted(ends, np.cumsum([len(segments[k]) for k in use])) + 1
-        for k, stop, x, y in zip(use, stops.tolist(), a, b):
-            links[k] = codes[first:stop].tobytes()
-            groups[k] = "".join(words[word : word + len(x) + len(y)])[:-1].encode()
-            first, word = stop, word + len(x) + len(y)
-        return links, groups
+        words = [f"{i}|" if last else f"{i}," for i, last in zip((some[closes_a] & _ID).tolist(), last_a.tolist())]
+        words += [f"{i};" if last else f"{i}," for i, last in zip((some[closes_b] >> 30 & _ID).tolist(), last_b.tolist())]
+        words = [words[x] for x in np.argsort(np.r_[2 * group_a, 2 * group_b + 1], kind="stable").tolist()]
+        tokens = np.r_[0, np.cumsum(closes_a.astype(np.int64) + closes_b)]
+        bounds = tokens[np.r_[0, stops[k : k + (1 << 16)] - first]].tolist()
+        out += ["".join(words[x:y])[:-1].encode() for x, y in zip(bounds, bounds[1:])]
+    return out
 
 
 def _aligned(a_path: str, b_path: str):
@@ -167,17 +177,11 @@ def _aligned(a_path: str, b_path: str):
         state = worker_state(f"both {a_path} {b_path}")
         if "both" not in state:
             state["both"] = Both(a_path, b_path)
-        links, groups = [], []
-        for first in range(0, len(items), 4096):
-            some = state["both"].align(items[first : first + 4096])
-            links += some[0]
-            groups += some[1]
+        links = [x for first in range(0, len(items), 4096) for x in state["both"].align(items[first : first + 4096])]
 
         def to(places: np.ndarray) -> tuple[bytes, bytes]:
-            own = places.tolist()
-            some = [links[k] for k in own]
-            counts = bl.pack(np.fromiter(map(len, some), np.uint32, len(some)) >> 3)
-            return struct.pack("<Q", len(counts)) + counts + bl.pack(np.frombuffer(b"".join(some), "<i8")), bl.pack_list([groups[k] for k in own])
+            some = [links[k] for k in places.tolist()]
+            return bl.pack(np.frombuffer(b"".join(some), "<i8")), bl.pack(np.fromiter(map(len, some), np.uint32, len(some)) >> 3)
 
         return to
 
@@ -186,13 +190,8 @@ def _aligned(a_path: str, b_path: str):
 
 def _links_of(block: bl.Block, facts: bl.Facts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(links, first, number of links) by the dictionary's numbers; none for segments that aren't given back whole."""
-    n, links = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-    for _, data, _ in facts.rows[ALIGNED]:
-        (size,) = struct.unpack_from("<Q", data)
-        n.append(bl.unpack(data[8 : 8 + size]).astype(np.int64))
-        links.append(bl.unpack(data[8 + size :], "<i8"))
-    n = np.concatenate(n)
-    return np.concatenate(links), block.by_number(np.cumsum(n) - n), block.by_number(n)
+    n = np.concatenate([np.zeros(0, np.int64), *(bl.unpack(r[2]).astype(np.int64) for r in facts.rows[ALIGNED])])
+    return facts.array(ALIGNED, "<i8"), block.by_number(np.cumsum(n) - n), block.by_number(n)
 
 
 def _spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -252,9 +251,8 @@ def _composed(block: bl.Block, facts: bl.Facts) -> dict:
         up_to = np.r_[0, np.cumsum(of)]
         doc_sums = block.sums((up_to[first + n] - up_to[first])[block.seq])
         out[c] = np.where(whole, doc_sums, 0).astype(np.int64)
-    groups = [x for r in facts.rows[ALIGNED] for x in bl.unpack_list(r[2])]
-    at = np.empty(len(groups), np.int64)
-    at[block.order] = np.arange(len(groups))
+    groups = group_texts(links, n[block.order])
+    at = block.by_number(np.arange(len(groups)))
     digests, last = [], 0
     for use, end in zip(whole.tolist(), np.cumsum(block.sizes).tolist()):
         digests.append(hashlib.sha256(b";".join(map(groups.__getitem__, at[block.seq[last:end]].tolist()))).hexdigest() if use else "")
@@ -266,10 +264,10 @@ def align(docs: DataFrame, a_path: str, b_path: str, key: str = "doc_id", size:
     """(key, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256) of each document."""
     spark = docs.sparkSession
     given = docs.select(F.col(key).cast("long").alias("id"), F.lit(True).alias("flag"), "text")
-    blocks = bl.encode(given, cutter(a_path, b_path), "segments", size)
+    blocks = bl.encode(given, cutter(a_path, b_path), "segments", size, hashes=False)
     facts = materialised(blocks.dictionary(_aligned(a_path, b_path), ALIGNED), "alignments")[0]
     release(spark)
-    held = blocks.map(facts.withColumn("more", F.lit(None).cast("binary")), _pairs_in(blocks.parts), bl.FACT)
+    held = blocks.map(facts, _pairs_in(blocks.parts), bl.FACT)
     facts = facts.unionByName(materialised(blocks.answered(held, _ranked, "<u4"), "pairs")[0])
     del held
     release(spark)
