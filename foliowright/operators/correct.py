@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from foliowright.functions import fixed, text
-from foliowright.operators import simjoin, vocab
+from foliowright.operators import patterns, rewrite, simjoin, vocab
 from foliowright.operators.tables import side_by_side
 
 
@@ -65,6 +65,16 @@ def confusion_replacements(counts: DataFrame, threshold: float = 0.90) -> DataFr
     return exact.unionByName(inside).where((F.col("confidence") >= threshold) & (F.col("word") != F.col("replacement")))
 
 
+def table_substrings(counts: DataFrame, table: DataFrame, least: int = 3) -> DataFrame:
+    """(word, corrected, confidence) like confusion_substrings, for a caller's table (ord, pattern, replacement) of any size.
+
+    Words that are a pattern themselves, as it is or in capitals, are left out.
+    """
+    listed = table.select(F.col("pattern").alias("word")).unionByName(table.select(F.upper("pattern").alias("word"))).distinct()
+    rows = patterns.replaced(counts.select("word").join(listed, "word", "left_anti"), table.where(F.length("pattern") >= least), shortest=least)
+    return rows.select("word", "corrected", F.lit(0.85).alias("confidence"))
+
+
 def confusion_substrings(counts: DataFrame) -> DataFrame:
     """(word, corrected, confidence): other words with a pattern of three letters or more inside."""
     word, out = F.col("word"), F.lit(None).cast("string")
@@ -111,6 +121,12 @@ def applied(found: DataFrame, threshold: float = 0.90) -> DataFrame:
     return found.where(first["confidence"] >= threshold).select("word", cased.alias("replacement"))
 
 
+def error_records(pages: DataFrame, found: DataFrame, width: int = 50) -> DataFrame:
+    """(page_index, original_word, position, error_types, suggested_corrections, context): a record for each place of a word of suggestions()."""
+    rows = rewrite.occurrences(pages, found, width)
+    return rows.select(F.col("index").alias("page_index"), F.col("word").alias("original_word"), "position", "error_types", F.col("suggestions").alias("suggested_corrections"), "context")
+
+
 # Hybrid ------------------------------------------------------------------------------
 
 

@@ -32,13 +32,20 @@ def rare_gates(counts: DataFrame) -> DataFrame:
     return rare(counts).where((F.length("word") >= 4) & ~text.is_caps(F.col("word")))
 
 
+def placed(markdown: Column) -> Column:
+    """The words of a text, each with its code-point offset; within the row and in linear time."""
+
+    def places(found: Column) -> Column:
+        ends = text.running_sums(F.zip_with(F.slice(found["gaps"], F.lit(1), F.size(found["words"])), found["words"], lambda g, w: g + F.length(w)))
+        return F.zip_with(found["words"], ends, lambda w, e: F.struct(w.alias("word"), (e - F.length(w)).alias("position")))
+
+    gaps = F.transform(F.split(markdown, text.WORD, -1), F.length)
+    return text.bound(F.struct(text.words(markdown).alias("words"), gaps.alias("gaps")), places)
+
+
 def _tokens(pages: DataFrame, *columns: Column) -> DataFrame:
     """The columns, tok_pos, word and position of each word; all within the page's row."""
-    markdown, found = F.col("markdown"), F.col("_found")
-    rows = pages.select(*columns, F.struct(text.words(markdown).alias("words"), F.transform(F.split(markdown, text.WORD, -1), F.length).alias("gaps")).alias("_found"))
-    ends = text.running_sums(F.zip_with(F.slice(found["gaps"], F.lit(1), F.size(found["words"])), found["words"], lambda g, w: g + F.length(w)))
-    placed = F.zip_with(found["words"], ends, lambda w, e: F.struct(w.alias("word"), (e - F.length(w)).alias("position")))
-    rows = rows.withColumn("_words", placed).drop("_found")
+    rows = pages.select(*columns, placed(F.col("markdown")).alias("_words"))
     return rows.select(*[c for c in rows.columns if c != "_words"], F.posexplode("_words").alias("tok_pos", "t")).select("*", "t.word", "t.position").drop("t")
 
 

@@ -185,6 +185,14 @@ ORACLE = {name: query(sql) for name, sql in {
     "unknown_words_anti_join": "SELECT word, n FROM unknown",
     "edit_distance_suggestions_top3": "SELECT word, suggestion, round(confidence, 2) AS confidence, rank FROM esug",
     "error_candidate_records": "SELECT doc_id AS page_index, position, offs.word AS original_word, error_types, suggestions FROM offs JOIN sug ON offs.word = sug.word",
+    "error_records": "SELECT doc_id AS page_index, offs.word AS original_word, position, error_types, suggestions, "
+    "substring(text, greatest(position - 50, 0) + 1, position + 50 - greatest(position - 50, 0)) AS context "
+    "FROM offs JOIN sug ON offs.word = sug.word JOIN documents USING (doc_id)",
+    "position_edited_pages": "SELECT d.doc_id AS index, coalesce(m, '') AS markdown, coalesce(k, 0) AS n_corrections FROM documents d LEFT JOIN ("
+    "SELECT doc_id, string_agg(CASE WHEN replacement IS NULL THEN piece WHEN nth = 1 THEN replacement ELSE upper(replacement) END, '' ORDER BY i) AS m, count(replacement) AS k "
+    "FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, piece ORDER BY i) AS nth FROM pieces) p LEFT JOIN swap ON piece = word GROUP BY doc_id) USING (doc_id)",
+    "pattern_contained_words": "SELECT word, min(pattern) AS pattern, replace(word, min(pattern), upper(min(pattern))) AS corrected FROM c "
+    "JOIN (SELECT DISTINCT lower(word) AS pattern FROM bw WHERE length(word) >= 4) ON contains(word, pattern) GROUP BY word",
     "auto_applied_pages": _REWRITTEN.format("SELECT word, CASE WHEN word = upper(word) THEN upper(first_suggestion) WHEN regexp_matches(word, '^[A-Z]') THEN upper(first_suggestion[1]) || lower(first_suggestion[2:]) ELSE first_suggestion END AS replacement FROM sug WHERE first_confidence >= 0.5::DOUBLE"),
     "errors_by_type": "SELECT error_type, sum(n)::BIGINT AS n FROM (SELECT unnest(string_split(error_types, '|')) AS error_type, n FROM sug JOIN c USING (word)) GROUP BY error_type",
     "top_errors": "SELECT word AS original, first_suggestion AS suggested, n AS count FROM sug JOIN c USING (word) ORDER BY n DESC, word LIMIT 50",

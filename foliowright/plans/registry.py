@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foliowright.functions import fixed, text
-from foliowright.operators import correct, discovery, headers, reports, rewrite, simjoin, speeches, vocab
+from foliowright.operators import correct, discovery, headers, patterns, reports, rewrite, simjoin, speeches, vocab
 from foliowright.plans.oracle import ORACLE
 from foliowright.sources import pages as src
 
@@ -29,10 +29,13 @@ class Corpus:
     def hyphen_counts(self) -> DataFrame:
         return vocab.word_counts(self.pages, hyphens=True)
 
+    @property
+    def listed(self) -> DataFrame:
+        return self.benchmark.select(F.explode(text.words(F.col("text"))).alias("w")).select(F.lower("w").alias("word")).distinct()
+
     @property
     def dictionary(self) -> DataFrame:
-        listed = self.benchmark.select(F.explode(text.words(F.col("text"))).alias("w")).select(F.lower("w").alias("word"))
-        return listed.unionByName(vocab.high_frequency(self.counts)).distinct()
+        return self.listed.unionByName(vocab.high_frequency(self.counts)).distinct()
 
     @property
     def candidates(self) -> DataFrame:
@@ -244,10 +247,32 @@ def edit_distance_suggestions_top3(c):
 def error_candidate_records(c):
     said = F.array_join(F.transform("suggestions", lambda s: F.concat(s["word"], F.lit(":"), F.format_string("%.2f", s["confidence"]))), "|")
     found = c.suggestions.select("word", F.array_join("error_types", "|").alias("error_types"), said.alias("suggestions"))
-    rows = vocab.token_positions(c.pages).join(found, "word")
+    rows = rewrite.occurrences(c.pages, found)
     return rows.select(F.col("index").alias("page_index"), "position", F.col("word").alias("original_word"), "error_types", "suggestions")
 
 
+@query
+def error_records(c):
+    said = F.array_join(F.transform("suggested_corrections", lambda s: F.concat(s["word"], F.lit(":"), F.format_string("%.2f", s["confidence"]))), "|")
+    rows = correct.error_records(c.pages, c.suggestions)
+    return rows.select("page_index", "original_word", "position", F.array_join("error_types", "|").alias("error_types"), said.alias("suggestions"), "context")
+
+
+@query
+def position_edited_pages(c):
+    """A word's first place in a page gets its replacement, later places the replacement in capitals."""
+    found = rewrite.occurrences(c.pages, correct.confusion_replacements(c.counts, 0.85).select("word", "replacement"))
+    edits = found.select("volume", "pos", "position", F.col("word").alias("original"), F.when(F.col("nth") == 1, F.col("replacement")).otherwise(F.upper("replacement")).alias("replacement"))
+    return _pages(rewrite.splice(c.pages, edits))
+
+
+@query
+def pattern_contained_words(c):
+    """Words of the corpus with a word of the benchmark inside, the first by letters in capitals."""
+    table = c.listed.where(F.length("word") >= 4).select(F.col("word").alias("ord"), F.col("word").alias("pattern"), F.upper("word").alias("replacement"))
+    return patterns.replaced(c.counts, table, shortest=4)
+
+
 @query
 def auto_applied_pages(c):
     return _pages(rewrite.rewrite(c.pages, correct.applied(c.suggestions, 0.5)))

@@ -28,6 +28,44 @@ def read_pages(spark: SparkSession, path: str, volume: str = "volume") -> DataFr
     return rows.select("volume", F.col("pos").cast("long").alias("pos"), "page.index", "page.global_index", F.coalesce("page.markdown", F.lit("")).alias("markdown"), "page.header")
 
 
+KNOWN = ("index", "global_index", "markdown", "header")
+
+
+def _others(value, *known: str):
+    """The fields of a JSON object but those known, as a JSON object with their types; null if there are none."""
+    fields = F.map_filter(value.cast("map<string,variant>"), lambda k, _: ~k.isin(*known))
+    return F.when(F.size(fields) > 0, F.to_json(fields))
+
+
+def read_whole_pages(spark: SparkSession, path: str, volume: str = "volume") -> DataFrame:
+    """Pages like read_pages(), and in `extra` every other field that a page has, as a JSON object.
+
+    A page is read as one value of any shape, so that fields of any type come back as they
+    were. Pages that aren't objects are an error.
+    """
+    raw = spark.read.text(path, wholetext=True).select(F.coalesce(F.regexp_extract(F.input_file_name(), r"([^/]+?)(?:\.[^./]*)?$", 1), F.lit(volume)).alias("volume"), "value")
+    is_list = F.regexp_replace("value", r"\A\s+", "").startswith("[")
+    # pages as they are written: no value of a whole document is made
+    listed = F.when(is_list, F.from_json("value", T.ArrayType(T.StringType()))).otherwise(F.from_json("value", "pages array<string>")["pages"])
+    checked = F.when(listed.isNull(), F.raise_error(F.lit("a document with `pages`, or a list of pages, is expected")).cast("array<string>")).otherwise(listed)
+    page = F.parse_json("page")
+    rows = raw.select("volume", F.posexplode(checked).alias("pos", "page")).select("volume", F.col("pos").cast("long").alias("pos"), page.alias("_page"))
+    one = lambda name, kind: F.try_variant_get("_page", f"$.{name}", kind).alias(name)
+    return rows.select(
+        "volume", "pos", one("index", "bigint"), one("global_index", "bigint"), F.coalesce(F.try_variant_get("_page", "$.markdown", "string"), F.lit("")).alias("markdown"),
+        one("header", "string"), _others(F.col("_page"), *KNOWN).alias("extra"),
+    )
+
+
+def read_document_fields(spark: SparkSession, path: str, volume: str = "volume") -> DataFrame:
+    """(volume, extra): the fields of a document beside its pages, as a JSON object; null for a bare list."""
+    raw = spark.read.text(path, wholetext=True).select(F.coalesce(F.regexp_extract(F.input_file_name(), r"([^/]+?)(?:\.[^./]*)?$", 1), F.lit(volume)).alias("volume"), "value")
+    is_list = F.regexp_replace("value", r"\A\s+", "").startswith("[")
+    # the names and their raw values, each parsed for itself
+    names = F.filter(F.json_object_keys("value"), lambda k: k != "pages")
+    return raw.select("volume", F.when(~is_list & (F.size(names) > 0), _others(F.from_json("value", "map<string,variant>").cast("variant"), "pages")).alias("extra"))
+
+
 def read_word_list(spark: SparkSession, path: str) -> DataFrame:
     """Distinct lower-case words, one a line."""
     return spark.read.text(path).select(F.lower(text.strip(F.col("value"))).alias("word")).where("word <> ''").distinct()
