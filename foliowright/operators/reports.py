@@ -30,6 +30,16 @@ def discovery_report(counts: DataFrame, found: DataFrame) -> DataFrame:
     return side_by_side(**{c: totals.select(c) for c in totals.columns}, error_candidates=by_count, substitution_patterns=by_pattern)
 
 
+def discovery_parts(counts: DataFrame, found: DataFrame) -> tuple[DataFrame, dict]:
+    """(head, lists) of the discovery report for sinks.write_report_parts, whatever its length."""
+    candidates = found.select("rare_word", "suggested_correction", "rare_count", "correct_count", "edit_distance")
+    substitutions = discovery.patterns(found).withColumnRenamed("meant", "right").select("wrong", "right", "count")
+    return discovery.summary(counts), {
+        "error_candidates": (candidates, [-F.col("rare_count"), F.col("rare_word")]),
+        "substitution_patterns": (substitutions, [-F.col("count"), F.col("wrong"), F.col("right")]),
+    }
+
+
 def correction_report(pages: DataFrame, made: DataFrame, **more) -> DataFrame:
     """Pages, corrections and each kind of them; made: (original, corrected, count) and, if known, confidence. more: further values or one-row tables."""
     fields = [c for c in ("original", "corrected", "count", "confidence") if c in made.columns]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -31,9 +31,9 @@ def read_pages(spark: SparkSession, path: str, volume: str = "volume") -> DataFr
 KNOWN = ("index", "global_index", "markdown", "header")
 
 
-def _others(value, *known: str):
-    """The fields of a JSON object but those known, as a JSON object with their types; null if there are none."""
-    fields = F.map_filter(value.cast("map<string,variant>"), lambda k, _: ~k.isin(*known))
+def _others(fields: Column, *known: str) -> Column:
+    """Fields (a map to values) but those known, as a JSON object with their types; null if there are none."""
+    fields = F.map_filter(fields, lambda k, _: ~k.isin(*known))
     return F.when(F.size(fields) > 0, F.to_json(fields))
 
 
@@ -53,17 +53,18 @@ def read_whole_pages(spark: SparkSession, path: str, volume: str = "volume") ->
     one = lambda name, kind: F.try_variant_get("_page", f"$.{name}", kind).alias(name)
     return rows.select(
         "volume", "pos", one("index", "bigint"), one("global_index", "bigint"), F.coalesce(F.try_variant_get("_page", "$.markdown", "string"), F.lit("")).alias("markdown"),
-        one("header", "string"), _others(F.col("_page"), *KNOWN).alias("extra"),
+        one("header", "string"), _others(F.col("_page").cast("map<string,variant>"), *KNOWN).alias("extra"),
     )
 
 
 def read_document_fields(spark: SparkSession, path: str, volume: str = "volume") -> DataFrame:
-    """(volume, extra): the fields of a document beside its pages, as a JSON object; null for a bare list."""
+    """(volume, extra): the fields of a document beside its pages, as a JSON object; null for a bare list.
+
+    A field's value may be as large as Spark's variants may (128 MB), pages included.
+    """
     raw = spark.read.text(path, wholetext=True).select(F.coalesce(F.regexp_extract(F.input_file_name(), r"([^/]+?)(?:\.[^./]*)?$", 1), F.lit(volume)).alias("volume"), "value")
     is_list = F.regexp_replace("value", r"\A\s+", "").startswith("[")
-    # the names and their raw values, each parsed for itself
-    names = F.filter(F.json_object_keys("value"), lambda k: k != "pages")
-    return raw.select("volume", F.when(~is_list & (F.size(names) > 0), _others(F.from_json("value", "map<string,variant>").cast("variant"), "pages")).alias("extra"))
+    return raw.select("volume", F.when(~is_list, _others(F.from_json("value", "map<string,variant>"), "pages")).alias("extra"))
 
 
 def read_word_list(spark: SparkSession, path: str) -> DataFrame:

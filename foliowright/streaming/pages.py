@@ -10,9 +10,10 @@ from foliowright.operators import headers
 SCHEMA = "volume string, pos bigint, index bigint, global_index bigint, markdown string, header string"
 
 
-def read_stream(spark: SparkSession, path: str) -> DataFrame:
-    """Pages as JSON lines, as they arrive in a folder."""
-    return spark.readStream.schema(SCHEMA).json(path)
+def read_stream(spark: SparkSession, path: str, files: int | None = None) -> DataFrame:
+    """Pages as JSON lines, as they arrive in a folder; at most so many files at a time, if a number is given."""
+    reader = spark.readStream.schema(SCHEMA)
+    return (reader.option("maxFilesPerTrigger", files) if files else reader).json(path)
 
 
 def clean(pages: DataFrame) -> DataFrame:
