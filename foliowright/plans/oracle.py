@@ -76,6 +76,16 @@ PARTS: dict[str, str] = {
     "esug": "SELECT word, near AS suggestion, least(0.5::DOUBLE * (1::DOUBLE - distance / 2::DOUBLE) + 0.3::DOUBLE, 1::DOUBLE) AS confidence, (rank + 99)::INT AS ord, rank FROM epairs WHERE rank <= 3",
     "sug": "SELECT word, string_agg(suggestion || ':' || printf('%.2f', confidence), '|' ORDER BY ord) AS suggestions, CASE WHEN min(ord) < 100 THEN 'unknown_word|confusion_pattern' ELSE 'unknown_word' END AS error_types, arg_min(suggestion, ord) AS first_suggestion, arg_min(confidence, ord) AS first_confidence "
     "FROM (SELECT word, suggestion, confidence, ord FROM csug UNION ALL SELECT word, suggestion, confidence, ord FROM esug) GROUP BY word",
+    "stems": "SELECT DISTINCT lower(word) AS stem FROM bw WHERE length(word) >= 4",
+    "sfxed": "SELECT stem, stem AS word FROM stems UNION ALL "
+    "SELECT stem, left(stem, length(stem) - length(strip)) || added FROM stems JOIN (VALUES ('S', 'y', 'ies', '[^aeiou]y'), ('S', '', 's', '[^sxy]'), ('S', '', 'es', '[sx]'), ('D', '', 'd', 'e'), ('D', '', 'ed', '[^ey]')) "
+    "t(flag, strip, added, cond) ON (flag = 'S' OR length(stem) % 2 = 0) AND ends_with(stem, strip) AND regexp_matches(stem, cond || '$')",
+    "forms": "SELECT DISTINCT word, stem FROM (SELECT word, stem FROM sfxed UNION ALL SELECT 'un' || word, stem FROM sfxed WHERE length(stem) % 3 = 0)",
+    "awrong": "SELECT word FROM c WHERE n <= 3 AND regexp_full_match(word, '[a-z]{5,}') AND word NOT IN (SELECT word FROM forms)",
+    "apairs": "SELECT w.word, f.word AS near, levenshtein(w.word, f.word) AS distance FROM awrong w JOIN (SELECT word, ascii(word) + i AS letter, length(word) + j AS size "
+    "FROM (SELECT DISTINCT word FROM forms), range(-2, 3) t(i), range(-2, 3) s(j)) f ON ascii(w.word) = letter AND length(w.word) = size",
+    "agrams": "SELECT word, list_distinct(flatten(list_transform(range(1, 4), lambda n: list_transform(range(1, length(word) - n + 2), lambda i: substring(word, i, n))))) AS g "
+    "FROM (SELECT word FROM awrong UNION SELECT word FROM forms)",
     "hopen": "SELECT word, n FROM hc WHERE length(word) > 2 AND NOT (length(word) > 4 AND word = upper(word))",
     "hbad": f"SELECT word, n FROM hopen WHERE lower(word) NOT IN (SELECT word FROM dict) AND word NOT IN {_list(fixed.WHITELIST)}",
     "hpairs": "SELECT word, wn, near, n, distance, row_number() OVER (PARTITION BY word ORDER BY distance, n DESC, near) AS rank FROM (SELECT u.word, u.n AS wn, k.near, k.n, levenshtein(lower(u.word), k.near) AS distance FROM hbad u JOIN "
@@ -193,6 +203,10 @@ ORACLE = {name: query(sql) for name, sql in {
     "FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, piece ORDER BY i) AS nth FROM pieces) p LEFT JOIN swap ON piece = word GROUP BY doc_id) USING (doc_id)",
     "pattern_contained_words": "SELECT word, min(pattern) AS pattern, replace(word, min(pattern), upper(min(pattern))) AS corrected FROM c "
     "JOIN (SELECT DISTINCT lower(word) AS pattern FROM bw WHERE length(word) >= 4) ON contains(word, pattern) GROUP BY word",
+    "affix_forms": "SELECT word, stem FROM forms",
+    "affix_suggestions_top3": "SELECT word, near AS suggestion, rank, round(score, 6) AS score FROM (SELECT *, row_number() OVER (PARTITION BY word ORDER BY distance, score DESC, near) AS rank FROM ("
+    "SELECT p.word, near, distance, len(list_intersect(a.g, b.g))::DOUBLE / (len(a.g) + len(b.g) - len(list_intersect(a.g, b.g))) AS score "
+    "FROM apairs p JOIN agrams a ON a.word = p.word JOIN agrams b ON b.word = near WHERE distance BETWEEN 1 AND 2)) WHERE rank <= 3",
     "auto_applied_pages": _REWRITTEN.format("SELECT word, CASE WHEN word = upper(word) THEN upper(first_suggestion) WHEN regexp_matches(word, '^[A-Z]') THEN upper(first_suggestion[1]) || lower(first_suggestion[2:]) ELSE first_suggestion END AS replacement FROM sug WHERE first_confidence >= 0.5::DOUBLE"),
     "errors_by_type": "SELECT error_type, sum(n)::BIGINT AS n FROM (SELECT unnest(string_split(error_types, '|')) AS error_type, n FROM sug JOIN c USING (word)) GROUP BY error_type",
     "top_errors": "SELECT word AS original, first_suggestion AS suggested, n AS count FROM sug JOIN c USING (word) ORDER BY n DESC, word LIMIT 50",

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foliowright.functions import fixed, text
-from foliowright.operators import correct, discovery, headers, patterns, reports, rewrite, simjoin, speeches, vocab
+from foliowright.operators import correct, discovery, headers, patterns, reports, rewrite, simjoin, speeches, spelling, vocab
 from foliowright.plans.oracle import ORACLE
 from foliowright.sources import pages as src
 
@@ -273,6 +273,34 @@ def pattern_contained_words(c):
     return patterns.replaced(c.counts, table, shortest=4)
 
 
+#: rules of a small affix dictionary: kind, flag, strip, add, condition
+AFFIXES = (
+    ("SFX", "S", "y", "ies", "[^aeiou]y"), ("SFX", "S", "", "s", "[^sxy]"), ("SFX", "S", "", "es", "[sx]"), ("SFX", "D", "", "d", "e"), ("SFX", "D", "", "ed", "[^ey]"),
+    ("PFX", "U", "", "un", ""),
+)
+
+
+def _forms(c):
+    """Forms of the benchmark's words, whose flags go by their lengths."""
+    size = F.length("word")
+    flags = F.array_compact(F.array(F.lit("S"), F.when(size % 2 == 0, "D"), F.when(size % 3 == 0, "U")))
+    stems = c.listed.where(size >= 4).select(F.col("word").alias("stem"), flags.alias("flags"))
+    rules = stems.sparkSession.createDataFrame([(k, f, True, s, a, [], w) for k, f, s, a, w in AFFIXES], "kind string, flag string, cross boolean, strip string, add string, more array<string>, condition string")
+    return spelling.expand(stems, rules)
+
+
+@query
+def affix_forms(c):
+    return _forms(c).select("word", "stem")
+
+
+@query
+def affix_suggestions_top3(c):
+    forms = _forms(c)
+    wrong = spelling.check(c.counts.where((F.col("n") <= 3) & F.col("word").rlike("^[a-z]{5,}$")), forms)
+    return spelling.suggest(wrong, forms, k=3).select("word", "suggestion", "rank", F.round("score", 6).alias("score"))
+
+
 @query
 def auto_applied_pages(c):
     return _pages(rewrite.rewrite(c.pages, correct.applied(c.suggestions, 0.5)))
