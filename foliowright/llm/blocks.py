@@ -16,6 +16,7 @@ hash.
 
 from __future__ import annotations
 
+import functools
 import struct
 from collections import defaultdict
 from collections.abc import Callable
@@ -84,6 +85,7 @@ def arrow_schema(ddl: str):
 def _tidy(run: Callable) -> Callable:
     """run, after which the worker gives the memory that it no longer uses back to the system."""
 
+    @functools.wraps(run)  # Spark reads how many tables run takes off its signature
     def out(*tables):
         try:
             return run(*tables)
