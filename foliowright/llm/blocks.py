@@ -16,7 +16,6 @@ hash.
 
 from __future__ import annotations
 
-import functools
 import struct
 from collections import defaultdict
 from collections.abc import Callable
@@ -82,17 +81,23 @@ def arrow_schema(ddl: str):
     return pa.schema([(name, kinds[kind]) for name, kind in (c.split() for c in ddl.split(","))])
 
 
-def _tidy(run: Callable) -> Callable:
-    """run, after which the worker gives the memory that it no longer uses back to the system."""
+def _tidy(run: Callable, both: bool = False) -> Callable:
+    """run, after which the worker gives the memory that it no longer uses back to the system; both: run takes two tables."""
 
-    @functools.wraps(run)  # Spark reads how many tables run takes off its signature
-    def out(*tables):
+    def one(table):
         try:
-            return run(*tables)
+            return run(table)
         finally:
             trim()
 
-    return out
+    def two(left, right):
+        try:
+            return run(left, right)
+        finally:
+            trim()
+
+    # Spark reads off the signature what a function takes
+    return two if both else one
 
 
 def nullable(ids: np.ndarray, absent: np.ndarray):
@@ -229,7 +234,7 @@ class Blocks:
             return pa.table(rows, schema=arrow_schema(schema)) if isinstance(rows, dict) else pa.Table.from_pylist(rows, schema=arrow_schema(schema))
 
         told = facts.select("block", "kind", "i", "data", "more")
-        return self.rows.repartition(self.tasks, "block").groupBy("block").cogroup(told.repartition(self.tasks, "block").groupBy("block")).applyInArrow(_tidy(one), schema)
+        return self.rows.repartition(self.tasks, "block").groupBy("block").cogroup(told.repartition(self.tasks, "block").groupBy("block")).applyInArrow(_tidy(one, both=True), schema)
 
 
 def _hashes(items: list[bytes]) -> np.ndarray:
