@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 from foliowright.functions import fixed
-from foliowright.sources.pages import DERIVED
+from foliowright.sources.pages import DERIVED, VARIED
 
 _C = r"[\s\x0b\x1c-\x1f\x{85}\p{Z}]"
 
 
+#: headings that need no similarity
+_EXACT = "'^(?:HOUSE OF LORDS|HOUSE OF COMMONS)'"
+
+
 def _q(x: str) -> str:
     return "'" + x.replace("'", "''") + "'"
 
@@ -96,7 +100,7 @@ PARTS: dict[str, str] = {
         + (CASE distance WHEN 1 THEN 0.3::DOUBLE WHEN 2 THEN 0.2::DOUBLE ELSE 0::DOUBLE END) END AS confidence FROM hpairs WHERE rank = 1""",
     "dv": f"SELECT doc_id, (doc_id - doc_id % 3400) // 3400 AS volume, {DERIVED} AS md FROM documents",
     "head": rf"SELECT *, {_strip('regexp_extract(md, ' + _q('(?s)' + fixed.HEADER_AND_REST) + ', 1)')} AS line, regexp_extract(md, {_q('(?s)' + fixed.HEADER_AND_REST)}, 2) AS rest FROM dv",
-    "headed": "SELECT *, line <> '' AND (" + (house := lambda x: f"(starts_with({_strip('upper(' + x + ')')}, 'HOUSE OF LORDS') OR starts_with({_strip('upper(' + x + ')')}, 'HOUSE OF COMMONS'))")("line") + f" OR regexp_matches({_strip('line')}, {_q(fixed.DATE_HEADER)})) AS is_header FROM head",
+    "headed": "SELECT *, line <> '' AND (" + (house := lambda x: f"regexp_matches({_strip('upper(' + x + ')')}, {_EXACT})")("line") + f" OR regexp_matches({_strip('line')}, {_q(fixed.DATE_HEADER)})) AS is_header FROM head",
     "foot": rf"SELECT doc_id, volume, CASE WHEN is_header THEN line END AS header, regexp_replace(regexp_replace(CASE WHEN is_header THEN rest ELSE md END, {_q('(?i)' + fixed.FOOTER)}, ''), '{_C}+\z', '') AS md FROM headed",
     "h1": rf"SELECT *, {_lstrip('md')} AS bare, regexp_extract(regexp_extract({_lstrip('md')}, '^[a-z]+'), '^[a-z]{{1,15}}$') AS frag FROM foot",
     "h2": rf"SELECT *, frag <> '' AND NOT ({house('string_split(bare, chr(10))[1]')} OR regexp_matches({_strip('string_split(bare, chr(10))[1]')}, {_q(fixed.DATE_HEADER)})) AS ok, bare[length(frag) + 1 :] AS rest FROM h1",
@@ -232,3 +236,12 @@ ORACLE = {name: query(sql) for name, sql in {
     "page_sample_first_n": "SELECT doc_id AS index, length(text) AS chars FROM documents WHERE doc_id % 3400 < 100",
     "page_sample_every_10th": "SELECT doc_id AS index, length(text) AS chars FROM documents WHERE doc_id % 3400 % 10 = 0",
 }.items()}
+
+# Misspelled headings and months of the varied pages, and what the similarity ratio makes of them; SQL has no such ratio.
+_ALIKE = "'^(?:HOUSE OF LORDS|HOUSE OF COMMONS|HOUSE OF LOEDS|HOUSE OF C0MMONS|HOUSE OF CORRECTION)'"
+_MONTHS = "CASE upper(g.month) WHEN 'JUII' THEN 'JUNII' WHEN 'MAIL' THEN 'MAII' ELSE upper(g.month) END)::BIGINT"
+
+ORACLE |= {
+    f"varied_{name}": ORACLE[name].replace(DERIVED, VARIED).replace(_EXACT, _ALIKE).replace("upper(g.month))::BIGINT", _MONTHS)
+    for name in ("entity_counts", "house_header_fuzzy", "header_extracted_pages", "latin_dates", "detected_speakers", "multi_speaker_chunks", "running_context", "speeches")
+}

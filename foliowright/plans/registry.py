@@ -456,4 +456,18 @@ def page_sample_every_10th(c):
     return _sizes(src.every_nth_page(c.pages))
 
 
+def _varied(name: str) -> None:
+    """The query of that name over the varied pages."""
+
+    def build(spark: SparkSession, sf_dir: str) -> DataFrame:
+        c = Corpus(spark, sf_dir)
+        c.derived = src.derived(c.docs, src.VARIED)
+        return QUERIES_OF[name](c)
+
+    QUERIES[f"varied_{name.rstrip('_')}"] = build
+
+
+for _name in ("entity_counts", "house_header_fuzzy", "header_extracted_pages", "latin_dates", "detected_speakers", "multi_speaker_chunks", "running_context", "speeches_"):
+    _varied(_name)
+
 __all__ = ["ORACLE", "QUERIES", "fixed"]

@@ -100,9 +100,31 @@ DERIVED = (
 )
 
 
-def derived(docs: DataFrame) -> DataFrame:
+#: Misspelled headings and months, several dates and labels, names that are no speakers, and a label that is too long.
+VARIED = (
+    "CASE doc_id % 20"
+    " WHEN 0 THEN 'HOUSE OF LORDS, MARTIS, 4° DIE FEBRUARII, 1834.' || chr(10) || chr(10)"
+    " WHEN 1 THEN 'HOUSE OF COMMONS, LUNAE, 17° DIE MARTII, 1834.' || chr(10) || chr(10)"
+    " WHEN 2 THEN 'HOUSE OF LOEDS.' || chr(10) || chr(10)"
+    " WHEN 3 THEN 'HOUSE OF C0MMONS, 110 181001' || chr(10) || chr(10)"
+    " WHEN 4 THEN 'HOUSE OF LORDS, JOVIS, 5° DIE JUII, 1834.' || chr(10) || chr(10)"
+    " WHEN 5 THEN 'HOUSE OF COMMONS, VENERIS, 9° DIE MAIL, 1833.' || chr(10) || chr(10)"
+    " WHEN 6 THEN 'HOUSE OF CORRECTION' || chr(10) || chr(10)"
+    " WHEN 7 THEN 'HOUSES OF PARLIAMENT' || chr(10) || chr(10)"
+    " WHEN 8 THEN 'Mr. HANDLEY.—' WHEN 9 THEN 'LORD ALTHORP.—' WHEN 10 THEN 'The SPEAKER.—' WHEN 11 THEN 'EARL GREY.—' WHEN 12 THEN 'Sir ROBERT PEEL.—'"
+    " WHEN 13 THEN 'THE NOBLE DUKE — '"
+    " WHEN 14 THEN 'Sir ' || repeat('Bartholomew ', 8) || 'moved '"
+    " WHEN 15 THEN 'AGRICULTURAL DISTRESS.' || chr(10) || chr(10)"
+    " WHEN 16 THEN 'House of Commons' || chr(10) || chr(10)"
+    " WHEN 17 THEN 'Several Irish Members together.—'"
+    " WHEN 18 THEN 'FEBRUARY 11.1' || chr(10) || chr(10) ELSE '' END"
+    " || replace(coalesce(text, ''), chr(10), chr(10) || chr(10))"
+)
+
+
+def derived(docs: DataFrame, prefix: str = DERIVED) -> DataFrame:
     """Pages with structure, made from documents."""
-    return from_documents(docs.withColumn("text", F.expr(DERIVED)))
+    return from_documents(docs.withColumn("text", F.expr(prefix)))
 
 
 def first_pages(pages: DataFrame, n: int) -> DataFrame:
