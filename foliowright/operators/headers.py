@@ -45,16 +45,20 @@ _TAIL = r"\S-\s*\z"
 BLOCK = 512
 
 
-def _fragments(pages: DataFrame) -> DataFrame:
-    """pages with _eligible, _fragment (the first letters that a page could give up) and _without (its text without them)."""
-    bare = text.lstrip(F.col("markdown"))
-    fragment = F.regexp_extract(bare, r"^([a-z]{1,15})(?![a-z])", 1)
-    first_line = F.split(bare, "\n", 2)[0]
-    rows = pages.withColumn("_fragment", fragment).withColumn("_eligible", F.when(F.col("_fragment") != "", ~is_header(first_line)).otherwise(False))
-    lead = F.left("markdown", F.length("markdown") - F.length(bare))
-    rest = F.substr(bare, F.length("_fragment") + 1)
-    kept = F.when((rest != "") & ~rest.rlike(r"\A[\s\x1c-\x1f\x85\p{Z}]"), F.concat(lead, rest)).otherwise(text.lstrip(rest))
-    return rows.withColumn("_without", F.when(F.col("_eligible"), kept).otherwise(F.col("markdown")))
+def _fragment(markdown: Column) -> Column:
+    """The first letters that a page could give up; empty if it has none."""
+    return F.regexp_extract(text.lstrip(markdown), r"^([a-z]{1,15})(?![a-z])", 1)
+
+
+def _without(markdown: Column) -> Column:
+    """A page's text without these."""
+
+    def cut(bare: Column) -> Column:
+        lead = F.left(markdown, F.length(markdown) - F.length(bare))
+        rest = F.substr(bare, F.length(_fragment(bare)) + 1)
+        return F.when((rest != "") & ~rest.rlike(r"\A[\s\x1c-\x1f\x85\p{Z}]"), F.concat(lead, rest)).otherwise(text.lstrip(rest))
+
+    return text.bound(text.lstrip(markdown), cut)
 
 
 def _runs(rows: DataFrame, by: list[str], order: str, sure: Column, turns: Column) -> DataFrame:
@@ -76,9 +80,12 @@ def broken_words(pages: DataFrame, block: int = BLOCK) -> DataFrame:
     blocks says how each begins. Only flags and fragments are exchanged, and no task holds
     more than a block of pages or the steps of a volume's blocks.
     """
-    flags = _fragments(pages).select(
+    rows = pages.select("volume", "pos", "markdown", _fragment(F.col("markdown")).alias("_fragment"))
+    rows = rows.withColumn("_eligible", F.when(F.col("_fragment") != "", ~is_header(F.split(text.lstrip(F.col("markdown")), "\n", 2)[0])).otherwise(False))
+    raw = F.col("markdown").rlike(_TAIL)
+    flags = rows.select(
         "volume", "pos", (F.col("pos") - F.pmod("pos", F.lit(block))).alias("_block"), F.struct(F.col("_eligible").alias("eligible"), F.col("_fragment").alias("fragment")).alias("_own"),
-        F.col("markdown").rlike(_TAIL).alias("_raw"), F.when(F.col("_eligible"), F.col("_without").rlike(_TAIL)).otherwise(F.col("markdown").rlike(_TAIL)).alias("_still"),
+        raw.alias("_raw"), F.when(F.col("_eligible"), _without(F.col("markdown")).rlike(_TAIL)).otherwise(raw).alias("_still"),
     )
     fixed_ = F.when(~F.col("_own.eligible") | (F.col("_raw") == F.col("_still")), F.col("_raw"))
     by = ["volume", "_block"]
@@ -106,8 +113,7 @@ def join_hyphens(pages: DataFrame, block: int = BLOCK) -> DataFrame:
     found = broken_words(pages, block).select(F.col("volume").alias("_volume"), F.col("pos").alias("_pos"), F.col("gives").alias("_gives"), F.col("fragment").alias("_gets"))
     here = F.col("volume").eqNullSafe(F.col("_volume")) & (F.col("pos") == F.col("_pos"))
     rows = pages.join(found, here, "left")
-    own = F.when(F.col("_gives"), F.col("_without")).otherwise(F.col("markdown"))
-    rows = _fragments(rows).withColumn("_own", own)
+    rows = rows.withColumn("_own", F.when(F.col("_gives"), _without(F.col("markdown"))).otherwise(F.col("markdown")))
     joined = F.concat(F.regexp_replace("_own", r"-\s*\z", ""), "_gets")
     rows = rows.withColumn("markdown", F.when(F.col("_gets").isNotNull(), joined).otherwise(F.col("_own")))
     return rows.drop(*[c for c in rows.columns if c.startswith("_")])
