@@ -5,6 +5,7 @@ from __future__ import annotations
 import ctypes
 import functools
 import gc
+import re
 import sys
 import tempfile
 import types
@@ -26,11 +27,14 @@ def apart(docs: DataFrame, *used: str) -> tuple[DataFrame, list[str]]:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: the session's spark.checkpoint.dir.
 
-    Where the session names none (tests, one machine), a temporary one is set.
+    Where the session names none, a temporary one is set on one machine; on a cluster, whose
+    executors wouldn't see it, that is an error.
     """
     sc = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if sc._jsc.sc().getCheckpointDir().isEmpty():
+        if not named and not re.match(r"local(\[|$)", sc.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="foliowright-"))
     return named or sc._jsc.sc().getCheckpointDir().get()
 
