@@ -134,7 +134,9 @@ def _diverge(depth: int, parts: int, least: int, alpha: float, total: int, disti
             left_out = (found - 1 + alpha * shorter) / (level.seen - 1 + alpha)
             gain = np.log(np.maximum(left_out, 1e-300) / shorter) - divergence
             contexts, at = np.unique(level.contexts, return_inverse=True)
-            out += bl.asked(block.block, KEPT + length, contexts, np.bincount(at, weights=np.where(mine, gain, 0), minlength=len(contexts)), parts)
+            # a block's share in half the bytes; shares are summed in double precision
+            own = np.bincount(at, weights=np.where(mine, gain, 0), minlength=len(contexts)).astype("<f4")
+            out += bl.asked(block.block, KEPT + length, contexts, own, parts)
         return out
 
     return run
@@ -185,7 +187,7 @@ def score(docs: DataFrame, key: str = "doc_id", training: Column | None = None,
         del requests
         release(spark)
     gains = blocks.map(facts, _diverge(depth, parts, least, alpha, total, distinct, divergence), bl.FACT)
-    facts = facts.unionByName(materialised(blocks.answered(gains, lambda codes, gain: gain > 0, "<f8"), "facts")[0])
+    facts = facts.unionByName(materialised(blocks.answered(gains, lambda codes, gain: gain > 0, "<f4"), "facts")[0])
     del gains
     release(spark)
     rows = blocks.map(facts, _score(depth, least, alpha, total, distinct), "id long, flag boolean, n_tokens long, n_known long, base_score double, score double")
