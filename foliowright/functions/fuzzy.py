@@ -67,18 +67,23 @@ def ratio(a: Column, b: Column) -> Column:
     return F.when(sizes == 0, F.lit(1.0)).otherwise(bound(letters(a), lambda x: bound(letters(b), lambda y: matched(x, y))) * 2.0 / sizes)
 
 
-def at_most(text: Column, target: str) -> Column:
+def at_most(a: Column, b: Column) -> Column:
+    """An upper bound of the ratio of two texts, from their edit distance: what isn't matched is taken out of one and put into the other."""
+    return F.lit(1.0) - F.levenshtein(a, b) / F.greatest(F.length(a) + F.length(b), F.lit(1))
+
+
+def letters_at_most(text: Column, target: str) -> Column:
     """An upper bound of the ratio: letters in common, wherever they stand."""
     common = sum((F.least(count_in(text, F.lit(c)), F.lit(target.count(c))) for c in sorted(set(target))), F.lit(0))
     return common * 2.0 / (F.length(text) + len(target))
 
 
 def house_like(prefix: Column) -> Column:
-    """Whether upper-case text starts about like a house's heading. Blocks are searched only where enough letters are in common."""
+    """Whether upper-case text starts about like a house's heading. Blocks are searched only where the bounds allow it."""
 
     def like(n: int, house: str) -> Column:
         start = F.left(prefix, F.lit(n))
-        return F.when(at_most(start, house) < 0.75, False).otherwise(ratio(start, F.lit(house)) >= 0.75)
+        return F.when(at_most(start, F.lit(house)) < 0.75, False).when(letters_at_most(start, house) < 0.75, False).otherwise(ratio(start, F.lit(house)) >= 0.75)
 
     return F.coalesce(like(15, "HOUSE OF LORDS") | like(17, "HOUSE OF COMMONS"), F.lit(False))
 
@@ -88,7 +93,7 @@ def latin_month(token: Column) -> Column:
 
     def near(month: Column) -> Column:
         close = (F.length(token) <= 3 * F.length(month)) & (F.length(month) <= 3 * F.length(token))
-        return F.struct(F.when(close, ratio(month, token)).alias("ratio"), month.alias("month"))
+        return F.struct(F.when(close, F.when(at_most(month, token) >= 0.5, ratio(month, token))).alias("ratio"), month.alias("month"))
 
     names = F.array(*map(F.lit, LATIN_MONTHS))
     best = F.array_max(F.filter(F.transform(names, near), lambda x: x["ratio"] >= 0.5))

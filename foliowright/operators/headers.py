@@ -33,8 +33,10 @@ def extract_headers(pages: DataFrame) -> DataFrame:
     """header and markdown set from a header line with a blank line behind it."""
     # blank lines are never given back, so the matcher needn't recurse for each
     pattern = "(?sd)" + fixed.HEADER_AND_REST.replace(r"\n)*", r"\n)*+")
-    line = text.strip(F.regexp_extract("markdown", pattern, 1))
-    rows = pages.withColumn("_line", line).withColumn("_is", (F.col("_line") != "") & is_header(F.col("_line")))
+    # the whole text is matched only where its first line could be a header
+    first = text.strip(F.split(text.lstrip(F.col("markdown")), "\n", 2)[0])
+    line = F.when(is_header(first), text.strip(F.regexp_extract("markdown", pattern, 1)))
+    rows = pages.withColumn("_line", line).withColumn("_is", F.coalesce(F.col("_line") == first, F.lit(False)) & (F.col("_line") != ""))
     rest = F.when(F.col("_is"), F.regexp_extract("markdown", pattern, 2)).otherwise(F.col("markdown"))
     return rows.withColumn("header", F.when(F.col("_is"), F.col("_line")).otherwise(F.col("header"))).withColumn("markdown", rest).drop("_line", "_is")
 

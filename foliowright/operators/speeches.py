@@ -119,7 +119,7 @@ _AT = ("ord", "pos", "para", "chunk")
 
 
 def _blocked(rows: DataFrame, span: int) -> DataFrame:
-    """Events with the block that they are in, which ascends in reading order.
+    """rows (ord, pos, ...) with the block that they are in, which ascends in reading order.
 
     Pages of order 0, as those without an index are, come before others of their span and are blocked by their place.
     """
@@ -162,12 +162,20 @@ def _starts(rows: DataFrame) -> DataFrame:
     )
 
 
+def by_blocks(pages: DataFrame, span: int = SPAN) -> DataFrame:
+    """pages dealt out by blocks of a volume, so that they are read and walked by many tasks, however few files they come from."""
+    rows = pages.select("volume", F.col("pos").cast("long").alias("pos"), "index", "global_index", "markdown", F.coalesce("global_index", "index", F.lit(0)).cast("long").alias("ord"))
+    return _blocked(rows, span).repartition("volume", "_block").drop("_block", "ord")
+
+
 def with_context(rows: DataFrame, span: int = SPAN) -> DataFrame:
     """Events with the running house, date and title, the segment each belongs to, and the number of the speech (nth) that a segment is.
 
     A scan on two levels: texts are dealt out by blocks of pages, and of a volume only its blocks' sums meet.
+    Both readings of the events take the same columns (ord is made again from the page), so that one exchange serves both.
     """
-    local = _within(_blocked(rows, span))
+    dealt = _blocked(rows, span).drop("ord").repartition("volume", "_block")
+    local = _within(dealt.withColumn("ord", F.coalesce("page", F.lit(0)).cast("long")))
     rows = local.join(_starts(local), ["volume", "_block"])
     order = W.partitionBy("volume", "_block").orderBy(*_AT)
     run = lambda c: F.coalesce(F.last(c, ignorenulls=True).over(order), F.col(f"_{c}"))
@@ -194,5 +202,5 @@ def sessions(rows: DataFrame) -> DataFrame:
 
 def speeches(pages: DataFrame, span: int = SPAN) -> DataFrame:
     """(volume, id, house, date_iso, debate_title, speaker, pages, text); ids count within the volume."""
-    rows = sessions(with_context(events(pages), span))
+    rows = sessions(with_context(events(by_blocks(pages, span)), span))
     return rows.select("volume", F.format_string("%s_speech_%06d", "volume", "nth").alias("id"), "house", "date_iso", "debate_title", "speaker", "pages", "text")

@@ -425,7 +425,7 @@ def detected_speakers(c):
 
 @query
 def running_context(c):
-    rows = speeches.with_context(speeches.events(c.derived))
+    rows = speeches.with_context(speeches.events(speeches.by_blocks(c.derived)))
     return rows.select("page", "para", "chunk", F.col("cur_house").alias("house"), F.col("cur_date").alias("date_iso"), F.col("cur_title").alias("debate_title"))
 
 
