@@ -17,7 +17,9 @@ SPAN = 256
 def ordered_paragraphs(pages: DataFrame) -> DataFrame:
     """(volume, ord, pos, page, para, p): paragraphs; their reading order is that of (ord, pos, para)."""
     rows = pages.select("volume", F.coalesce("global_index", "index", F.lit(0)).cast("long").alias("ord"), F.col("pos").cast("long").alias("pos"), F.coalesce("global_index", "index").alias("page"), "markdown")
-    return rows.select("volume", "ord", "pos", "page", F.posexplode(text.paragraphs(F.col("markdown"))).alias("para", "p")).withColumn("para", F.col("para").cast("long"))
+    # outer, as else a filter on the size of what is dealt out would compute it twice
+    rows = rows.select("volume", "ord", "pos", "page", F.posexplode_outer(text.paragraphs(F.col("markdown"))).alias("para", "p"))
+    return rows.where("para IS NOT NULL").withColumn("para", F.col("para").cast("long"))
 
 
 def bare_house(p: Column) -> Column:
@@ -109,9 +111,9 @@ def events(pages: DataFrame) -> DataFrame:
     kind = F.when(F.col("dated_house").isNotNull(), "dated").when(F.col("house").isNotNull(), "house").when(is_title(F.col("p")), "title")
     rows = rows.withColumn("kind", kind).withColumn("_c", F.when(F.col("kind").isNull(), chunks(F.col("p"))).otherwise(none))
     single = F.when(F.col("kind").isNull() & (F.size("_c") == 0), detect_speaker(F.col("p")))
-    rows = rows.withColumn("_s", F.when(F.length(single) <= 80, single))
+    rows = rows.withColumn("_s", text.bound(single, lambda x: F.when(F.length(x) <= 80, x)))
     said = F.when(F.size("_c") > 0, F.col("_c")).otherwise(F.array(F.struct(F.col("_s").alias("speaker"), F.when(F.col("_s").isNotNull(), body(F.col("p"))).when(F.col("kind").isNull(), F.col("p")).otherwise("").alias("text"))))
-    rows = rows.select("volume", "ord", "pos", "page", "para", "kind", "p", "date_iso", F.coalesce("dated_house", "house").alias("house"), F.posexplode(said).alias("chunk", "c"))
+    rows = rows.select("volume", "ord", "pos", "page", "para", "kind", "p", "date_iso", F.coalesce("dated_house", "house").alias("house"), F.posexplode_outer(said).alias("chunk", "c"))
     return rows.select("volume", "ord", "pos", "page", "para", F.col("chunk").cast("long").alias("chunk"), "kind", "house", "date_iso", F.when(F.col("kind") == "title", F.col("p")).alias("title"), "c.speaker", "c.text")
 
 

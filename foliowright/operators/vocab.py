@@ -11,7 +11,9 @@ from foliowright.functions import fixed, text
 def word_counts(pages: DataFrame, hyphens: bool = False) -> DataFrame:
     """(word, n), case kept."""
     find = text.hyphen_words if hyphens else text.words
-    return pages.select(F.explode(find(F.col("markdown"))).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
+    # outer, as else a filter on the number of words would find them twice
+    words = pages.select(F.explode_outer(find(F.col("markdown"))).alias("word")).where("word IS NOT NULL")
+    return words.groupBy("word").agg(F.count("*").alias("n"))
 
 
 def totals(counts: DataFrame) -> DataFrame:
