@@ -97,4 +97,4 @@ def latin_month(token: Column) -> Column:
 
     names = F.array(*map(F.lit, LATIN_MONTHS))
     best = F.array_max(F.filter(F.transform(names, near), lambda x: x["ratio"] >= 0.5))
-    return F.when(token.isNotNull(), F.nullif(F.array_position(names, best["month"]).cast("int"), F.lit(0)))
+    return F.when(token.isNotNull(), bound(best, lambda b: F.nullif(F.array_position(names, b["month"]).cast("int"), F.lit(0))))

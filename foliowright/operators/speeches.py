@@ -31,28 +31,39 @@ def _date_tokens(p: Column) -> Column:
     return F.filter(F.split(F.regexp_replace(F.upper(p), r"[.,;:—\-]+", " "), r"[\s\x1c-\x1f\x85\p{Z}]+"), lambda t: t != "")
 
 
+def _iso_date(t: Column) -> Column:
+    """The ISO date of a heading's tokens, null if they have none."""
+    letters = lambda x: F.regexp_replace(x, "[^A-Z]", "")
+    number = lambda x: F.regexp_replace(x, r"\D", "").try_cast("long")
+    numbers = F.filter(F.transform(F.filter(t, lambda x: x.rlike(r"\d")), number), lambda n: n.isNotNull())
+    die = F.array_position(t, "DIE")
+    after = F.nullif(letters(F.get(t, die.cast("int"))), F.lit(""))
+    last = F.array_max(F.filter(F.transform(t, lambda x, i: F.when(x.rlike(r"\d"), i)), lambda i: i.isNotNull()))
+    words = F.filter(F.slice(t, F.lit(1), F.coalesce(last, F.lit(0))), lambda x: x.rlike("[A-Z]") & ~x.rlike(r"\d"))
+    named = F.coalesce(after, text.bound(words, lambda w: letters(F.get(w, F.size(w) - 1))))
+
+    def month(token: Column) -> Column:
+        known = F.lit(None).cast("int")
+        for i, m in enumerate(fixed.LATIN_MONTHS):
+            known = F.when(token == m, i + 1).otherwise(known)
+        return F.coalesce(known, latin_month(token))
+
+    def dated(n: Column) -> Column:
+        token = F.when((die > 0) & (F.size(n) >= 2), F.nullif(named, F.lit("")))
+        iso = lambda m: F.when(m.isNotNull(), F.format_string("%04d-%02d-%02d", F.get(n, F.size(n) - 1), m, F.get(n, F.lit(0))))
+        return text.bound(text.bound(token, month), iso)
+
+    return text.bound(numbers, dated)
+
+
 def dated_heading(rows: DataFrame) -> DataFrame:
     """rows with dated_house and date_iso, set where p is a house heading with a Latin date."""
     up = F.upper("p")
     house = F.when(up.startswith("HOUSE OF LORDS"), "HOUSE OF LORDS").when(up.startswith("HOUSE OF COMMONS"), "HOUSE OF COMMONS")
-    rows = rows.withColumn("_house", house).withColumn("_t", F.when(F.col("_house").isNotNull(), _date_tokens(F.col("p"))))
-    numbers = F.filter(F.transform(F.filter("_t", lambda t: t.rlike(r"\d")), lambda t: F.regexp_replace(t, r"\D", "").try_cast("long")), lambda n: n.isNotNull())
-    letters = lambda t: F.regexp_replace(t, "[^A-Z]", "")
-    die = F.array_position("_t", "DIE")
-    after = F.nullif(letters(F.get("_t", die.cast("int"))), F.lit(""))
-    last = F.array_max(F.filter(F.transform("_t", lambda t, i: F.when(t.rlike(r"\d"), i)), lambda i: i.isNotNull()))
-    rows = rows.withColumn("_n", numbers).withColumn("_last", last)
-    words = F.filter(F.slice("_t", F.lit(1), F.coalesce("_last", F.lit(0))), lambda t: t.rlike("[A-Z]") & ~t.rlike(r"\d"))
-    token = F.when((die > 0) & (F.size("_n") >= 2), F.coalesce(after, letters(F.get(words, F.size(words) - 1))))
-    rows = rows.withColumn("_token", F.nullif(token, F.lit("")))
-    known = F.lit(None).cast("int")
-    for i, m in enumerate(fixed.LATIN_MONTHS):
-        known = F.when(F.col("_token") == m, i + 1).otherwise(known)
-    month = F.coalesce(known, latin_month(F.when(known.isNull(), F.col("_token"))))
-    iso = F.format_string("%04d-%02d-%02d", F.get("_n", F.size("_n") - 1), month, F.get("_n", F.lit(0)))
-    rows = rows.withColumn("date_iso", F.when(month.isNotNull(), iso))
-    rows = rows.withColumn("dated_house", F.when(F.col("date_iso").isNotNull(), F.col("_house")))
-    return rows.drop("_house", "_t", "_n", "_last", "_token")
+    iso = text.bound(house, lambda h: F.when(h.isNotNull(), text.bound(_date_tokens(F.col("p")), _iso_date)))
+    one = text.bound(iso, lambda d: F.struct(F.when(d.isNotNull(), house).alias("dated_house"), d.alias("date_iso")))
+    # outer, as else a filter on the house or date would find them again, once for each value that they are made from
+    return rows.select("*", F.inline_outer(F.array(one)))
 
 
 # Java's matcher recurses for each round of a group that may be given back, so runs of names
