@@ -14,14 +14,18 @@ def with_counts(words: DataFrame, counts: DataFrame) -> DataFrame:
     return words.join(counts, "word", "left").select("word", F.coalesce("n", F.lit(0)).alias("n"))
 
 
+def _sides(counts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rare words, and frequent ones with their counts."""
+    return vocab.rare_gates(counts).select("word"), with_counts(vocab.high_frequency(counts), counts)
+
+
 def similar(counts: DataFrame) -> DataFrame:
-    frequent = with_counts(vocab.high_frequency(counts), counts)
-    return simjoin.similar_words(vocab.rare_gates(counts).select("word"), frequent)
+    return simjoin.similar_words(*_sides(counts))
 
 
 def candidates(counts: DataFrame) -> DataFrame:
     """(rare_word, suggested_correction, rare_count, correct_count, edit_distance)."""
-    top = simjoin.best(similar(counts), 1)
+    top = simjoin.closest(*_sides(counts))
     rows = top.join(counts.select("word", F.col("n").alias("rare_count")), "word").withColumn("capital", text.capitalized(F.col("near")))
     rows = rows.join(counts.select(F.col("word").alias("capital"), F.col("n").alias("capital_n")), "capital", "left")
     rows = rows.where(F.col("n") + F.coalesce("capital_n", F.lit(0)) >= 10 * F.col("rare_count"))
@@ -37,12 +41,12 @@ def character_patterns(found: DataFrame) -> DataFrame:
 
 
 def bigram_patterns(found: DataFrame) -> DataFrame:
-    """(wrong, meant, count) of different bigrams that occur equally often in the two words."""
+    """(wrong, meant, count) of different bigrams that occur equally often in the two words; how often is found once a bigram."""
     rows = found.where((F.length("rare_word") > 1) & (F.length("suggested_correction") > 1)).select(F.lower("rare_word").alias("a"), F.col("suggested_correction").alias("b"))
-    grams = lambda c: F.explode(F.transform(F.sequence(F.lit(1), F.length(c) - 1), lambda i: F.substr(F.col(c), i, F.lit(2))))
-    pairs = rows.select("a", "b", grams("a").alias("wrong")).select("a", "b", "wrong", grams("b").alias("meant"))
-    same = text.count_in(F.col("a"), F.col("wrong")) == text.count_in(F.col("b"), F.col("meant"))
-    return pairs.where((F.col("wrong") != F.col("meant")) & same).groupBy("wrong", "meant").agg(F.count("*").alias("count"))
+    gram = lambda c, i: F.substr(F.col(c), i, F.lit(2))
+    grams = lambda c, name: F.inline(F.transform(F.sequence(F.lit(1), F.length(c) - 1), lambda i: F.struct(gram(c, i).alias(name), text.count_in(F.col(c), gram(c, i)).alias(f"{name}_n"))))
+    pairs = rows.select("b", grams("a", "wrong")).select("wrong", "wrong_n", grams("b", "meant"))
+    return pairs.where((F.col("wrong") != F.col("meant")) & (F.col("wrong_n") == F.col("meant_n"))).groupBy("wrong", "meant").agg(F.count("*").alias("count"))
 
 
 def patterns(found: DataFrame, k: int = 100) -> DataFrame:

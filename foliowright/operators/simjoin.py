@@ -6,19 +6,24 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from foliowright.functions.text import bound
+
 RADIUS = 2
 #: right words up to this length meet by what is left after deletions, longer ones by pieces
-SHORT = 9
+SHORT = 16
 
 
 def _deletions(word: Column) -> Column:
-    """The word and what is left of it without one letter and without two."""
+    """Hashes of the word and of what is left of it without one letter and without two."""
     size = F.length(word)
     without = lambda w, i: F.concat(F.substr(w, F.lit(1), i - 1), F.substr(w, i + 1))
     upto = lambda a, z: F.when(a <= z, F.sequence(a, z)).otherwise(F.array().cast("array<int>"))
-    one = F.transform(upto(F.lit(1), size), lambda i: without(word, i))
-    two = F.flatten(F.transform(upto(F.lit(1), size - 1), lambda i: F.transform(upto(i, size - 1), lambda j: without(without(word, i), j))))
-    return F.array_distinct(F.concat(F.array(word), one, two))
+
+    def hashed(one: Column) -> Column:
+        two = F.flatten(F.transform(one, lambda x, i: F.transform(upto(i + 1, size - 1), lambda j: F.xxhash64(without(x, j)))))
+        return F.array_distinct(F.concat(F.array(F.xxhash64(word)), F.transform(one, lambda x: F.xxhash64(x)), two))
+
+    return bound(F.transform(upto(F.lit(1), size), lambda i: without(word, i)), hashed)
 
 
 def _piece(word: Column, size: Column, i: int, shift: int = 0) -> Column:
@@ -31,9 +36,8 @@ def _piece(word: Column, size: Column, i: int, shift: int = 0) -> Column:
 
 
 def _own_keys(near: Column) -> Column:
-    short = F.transform(_deletions(near), lambda x: F.xxhash64(x))
     pieces = F.array(*[_piece(near, F.length(near), i) for i in range(3)])
-    return F.when(F.length(near) <= SHORT, short).otherwise(pieces)
+    return F.when(F.length(near) <= SHORT, _deletions(near)).otherwise(pieces)
 
 
 def _probe_keys(word: Column) -> Column:
@@ -43,14 +47,28 @@ def _probe_keys(word: Column) -> Column:
     piece, piece i has i edits at least before it, hence at most RADIUS - i behind it, and
     its place in the word moves by no more than either side allows.
     """
-    short = F.when(F.length(word) <= SHORT + RADIUS, F.transform(_deletions(word), lambda x: F.xxhash64(x))).otherwise(F.array().cast("array<bigint>"))
+    short = F.when(F.length(word) <= SHORT + RADIUS, _deletions(word)).otherwise(F.array().cast("array<bigint>"))
     pieces = []
     for longer in range(-RADIUS, RADIUS + 1):
         for i in range(3):
             for shift in range(-i, i + 1):
                 if abs(shift - longer) <= RADIUS - i:
                     pieces.append(_piece(word, F.length(word) - longer, i, shift))
-    return F.array_distinct(F.concat(short, F.filter(F.array(*pieces), lambda k: k.isNotNull())))
+    long = F.when(F.length(word) > SHORT - RADIUS, F.array_compact(F.array(*pieces))).otherwise(F.array().cast("array<bigint>"))
+    return F.concat(short, long)
+
+
+def _met(left: DataFrame, right: DataFrame, radius: int) -> DataFrame:
+    """The pairs of similar_words(), each as often as its words meet."""
+    if not 0 < radius <= RADIUS:
+        raise ValueError("keys are made for a distance of up to 2")
+    dealt = right.where(F.ascii("word").between(ord("a"), ord("z"))).select(F.col("word").alias("near"), "n").select("near", "n", F.explode(_own_keys(F.col("near"))).alias("key"))
+    own = left.select("word", F.explode(_probe_keys(F.lower("word"))).alias("key"))
+    lower = F.lower("word")
+    close = (F.abs(F.length(lower) - F.length("near")) <= radius) & (F.abs(F.ascii(lower) - F.ascii("near")) <= radius) & (lower != F.col("near"))
+    # sorted, as the keys of few words are many and would be broadcast by the size of the words
+    pairs = own.join(dealt.hint("merge"), "key").where(close).withColumn("distance", F.levenshtein(lower, "near", radius))
+    return pairs.where(F.col("distance").between(1, radius)).select("word", "near", F.col("distance").cast("long").alias("distance"), "n")
 
 
 def similar_words(left: DataFrame, right: DataFrame, radius: int = RADIUS) -> DataFrame:
@@ -60,19 +78,18 @@ def similar_words(left: DataFrame, right: DataFrame, radius: int = RADIUS) -> Da
     `radius` in the rank of the first letter, and a right word starts with a to z.
 
     Words meet by equal keys only: what is left of both after the deletion of up to two
-    letters (short right words), or an untouched piece of three at about its place (longer
-    ones). A word has at most 67 keys of the first kind and 19 of the second, whatever the
-    vocabulary; a key of short words stands for few words, since few short words exist.
+    letters, or, if the right word is longer than SHORT, an untouched piece of three at about
+    its place. Words made of the same syllables share pieces, whatever their number, so that
+    only long words, which are few, meet by them. A word has at most 172 keys of the first
+    kind and 19 of the second, whatever the vocabulary.
     """
-    if not 0 < radius <= RADIUS:
-        raise ValueError("keys are made for a distance of up to 2")
-    dealt = right.where(F.ascii("word").between(ord("a"), ord("z"))).select(F.col("word").alias("near"), "n").select("near", "n", F.explode(_own_keys(F.col("near"))).alias("key"))
-    own = left.withColumn("lower", F.lower("word")).select("word", "lower", F.explode(_probe_keys(F.col("lower"))).alias("key"))
-    close = (F.abs(F.length("lower") - F.length("near")) <= radius) & (F.abs(F.ascii("lower") - F.ascii("near")) <= radius) & (F.col("lower") != F.col("near"))
-    pairs = own.join(dealt, "key").where(close).withColumn("distance", F.levenshtein("lower", "near", radius))
-    # a pair may meet at several keys
-    pairs = pairs.where(F.col("distance").between(1, radius)).select("word", "near", F.col("distance").cast("long").alias("distance"), "n")
-    return pairs.dropDuplicates(["word", "near"])
+    return _met(left, right, radius).dropDuplicates(["word", "near"])
+
+
+def closest(left: DataFrame, right: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """The pair of similar_words() that best() puts first for each word; summed up where words meet, without an exchange of all pairs."""
+    first = F.min(F.struct("distance", (-F.col("n")).alias("fewer"), "near", "n")).alias("x")
+    return _met(left, right, radius).groupBy("word").agg(first).select("word", "x.near", "x.distance", "x.n")
 
 
 def best(pairs: DataFrame, k: int) -> DataFrame:

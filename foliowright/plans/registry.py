@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +15,12 @@ from foliowright.sources import pages as src
 
 
 class Corpus:
-    """The derived tables that queries share; each is a plan, computed where it is used."""
+    """The derived tables that queries share; each is a plan, computed where it is used.
+
+    Those that one query reads several times are kept on the executors once they are found (kept_*),
+    in memory or on their disks: else each reading counts all texts' words again, as filters on words
+    go below the counting and leave no exchange to share.
+    """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         read = lambda name: spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -29,17 +35,29 @@ class Corpus:
     def hyphen_counts(self) -> DataFrame:
         return vocab.word_counts(self.pages, hyphens=True)
 
+    @cached_property
+    def kept_counts(self) -> DataFrame:
+        return self.counts.localCheckpoint(eager=False)
+
+    @cached_property
+    def kept_hyphen_counts(self) -> DataFrame:
+        return self.hyphen_counts.localCheckpoint(eager=False)
+
     @property
     def listed(self) -> DataFrame:
         return self.benchmark.select(F.explode(text.words(F.col("text"))).alias("w")).select(F.lower("w").alias("word")).distinct()
 
     @property
     def dictionary(self) -> DataFrame:
-        return self.listed.unionByName(vocab.high_frequency(self.counts)).distinct()
+        return self.listed.unionByName(vocab.high_frequency(self.kept_counts)).distinct()
 
     @property
     def candidates(self) -> DataFrame:
-        return discovery.candidates(self.counts)
+        return discovery.candidates(self.kept_counts)
+
+    @cached_property
+    def kept_candidates(self) -> DataFrame:
+        return self.candidates.localCheckpoint(eager=False)
 
     @property
     def lookup(self) -> DataFrame:
@@ -47,7 +65,7 @@ class Corpus:
 
     @property
     def unknown(self) -> DataFrame:
-        return vocab.invalid(self.counts, self.dictionary)
+        return vocab.invalid(self.kept_counts, self.dictionary)
 
     @property
     def vocabulary(self) -> DataFrame:
@@ -59,7 +77,7 @@ class Corpus:
 
     @property
     def hybrid(self) -> DataFrame:
-        return correct.hybrid_confidence(self.hyphen_counts, self.dictionary)
+        return correct.hybrid_confidence(self.kept_hyphen_counts, self.dictionary)
 
     @property
     def paragraphs(self) -> DataFrame:
@@ -127,7 +145,7 @@ def token_context(c):
 
 @query
 def similar_words_top5(c):
-    return simjoin.best(discovery.similar(c.counts), 5)
+    return simjoin.best(discovery.similar(c.kept_counts), 5)
 
 
 @query
@@ -152,7 +170,7 @@ def substitution_bigram_patterns(c):
 
 @query
 def substitution_top100(c):
-    return discovery.patterns(c.candidates)
+    return discovery.patterns(c.kept_candidates)
 
 
 @query
@@ -176,13 +194,13 @@ def _pages(rows: DataFrame) -> DataFrame:
 
 @query
 def frequency_corrected_pages(c):
-    return _pages(rewrite.rewrite(c.pages, correct.frequency_replacements(c.counts, c.lookup)))
+    return _pages(rewrite.rewrite(c.pages, correct.frequency_replacements(c.kept_counts, c.lookup)))
 
 
 @query
 def frequency_report(c):
-    made = correct.frequency_replacements(c.counts, c.lookup)
-    return rewrite.report(c.counts, made).join(made.select(F.col("word").alias("original"), _confidence()), "original")
+    made = correct.frequency_replacements(c.kept_counts, c.lookup)
+    return rewrite.report(c.kept_counts, made).join(made.select(F.col("word").alias("original"), _confidence()), "original")
 
 
 @query
@@ -192,29 +210,29 @@ def report_gates(c):
 
 @query
 def discovery_report(c):
-    row = reports.discovery_report(c.counts, c.candidates)
+    row = reports.discovery_report(c.kept_counts, c.kept_candidates)
     counted = F.size("error_candidates").cast("long").alias("candidates"), F.get("error_candidates", F.lit(0))["rare_word"].alias("first_candidate"), F.get("substitution_patterns", F.lit(0))["count"].alias("commonest_pattern")
     return row.select("total_words", "unique_words", "high_frequency_words", "rare_words", *counted)
 
 
 @query
 def frequency_run_report(c):
-    made = correct.frequency_replacements(c.counts, c.lookup)
-    rows = rewrite.report(c.counts, made)
+    made = correct.frequency_replacements(c.kept_counts, c.lookup)
+    rows = rewrite.report(c.kept_counts, made)
     row = reports.correction_report(c.pages, rows, confidence_threshold=0.85, available_corrections=c.lookup.agg(F.count("*")))
     return row.select("total_pages_processed", "total_corrections", "unique_error_types", "confidence_threshold", "available_corrections")
 
 
 @query
 def confusion_run_report(c):
-    row = reports.correction_report(c.pages, rewrite.report(c.counts, correct.confusion_replacements(c.counts, 0.85)))
+    row = reports.correction_report(c.pages, rewrite.report(c.kept_counts, correct.confusion_replacements(c.kept_counts, 0.85)))
     first = F.get("corrections_by_type", F.lit(0))
     return row.select("total_pages_processed", "total_corrections", "unique_error_types", first["original"].alias("first_original"), first["corrected"].alias("first_corrected"))
 
 
 @query
 def confusion_exact_corrected_pages(c):
-    return _pages(rewrite.rewrite(c.pages, correct.confusion_replacements(c.counts)))
+    return _pages(rewrite.rewrite(c.pages, correct.confusion_replacements(c.kept_counts)))
 
 
 @query
@@ -224,7 +242,7 @@ def confusion_substring_candidates(c):
 
 @query
 def confusion_report(c):
-    return rewrite.report(c.counts, correct.confusion_replacements(c.counts))
+    return rewrite.report(c.kept_counts, correct.confusion_replacements(c.kept_counts))
 
 
 @query
@@ -308,19 +326,19 @@ def auto_applied_pages(c):
 
 @query
 def errors_by_type(c):
-    rows = c.suggestions.join(c.counts, "word").select(F.explode("error_types").alias("error_type"), "n")
+    rows = c.suggestions.join(c.kept_counts, "word").select(F.explode("error_types").alias("error_type"), "n")
     return rows.groupBy("error_type").agg(F.sum("n").alias("n"))
 
 
 @query
 def top_errors(c):
-    rows = c.suggestions.join(c.counts, "word").select(F.col("word").alias("original"), F.get("suggestions", F.lit(0))["word"].alias("suggested"), F.col("n").alias("count"))
+    rows = c.suggestions.join(c.kept_counts, "word").select(F.col("word").alias("original"), F.get("suggestions", F.lit(0))["word"].alias("suggested"), F.col("n").alias("count"))
     return rows.orderBy(F.desc("count"), "original").limit(50)
 
 
 @query
 def error_statistics(c):
-    by_word = c.suggestions.join(c.counts, "word")
+    by_word = c.suggestions.join(c.kept_counts, "word")
     total = by_word.agg(F.coalesce(F.sum("n"), F.lit(0)))
     row = reports.error_statistics(QUERIES_OF["errors_by_type"](c), QUERIES_OF["top_errors"](c), total)
     return row.select("total_errors_found", F.element_at("errors_by_type", "unknown_word").alias("unknown_words"), F.size("top_errors").cast("long").alias("top_errors"))
@@ -344,12 +362,12 @@ def hybrid_corrected_pages(c):
 
 @query
 def hybrid_summary(c):
-    return correct.hybrid_summary(c.hyphen_counts, c.dictionary, c.hybrid)
+    return correct.hybrid_summary(c.kept_hyphen_counts, c.dictionary, c.hybrid)
 
 
 @query
 def hybrid_top_corrections(c):
-    rows = correct.hybrid_replacements(c.hybrid).join(c.hyphen_counts, "word")
+    rows = correct.hybrid_replacements(c.hybrid).join(c.kept_hyphen_counts, "word")
     return rows.select(F.concat_ws(" → ", "word", "replacement").alias("correction"), F.col("n").alias("count")).orderBy(F.desc("count"), "correction").limit(50)
 
 

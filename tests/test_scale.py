@@ -1,6 +1,10 @@
 """Work that must not be done several times, however a query is planned."""
 
-from foliowright.operators import speeches
+import pytest
+from pyspark.sql import functions as F
+
+from foliowright.operators import simjoin, speeches
+from foliowright.plans import registry
 
 
 def _plan(df) -> str:
@@ -14,3 +18,25 @@ def test_dates_of_headings_are_found_once(spark):
     plan = _plan(found)
     assert plan.count("levenshtein") == 1 and len(plan) < 50_000
     assert {tuple(r) for r in found.collect()} == {("HOUSE OF LORDS", "1834-06-03"), ("HOUSE OF COMMONS", "1834-05-04")}
+
+
+def test_words_of_common_syllables_do_not_meet(spark):
+    # every two words of ten letters that end alike met at their last piece, so that pairs grew with the square of the words
+    words = [a + b + "keit" for a in ("bun", "gel", "mor", "tis") for b in ("fap", "dro", "lux", "wen")]
+    rows = spark.createDataFrame([(w, 20) for w in words], "word string, n long")
+    keys = rows.select(F.explode(simjoin._own_keys(F.col("word"))).alias("key")).groupBy("key").agg(F.count("*").alias("n"))
+    assert keys.agg(F.max("n")).first()[0] <= 4
+    left = spark.createDataFrame([("bunfapkeid",), ("bunfapkt",), ("gelluxkeitxx",), ("Abunfapkeit",), ("b" * 15 + "xyz",)], "word string")
+    right = rows.unionByName(spark.createDataFrame([("bunfapkeis", 30), ("b" * 15 + "xy", 1), ("b" * 14 + "xy", 1)], "word string, n long"))
+    want = {(r.word, r.near, r.distance, r.n) for r in simjoin.best(simjoin.similar_words(left, right), 1).drop("rank").collect()}
+    assert {(r.word, r.near, r.distance, r.n) for r in simjoin.closest(left, right).collect()} == want
+    assert want == {("bunfapkeid", "bunfapkeis", 1, 30), ("bunfapkt", "bunfapkeit", 2, 20), ("gelluxkeitxx", "gelluxkeit", 2, 20), ("Abunfapkeit", "bunfapkeit", 1, 20), ("b" * 15 + "xyz", "b" * 15 + "xy", 1, 1)}
+
+
+@pytest.mark.parametrize("name,most", [
+    ("substitution_top100", 0), ("substitution_char_patterns", 0), ("substitution_bigram_patterns", 0), ("error_candidates_top50", 0), ("report_gates", 0), ("discovery_report", 0),
+    ("confusion_run_report", 1), ("hybrid_page_corrections", 1), ("hybrid_corrected_pages", 2),
+])
+def test_words_are_counted_once(spark, name, most):
+    # beside the counts, which are kept, pages are read for what is made of them only
+    assert _plan(registry.QUERIES[name](spark, "/root/testdata/sf0.001")).count("Relation [doc_id") <= most
