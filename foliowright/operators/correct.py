@@ -145,7 +145,7 @@ def hybrid_confidence(counts: DataFrame, dictionary: DataFrame) -> DataFrame:
     """(word, n, suggestion, suggestion_count, edit_distance, confidence) of every invalid word with a suggestion."""
     wrong = hybrid_invalid(counts, dictionary)
     listed = dictionary.join(counts, "word", "left").select("word", F.coalesce("n", F.lit(0)).alias("n"))
-    top = simjoin.best(simjoin.similar_words(wrong.select("word"), listed), 1)
+    top = simjoin.closest(wrong.select("word"), listed)
     rows = top.select("word", F.col("near").alias("suggestion"), F.col("distance").alias("edit_distance"), (F.col("n") * 2).alias("suggestion_count")).join(wrong, "word")
     s, n, d = F.col("suggestion_count"), F.col("n"), F.col("edit_distance")
     score = F.when(s >= 100, F.lit(0.4)).when(s >= 10, F.lit(0.3)).when(s >= 3, F.lit(0.2)).otherwise(F.lit(0.1))
