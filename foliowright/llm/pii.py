@@ -4,17 +4,17 @@ Native: DataFrame functions only. Base spans (email, ip, card, phone) come from
 patterns and checks. Generators of high recall propose further, overlapping candidates
 (looser addresses, telephone-like and account-like numbers, key-like strings). Each has
 binned features of its format and of the text around it. Boosted trees of depth two,
-fitted on a bounded sample, score them; per kind the least score that keeps a precision
-of PRECISION on the sample is the threshold. Chosen candidates that no base span overlaps
+fitted on all documents, score them; per kind the least score that keeps a precision
+of PRECISION on held-out documents is the threshold. Chosen candidates that no base span overlaps
 are added.
 
-No labelled spans exist. Training rewrites the texts of a sample: base addresses are
+No labelled spans exist. Training rewrites the texts: base addresses are
 obfuscated, `name (at) host`, and base telephone numbers lose their + and country code.
 Candidates at these places are positive, and so are strings assigned to a word for a
 credential and number-like ones that pass a base check; all others are negative. So trees
-learn forms that no base pattern has. The sample is about SAMPLE_DOCS documents, chosen
-by a hash of the text; trees are fitted on the candidates of two thirds of them and the
-thresholds are set on the rest (where it has a positive of the kind), whose recall is kept. Only the counts of distinct
+learn forms that no base pattern has. Trees are fitted on the candidates of two thirds of
+all documents, told apart by a hash of the text, and the thresholds are set on the rest
+(where it has a positive of the kind), whose recall is kept. Only the counts of distinct
 feature vectors reach the driver, a number bounded by the bins.
 
 All steps are linear in a text's length, or n log n in its matches, so that very long
@@ -35,7 +35,7 @@ from foliowright.functions.text import bound, running_greatest, running_sums
 BASE_KINDS = ("email", "ip", "card", "phone")
 MORE_KINDS = ("email_like", "phone_like", "number_like", "secret")
 KINDS = BASE_KINDS + MORE_KINDS
-SAMPLE_DOCS, PRECISION, ROUNDS, RATE = 20_000, 0.9, 30, 0.3
+PRECISION, ROUNDS, RATE = 0.9, 30, 0.3
 
 # A match found from the left starts a run of its first class or where the last match
 # ended, so that no other start needs a try; no part ever has to give back what it took.
@@ -178,7 +178,7 @@ class Trees:
         self.thresholds = {}
         for k in range(len(MORE_KINDS)):
             own = [x[1:] for x in told if x[0] == k]
-            # a small sample may hold out no positive of a kind
+            # few documents may hold out no positive of a kind
             self.thresholds[k] = self._threshold(own if sum(x[1] for x in own) else [x[1:] for x in fitted if x[0] == k], precision)
         #: share of held-out positives that are chosen, by kind; None where there are none
         self.recall = {}
@@ -249,12 +249,10 @@ def rewritten(text: Column) -> Column:
     return F.regexp_replace(mail, r"\+[0-9]{1,3}[\x20-]?(?=[(0-9][\x20().0-9-]{8,16}(?![0-9]))", _MARK)
 
 
-def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Trees:
-    """Trees from the candidates of a bounded sample of documents, thresholds from a third of it that they aren't fitted on."""
-    n = docs.count()
-    draw = F.xxhash64(F.lit("pii"), F.col("text")).bitwiseAND(F.lit((1 << 52) - 1)) / F.lit(float(1 << 52))
+def fit(docs: DataFrame) -> Trees:
+    """Trees from the candidates of two thirds of the documents, thresholds from those of the rest."""
     held = F.pmod(F.xxhash64(F.lit("held"), F.col("text")), F.lit(3)) == 0
-    some = docs.where(F.col("text").isNotNull() & (draw < min(1.0, sample_docs / max(n, 1)))).select(held.alias("held"), rewritten(F.col("text")).alias("text"))
+    some = docs.where(F.col("text").isNotNull()).select(held.alias("held"), rewritten(F.col("text")).alias("text"))
     rows = some.select("held", F.explode(candidates(F.col("text"))).alias("c")).groupBy("held", *[F.col(f"c.{k}").alias(k) for k in FEATURES])
     counts = rows.agg(F.sum(F.col("c.label")).alias("pos"), F.sum(1 - F.col("c.label")).alias("neg")).collect()
     return Trees(*[sorted(tuple(r)[1:] for r in counts if r.held == side) for side in (False, True)])

@@ -40,3 +40,14 @@ def test_words_of_common_syllables_do_not_meet(spark):
 def test_words_are_counted_once(spark, name, most):
     # beside the counts, which are kept, pages are read for what is made of them only
     assert _plan(registry.QUERIES[name](spark, "/root/testdata/sf0.001")).count("Relation [doc_id") <= most
+
+
+def test_trees_learn_from_all_documents(spark, monkeypatch):
+    from foliowright.llm import pii
+
+    # candidates of 20,000 documents were drawn, whatever their number
+    given = []
+    monkeypatch.setattr(pii, "Trees", lambda rows, held_out: given.extend([*rows, *held_out]))
+    pii.fit(spark.range(60_000).select(F.concat(F.lit("call 555-0100-"), F.col("id").cast("string"), F.lit(" now")).alias("text")))
+    phone = pii.MORE_KINDS.index("phone_like")
+    assert sum(r[-2] + r[-1] for r in given if r[0] == phone) == 60_000
