@@ -75,3 +75,17 @@ def test_crowded_shingles(spark, docs, monkeypatch, crowd, rounds):
 
 def test_no_documents(spark, docs):
     assert near_copies.near_duplicates(docs[0].where("false")).count() == 0
+
+
+def test_simhash_links_come_first(spark, docs, monkeypatch):
+    frame, own = docs
+    asked = []
+    monkeypatch.setattr(near_copies.simhash, "links", lambda fps, links=simhash.links: asked.append(fps.count()) or links(fps))
+    monkeypatch.setattr(near_copies, "_few", lambda groups: spark.createDataFrame([], "a long, b long, n int, m int"))
+    got = {r.doc_id: r.component_id for r in near_copies.near_duplicates(frame, crowd=10**6).collect()}
+    roots, pairs = plain_components([plain_shingles(t) for t in own])
+    # without the pairs of prefixes, those within the radius are still linked, and no others
+    close = [p for p in pairs if bin(simhash.fingerprint((own[p[0]] or "").encode(), 5) ^ simhash.fingerprint((own[p[1]] or "").encode(), 5)).count("1") <= simhash.RADIUS]
+    assert len(asked) == 1 and asked[0] > 100
+    assert any(i in got and got[i] == got[j] and own[i] != own[j] for i, j in close)
+    assert all(roots[i] == roots[c] for i, c in got.items())
