@@ -38,6 +38,8 @@ BROADCAST = 500_000
 SALT = 16
 #: places of the fixed table of the benchmark's seeds that documents are asked for before any exchange
 SEEDS = 1 << 23
+#: rows of a batch that are read at once, and about how many of their bytes are scanned at once
+ROWS, CHUNK = 512, 1 << 18
 _FIELDS = [("n_words", T.LongType()), ("n_hit", T.LongType()), ("n_items", T.LongType()), ("items_sha256", T.StringType()), ("contaminated", T.BooleanType())]
 
 
@@ -49,7 +51,7 @@ def item_windows(items: DataFrame, window: int = WINDOW, gram: int = GRAM) -> Da
         for batch in batches:
             ids, texts = batch.column(0).to_pylist(), text_bytes(batch.column(1))
             rows = {"length": [], "seed": [], "hash": [], "item": []}
-            for a, b in in_chunks(texts):
+            for a, b in in_chunks(texts, CHUNK):
                 words = scan(texts[a:b], KIND)
                 at, lo, hi, seed = anchors(words, window, gram)
                 n = hi - lo + 1
@@ -140,16 +142,23 @@ def _search(index: Index, docs: DataFrame, window: int, gram: int):
     def hits(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         index = shared.value
         for column in batches:
-            texts, out = text_bytes(column), []
-            for a, b in in_chunks(texts):
-                out += _found(index, texts[a:b], window, gram)
-            cols = list(zip(*out)) or [[]] * len(_FIELDS)
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.bool_())
-            yield pa.StructArray.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], [f for f, _ in _FIELDS])
+            yield _told(index, column, window, gram)
 
     return hits
 
 
+def _told(index: Index, column: pa.Array, window: int, gram: int) -> pa.StructArray:
+    """What contamination() tells of each text; few of them are bytes and arrays at a time."""
+    out = []
+    for i in range(0, len(column), ROWS):
+        texts = text_bytes(column.slice(i, ROWS))
+        for a, b in in_chunks(texts, CHUNK):
+            out += _found(index, texts[a:b], window, gram)
+    cols = list(zip(*out)) or [[]] * len(_FIELDS)
+    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.bool_())
+    return pa.StructArray.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], [f for f, _ in _FIELDS])
+
+
 def _found(index: Index, texts: list[bytes], window: int, gram: int) -> list[tuple]:
     words = scan(texts, KIND)
     los, his, docs, found = [], [], [], []

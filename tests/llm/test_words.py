@@ -157,3 +157,14 @@ def test_components_of_a_long_path(spark):
     edges = spark.range(200).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
     assert {r.component for r in components(edges).collect()} == {0}
     assert components(edges.where("false")).count() == 0
+
+
+def test_contamination_reads_few_texts_at_once(monkeypatch):
+    import pyarrow as pa
+
+    texts, sizes = ["one two three four five six seven eight nine ten " * 40 + str(i) for i in range(1500)], []
+    monkeypatch.setattr(decontaminate, "scan", lambda some, kind, scan=decontaminate.scan: sizes.append(sum(map(len, some))) or scan(some, kind))
+    items = pa.table({"length": pa.array([], pa.int32()), "seed": pa.array([], pa.int64()), "hash": pa.array([], pa.int64()), "item_id": pa.array([], pa.int64())})
+    told = decontaminate._told(decontaminate.Index(items), pa.array(texts), 10, 4)
+    assert [x["n_words"] for x in told.to_pylist()] == [401] * 1500
+    assert sum(sizes) == sum(map(len, texts)) and max(sizes) <= (1 << 18) + max(map(len, texts))
