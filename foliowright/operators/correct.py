@@ -58,11 +58,23 @@ def _exact(word: Column) -> Column:
     return out
 
 
+def _confused(counts: DataFrame, threshold: float) -> DataFrame:
+    """(word, n, replacement, confidence) of confusion_replacements(), found once a word behind a generator: filters on them would find them again."""
+    word = F.col("word")
+    exact = _exact(word)
+    made = F.struct(F.coalesce(exact, _inside(word)).alias("replacement"), F.when(exact.isNotNull(), F.lit(0.95)).otherwise(F.lit(0.85)).alias("confidence"))
+    kept = F.filter(F.array(made), lambda x: x["replacement"].isNotNull() & (x["confidence"] >= threshold) & (x["replacement"] != word))
+    return counts.select("word", "n", F.inline(kept))
+
+
 def confusion_replacements(counts: DataFrame, threshold: float = 0.90) -> DataFrame:
     """(word, replacement, confidence) that reach the threshold: words of the table, as they are or in capitals, then patterns inside words."""
-    exact = counts.select("word", _exact(F.col("word")).alias("replacement"), F.lit(0.95).alias("confidence")).where("replacement IS NOT NULL")
-    inside = confusion_substrings(counts).select("word", F.col("corrected").alias("replacement"), "confidence")
-    return exact.unionByName(inside).where((F.col("confidence") >= threshold) & (F.col("word") != F.col("replacement")))
+    return _confused(counts, threshold).select("word", "replacement", "confidence")
+
+
+def confusion_report(counts: DataFrame, threshold: float = 0.90) -> DataFrame:
+    """rewrite.report() of the confusion replacements, without a join: their counts are at hand."""
+    return _confused(counts, threshold).select(F.col("word").alias("original"), F.col("replacement").alias("corrected"), F.col("n").alias("count"))
 
 
 def table_substrings(counts: DataFrame, table: DataFrame, least: int = 3) -> DataFrame:
@@ -75,13 +87,19 @@ def table_substrings(counts: DataFrame, table: DataFrame, least: int = 3) -> Dat
     return rows.select("word", "corrected", F.lit(0.85).alias("confidence"))
 
 
-def confusion_substrings(counts: DataFrame) -> DataFrame:
-    """(word, corrected, confidence): other words with a pattern of three letters or more inside."""
-    word, out = F.col("word"), F.lit(None).cast("string")
+def _inside(word: Column) -> Column:
+    """The word with the first pattern of three letters or more in it replaced, null without any."""
+    out = F.lit(None).cast("string")
     for wrong, right in reversed(fixed.CONFUSIONS):
         if len(wrong) >= 3:
             out = F.when(word.contains(wrong), F.replace(word, F.lit(wrong), F.lit(right))).otherwise(out)
-    rows = counts.where(_exact(word).isNull()).select("word", out.alias("corrected"))
+    return out
+
+
+def confusion_substrings(counts: DataFrame) -> DataFrame:
+    """(word, corrected, confidence): other words with a pattern of three letters or more inside."""
+    word = F.col("word")
+    rows = counts.where(_exact(word).isNull()).select("word", _inside(word).alias("corrected"))
     return rows.where("corrected IS NOT NULL").withColumn("confidence", F.lit(0.85))
 
 

@@ -15,10 +15,15 @@ from foliowright.operators import discovery
 from foliowright.operators.tables import side_by_side
 
 
+def _list(order: list[Column], fields: list[str]) -> Column:
+    """The rows of an aggregate as an array of structs in that order."""
+    keyed = F.struct(*[c.alias(f"_{i}") for i, c in enumerate(order)], F.struct(*fields).alias("r"))
+    return F.transform(F.array_sort(F.collect_list(keyed)), lambda x: x["r"])
+
+
 def _listed(rows: DataFrame, order: list[Column], fields: list[str]) -> DataFrame:
     """One row: the rows as an array of structs in that order."""
-    keyed = F.struct(*[c.alias(f"_{i}") for i, c in enumerate(order)], F.struct(*fields).alias("r"))
-    return rows.agg(F.transform(F.array_sort(F.collect_list(keyed)), lambda x: x["r"]).alias("list"))
+    return rows.agg(_list(order, fields).alias("list"))
 
 
 def discovery_report(counts: DataFrame, found: DataFrame) -> DataFrame:
@@ -45,10 +50,12 @@ def correction_report(pages: DataFrame, made: DataFrame, **more) -> DataFrame:
     fields = [c for c in ("original", "corrected", "count", "confidence") if c in made.columns]
     spark = pages.sparkSession
     extra = {k: v if isinstance(v, DataFrame) else spark.range(1).select(F.lit(v)) for k, v in more.items()}
-    return side_by_side(
-        total_pages_processed=pages.agg(F.count("*")), total_corrections=made.agg(F.coalesce(F.sum("count"), F.lit(0))),
-        unique_error_types=made.agg(F.count("*")), **extra, corrections_by_type=_listed(made, [-F.col("count"), F.col("original"), F.col("corrected")], fields),
-    )
+    # what is made is read once, for all three fields
+    order = [-F.col("count"), F.col("original"), F.col("corrected")]
+    sums = F.coalesce(F.sum("count"), F.lit(0)).alias("total_corrections"), F.count("*").alias("unique_error_types")
+    one = made.agg(F.struct(*sums, _list(order, fields).alias("corrections_by_type")))
+    row = side_by_side(total_pages_processed=pages.agg(F.count("*")), **extra, _made=one)
+    return row.select("total_pages_processed", "_made.total_corrections", "_made.unique_error_types", *extra, "_made.corrections_by_type")
 
 
 def error_statistics(by_type: DataFrame, top: DataFrame, total: DataFrame) -> DataFrame:

@@ -225,14 +225,14 @@ def frequency_run_report(c):
 
 @query
 def confusion_run_report(c):
-    row = reports.correction_report(c.pages, rewrite.report(c.kept_counts, correct.confusion_replacements(c.kept_counts, 0.85)))
+    row = reports.correction_report(c.pages, correct.confusion_report(c.kept_counts, 0.85))
     first = F.get("corrections_by_type", F.lit(0))
     return row.select("total_pages_processed", "total_corrections", "unique_error_types", first["original"].alias("first_original"), first["corrected"].alias("first_corrected"))
 
 
 @query
 def confusion_exact_corrected_pages(c):
-    return _pages(rewrite.rewrite(c.pages, correct.confusion_replacements(c.kept_counts)))
+    return _pages(rewrite.rewrite(c.pages, correct.confusion_replacements(c.counts)))
 
 
 @query
@@ -242,7 +242,7 @@ def confusion_substring_candidates(c):
 
 @query
 def confusion_report(c):
-    return rewrite.report(c.kept_counts, correct.confusion_replacements(c.kept_counts))
+    return correct.confusion_report(c.counts)
 
 
 @query

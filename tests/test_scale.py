@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from foliowright.operators import simjoin, speeches
+from foliowright.operators import correct, simjoin, speeches
 from foliowright.plans import registry
 
 
@@ -51,3 +51,13 @@ def test_trees_learn_from_all_documents(spark, monkeypatch):
     pii.fit(spark.range(60_000).select(F.concat(F.lit("call 555-0100-"), F.col("id").cast("string"), F.lit(" now")).alias("text")))
     phone = pii.MORE_KINDS.index("phone_like")
     assert sum(r[-2] + r[-1] for r in given if r[0] == phone) == 60_000
+
+
+def test_confusions_are_found_once(spark):
+    # three fields of the report each found them again, twice, and joined them with the counts
+    plan = _plan(registry.QUERIES["confusion_run_report"](spark, "/root/testdata/sf0.001"))
+    assert plan.count("LogicalRDD") == 1 and plan.count("Join") == 0
+    counts = spark.createDataFrame([("tiie", 3), ("TIIE", 2), ("the", 9), ("atiie", 1), ("iu", 4), ("xiu", 5)], "word string, n long")
+    got = {tuple(r) for r in correct.confusion_report(counts, 0.85).collect()}
+    assert got == {("tiie", "the", 3), ("TIIE", "THE", 2), ("atiie", "athe", 1), ("iu", "in", 4)}
+    assert {r.original for r in correct.confusion_report(counts).collect()} == {"tiie", "TIIE", "iu"}
