@@ -40,22 +40,44 @@ def _own_keys(near: Column) -> Column:
     return F.when(F.length(near) <= SHORT, _deletions(near)).otherwise(pieces)
 
 
-def _probe_keys(word: Column) -> Column:
-    """Keys at which a word meets every right word within the radius.
+def _probed(words: DataFrame) -> DataFrame:
+    """(word, ..., key): keys at which words meet every right word within the radius; other columns stay.
+
+    Words are many: letters are deleted one after the other by generators, in compiled code,
+    where functions of arrays would walk them. Of equal letters in a row the first one goes.
+    """
+    size = F.length("_lower")
+    low = words.withColumn("_lower", F.lower("word"))
+    short = low.where(size <= SHORT + RADIUS).select("*", F.explode(F.sequence(F.lit(0), size)).alias("_i"))
+    i, j, one = F.col("_i"), F.col("_j"), F.col("_one")
+    letter = lambda w, at: F.substr(w, at, F.lit(1))
+    without = lambda w, at: F.concat(F.substr(w, F.lit(1), at - 1), F.substr(w, at + 1))
+    short = short.where((i < 2) | (letter(F.col("_lower"), i) != letter(F.col("_lower"), i - 1)))
+    # 0: no letter goes; i: letter i, and then none (i - 1) or one behind it
+    short = short.withColumn("_one", F.when(i == 0, F.col("_lower")).otherwise(without(F.col("_lower"), i)))
+    behind = F.sequence(F.greatest(i - 1, F.lit(0)), F.when(i == 0, F.lit(0)).otherwise(size - 1))
+    short = short.select(*words.columns, "_i", "_one", F.explode(behind).alias("_j"))
+    none = (i == 0) | (j == i - 1)
+    short = short.where(none | (j == i) | (letter(one, j) != letter(one, j - 1)))
+    short = short.select(*words.columns, F.xxhash64(F.when(none, one).otherwise(without(one, j))).alias("key"))
+    long = low.where(size > SHORT - RADIUS).select(*words.columns, F.explode(_probe_pieces(F.col("_lower"))).alias("key"))
+    return short.unionByName(long)
+
+
+def _probe_pieces(word: Column) -> Column:
+    """Keys of the pieces at which a word meets long right words.
 
     Of three pieces of a right word one is untouched by two edits. If it is the first such
     piece, piece i has i edits at least before it, hence at most RADIUS - i behind it, and
     its place in the word moves by no more than either side allows.
     """
-    short = F.when(F.length(word) <= SHORT + RADIUS, _deletions(word)).otherwise(F.array().cast("array<bigint>"))
     pieces = []
     for longer in range(-RADIUS, RADIUS + 1):
         for i in range(3):
             for shift in range(-i, i + 1):
                 if abs(shift - longer) <= RADIUS - i:
                     pieces.append(_piece(word, F.length(word) - longer, i, shift))
-    long = F.when(F.length(word) > SHORT - RADIUS, F.array_compact(F.array(*pieces))).otherwise(F.array().cast("array<bigint>"))
-    return F.concat(short, long)
+    return F.array_compact(F.array(*pieces))
 
 
 def _met(left: DataFrame, right: DataFrame, radius: int) -> DataFrame:
@@ -63,7 +85,7 @@ def _met(left: DataFrame, right: DataFrame, radius: int) -> DataFrame:
     if not 0 < radius <= RADIUS:
         raise ValueError("keys are made for a distance of up to 2")
     dealt = right.where(F.ascii("word").between(ord("a"), ord("z"))).select(F.col("word").alias("near"), "n").select("near", "n", F.explode(_own_keys(F.col("near"))).alias("key"))
-    own = left.select("word", F.explode(_probe_keys(F.lower("word"))).alias("key"))
+    own = _probed(left.select("word"))
     lower = F.lower("word")
     close = (F.abs(F.length(lower) - F.length("near")) <= radius) & (F.abs(F.ascii(lower) - F.ascii("near")) <= radius) & (lower != F.col("near"))
     # sorted, as the keys of few words are many and would be broadcast by the size of the words

@@ -61,3 +61,25 @@ def test_confusions_are_found_once(spark):
     got = {tuple(r) for r in correct.confusion_report(counts, 0.85).collect()}
     assert got == {("tiie", "the", 3), ("TIIE", "THE", 2), ("atiie", "athe", 1), ("iu", "in", 4)}
     assert {r.original for r in correct.confusion_report(counts).collect()} == {"tiie", "TIIE", "iu"}
+
+
+def test_deleted_letters_are_dealt_by_generators(spark):
+    # functions of arrays walked each word's letters uncompiled, which took most of the join's time
+    from itertools import combinations
+
+    words = ["a", "ab", "aab", "aabbab", "Keit", "sssss", "z" * 14 + "xyz", "q" * 10 + "abcdefghij"]
+    rows = spark.createDataFrame([(w, 7) for w in words], "word string, n long")
+    got = simjoin._probed(rows)
+    assert _plan(got).count("lambda") <= _plan(got.where(F.length("word") > 18)).count("lambda") <= 4
+    keys = {w: set() for w in words}
+    for r in got.collect():
+        assert r.n == 7
+        keys[r.word].add(r.key)
+    for w in words:
+        low = w.lower()
+        left = {"".join(c for i, c in enumerate(low) if i not in gone) for k in range(min(2, len(low)) + 1) for gone in combinations(range(len(low)), k)}
+        want = {r[0] for r in spark.createDataFrame([(x,) for x in left], "x string").select(F.xxhash64("x")).collect()}
+        if len(w) <= simjoin.SHORT - simjoin.RADIUS:
+            assert keys[w] == want
+        else:
+            assert (want <= keys[w]) == (len(w) <= simjoin.SHORT + simjoin.RADIUS)
