@@ -25,7 +25,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from foliowright.llm.common import apart, checkpointed, lean, text_bytes
+from foliowright.llm.common import apart, checkpointed, lean, slices, text_bytes
 from foliowright.llm.components import components
 
 RADIUS = 4
@@ -61,7 +61,7 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", size: int = 4) -> DataFra
     def run(batches):
         import pyarrow as pa
 
-        for batch in batches:
+        for batch in slices(batches):
             fps = [fingerprint(t, size) for t in text_bytes(batch.column(1))]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.array(fps, np.uint64).view(np.int64))], ["k", "fp"])
 
