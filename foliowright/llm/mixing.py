@@ -5,7 +5,9 @@ topic) of tokens; the cells' weights are raked, one margin after the other, unti
 sum of a margin is within TOLERANCE of its target (relatively); a document is kept with the probability that its
 cell's weight asks for, scaled so that the largest is one. Only the cells are iterated;
 each margin update is an aggregation and a join, so cells may be many; state between
-rounds is a table in the shared folder.
+rounds is a table in the shared folder. Up to ALONE cells (they are counted) are raked by
+one task, each update a window over it and AT_ONCE rounds a plan: without exchanges and
+broadcasts, which the driver would plan and hold anew for each update.
 
 Targets are given, or tempered: a margin's own shares of tokens to the power ALPHA. The
 draw is a hash of the id, so that runs repeat and repeated rows share their fate.
@@ -26,6 +28,7 @@ import warnings
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from foliowright.llm.common import apart, materialised, release, remove_path
@@ -34,6 +37,8 @@ MARGINS = ("source", "lang", "topic")
 ALPHA, TOLERANCE, MOST = 0.85, 1e-9, 50
 #: cells are joined to documents by broadcast up to this number, by an exchange beyond it
 BROADCAST = 100_000
+#: up to so many cells are raked by one task, so many rounds a plan
+ALONE, AT_ONCE = 10_000, 5
 SEED = "mix"
 #: topic -> a string that its documents hold; the first that fits, else `prose`
 TOPICS = (("legal", "Licensed under"), ("tabular", " | "), ("contact", "@"), ("shouting", "!!"))
@@ -59,6 +64,38 @@ def described(docs: DataFrame, key: str, topics: Column | None = None) -> DataFr
     return docs.select(F.col(key), known(F.col("source")).alias("_source"), known(F.col("lang")).alias("_lang"), about.alias("_topic"), n_words(F.col("text")).alias("_tokens"))
 
 
+def _factor(goal: Column, own: Column) -> Column:
+    """What a sum is multiplied by to meet its goal; 0 without one."""
+    return F.coalesce(F.try_divide(F.coalesce(goal, F.lit(0.0)), own), F.lit(0.0))
+
+
+def _round(out: DataFrame, goal: dict[str, DataFrame]) -> DataFrame:
+    for m in MARGINS:
+        factor = out.groupBy(m).agg(F.sum("w").alias("sum")).join(goal[m], m, "left").select(m, _factor(F.col("goal"), F.col("sum")).alias("factor"))
+        out = out.join(factor, m).select(*MARGINS, "tokens", (F.col("w") * F.col("factor")).alias("w"))
+    return out
+
+
+def _sum(m: str, w: str) -> Column:
+    return F.sum(w).over(W.partitionBy(m))
+
+
+def _rounds_alone(out: DataFrame, n: int) -> DataFrame:
+    """n times _round() of cells in one partition, with their goals: w after each as _w0, _w1 and so on."""
+    for i in range(n):
+        out = out.withColumn(f"_w{i}", F.col(f"_w{i - 1}" if i else "w"))
+        for m in MARGINS:
+            out = out.withColumn(f"_w{i}", F.col(f"_w{i}") * _factor(F.col(f"_goal_{m}"), _sum(m, f"_w{i}")))
+    return out.drop("w")
+
+
+def _off_alone(out: DataFrame, n: int) -> list[float]:
+    """How far the margins are off after each of n rounds."""
+    far = lambda m, w: F.when((_sum(m, w) > 0) & (F.col(f"_goal_{m}") > 0), F.abs(_sum(m, w) / F.col(f"_goal_{m}") - 1))
+    each = out.select(*[far(m, f"_w{i}").alias(f"{m}{i}") for i in range(n) for m in MARGINS[:-1]])
+    return list(each.agg(*[F.coalesce(F.greatest(*[F.max(f"{m}{i}") for m in MARGINS[:-1]]), F.lit(0.0)) for i in range(n)]).first())
+
+
 def rake(cells: DataFrame, targets: dict[str, DataFrame] | None = None, most: int = MOST, alpha: float = ALPHA, tolerance: float = TOLERANCE, broadcast: int = BROADCAST) -> DataFrame:
     """Cells (margins, tokens) with probability.
 
@@ -75,24 +112,36 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame] | None = None, most: in
         raw, at = materialised(raw, f"goal-{m}")
         paths.append(at)
         goal[m] = raw.select(m, (F.col("goal") / F.lit(raw.agg(F.sum("goal")).first()[0] or 1.0)).alias("goal"))
-    out, rest = cells, None
-    for _ in range(most):
+    n, rest, done = cells.count(), None, 0
+    alone = n <= min(ALONE, broadcast)
+    out = cells
+    if alone:
         for m in MARGINS:
-            factor = out.groupBy(m).agg(F.sum("w").alias("sum")).join(goal[m], m, "left").select(m, F.coalesce(F.try_divide(F.coalesce("goal", F.lit(0.0)), F.col("sum")), F.lit(0.0)).alias("factor"))
-            out = out.join(factor, m).select(*MARGINS, "tokens", (F.col("w") * F.col("factor")).alias("w"))
+            out = out.join(goal[m].withColumnRenamed("goal", f"_goal_{m}"), m, "left")
+        out = out.coalesce(1)
+    while done < most:
+        once = min(AT_ONCE, most - done) if alone else 1
         # a table's size is known when the next round is planned; a checkpoint would keep an estimate that each join squares
-        out, done = materialised(out, "cells")
+        out, new = materialised(_rounds_alone(out, once) if alone else _round(out, goal), "cells")
         remove_path(spark, path)
-        path = done
+        path = new
         release(spark)
+        done += once
         # how far the margins are off that were not the last one met
-        off = [out.groupBy(m).agg(F.sum("w").alias("sum")).join(goal[m], m).where("sum > 0 AND goal > 0").select(F.abs(F.col("sum") / F.col("goal") - 1).alias("off")) for m in MARGINS[:-1]]
-        rest = reduce(DataFrame.unionByName, off).agg(F.coalesce(F.max("off"), F.lit(0.0))).first()[0]
+        if alone:
+            out = out.coalesce(1)
+            each = _off_alone(out, once)
+            last = next((i for i, x in enumerate(each) if x <= tolerance), once - 1)
+            rest = each[last]
+            out = out.withColumnRenamed(f"_w{last}", "w").select(*MARGINS, "tokens", *[f"_goal_{m}" for m in MARGINS], "w")
+        else:
+            off = [out.groupBy(m).agg(F.sum("w").alias("sum")).join(goal[m], m).where("sum > 0 AND goal > 0").select(F.abs(F.col("sum") / F.col("goal") - 1).alias("off")) for m in MARGINS[:-1]]
+            rest = reduce(DataFrame.unionByName, off).agg(F.coalesce(F.max("off"), F.lit(0.0))).first()[0]
         if rest <= tolerance:
             break
     else:
         warnings.warn(f"margins are up to {rest:.3g} off their targets after {most} rounds", stacklevel=2)
-    n, largest = out.agg(F.count("*"), F.max(F.col("w") / F.col("tokens"))).first()
+    largest = out.agg(F.max(F.col("w") / F.col("tokens"))).first()[0]
     for at in paths:
         remove_path(spark, at)
     out = out.select(*MARGINS, (F.col("w") / F.col("tokens") / F.lit(largest or 1.0)).alias("probability"))

@@ -132,6 +132,20 @@ def test_mixing_meets_its_margins(spark):
     assert by_exchange == by_broadcast
 
 
+def test_mixing_of_few_cells_takes_few_jobs(spark):
+    rng = random.Random(6)
+    docs = spark.createDataFrame([(i, "word " * rng.randrange(1, 40), rng.choice("aaab"), rng.choice(["en", "en", "fr"]), rng.choice("xyz")) for i in range(200)], "doc_id long, text string, source string, lang string, about string")
+    found, jobs = [], []
+    for n in (0, mixing.BROADCAST):
+        spark.sparkContext.setJobGroup(f"mixing-{n}", "")
+        found.append({r.doc_id: r._probability for r in mixing.weighed(docs, topics=F.col("about"), broadcast=n).collect()})
+        jobs.append(len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"mixing-{n}")))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert all(abs(p - found[1][i]) < 1e-8 for i, p in found[0].items())
+    # rounds were planned and broadcast one by one, which filled the driver
+    assert jobs[1] <= 40, jobs
+
+
 def test_mixing_with_targets_left_out(spark):
     rows = [(i, "some words " * (i % 5 + 1), "ab"[i % 2], "en" if i % 2 else "fr", i % 3) for i in range(60)] + [(60, "word", "a", "de", None), (61, "word " * 30_000, "b", "en", 1)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string, about int")
