@@ -159,6 +159,30 @@ def test_components_of_a_long_path(spark):
     assert components(edges.where("false")).count() == 0
 
 
+@pytest.mark.parametrize("few", [1 << 17, 9])
+def test_components_of_few_edges_need_no_exchange(spark, few):
+    from foliowright.llm.components import components
+
+    held = {"spark.sql.shuffle.partitions": "30", "spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    old = {k: spark.conf.get(k) for k in held}
+    edges = spark.createDataFrame([(i, i + 1) for i in range(0, 60) if i % 6], "a long, b long").repartition(5)
+    for k, v in held.items():
+        spark.conf.set(k, v)
+    spark.sparkContext.setJobGroup(f"few {few}", "")
+    try:
+        of = {r.node: r.component for r in components(edges, few=few).collect()}
+    finally:
+        spark.sparkContext._jsc.clearJobGroup()
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert of == {i: (i - 1) // 6 * 6 + 1 for i in range(1, 61)}
+    told = spark.sparkContext.statusTracker()
+    stages = {s for j in told.getJobIdsForGroup(f"few {few}") for s in told.getJobInfo(j).stageIds}
+    tasks = sum(told.getStageInfo(s).numTasks for s in stages if told.getStageInfo(s))
+    # without exchanges between 30 partitions if all edges are few, and with them otherwise
+    assert (tasks < 90) == (few > 9), tasks
+
+
 def test_contamination_reads_few_texts_at_once(monkeypatch):
     import pyarrow as pa
 
