@@ -156,3 +156,24 @@ def test_mixing_with_targets_left_out(spark):
     assert set(out._topic) == {"0", "1", "2", "?"}
     kept = mixing.mix(docs, targets=given, topics=F.col("about"), most=1)
     assert kept.columns == docs.columns and {r.source for r in kept.collect()} == {"a"}
+
+
+def test_release_frees_the_shuffle_of_the_last_query(spark):
+    import time
+    from pathlib import Path
+
+    from foliowright.llm.common import materialised, release
+
+    dirs = [d.getPath() for d in spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()]
+    files = lambda: {p.name for d in dirs for p in Path(d).rglob("shuffle_*")}
+    release(spark)
+    before = files()
+    rows = materialised(spark.range(1000).repartition(3, "id").groupBy("id").count(), "rows")[0]
+    assert files() - before
+    release(spark)
+    for _ in range(50):
+        if not files() - before:
+            break
+        time.sleep(0.1)
+    assert not files() - before
+    assert rows.count() == 1000
